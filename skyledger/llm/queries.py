@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import bpe, decontaminate
 
 QUERIES = {
+    "op1_bpe": bpe.query,
     "op8_benchmark_decontamination": decontaminate.query,
 }
 ORACLES: dict[str, str] = {}
