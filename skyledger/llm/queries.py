@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
+    "op6_token_files": token_files.query,
     "op8_benchmark_decontamination": decontaminate.query,
 }
 ORACLES: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.conf.get("spark.checkpoint.dir", None) or _own.get("at")
     if not at:
         at = _own["at"] = "file://" + tempfile.mkdtemp(prefix="skyledger-")
-    return at.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(at)
+    at = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", at).rstrip("/")
 
 
 def fresh(spark: SparkSession, what: str) -> str:
