@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, secrets, token_files
+from . import bpe, decontaminate, language, secrets, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
+    "op2_language_id": language.query,
     "op4_secret_scans": secrets.query,
     "op6_token_files": token_files.query,
     "op8_benchmark_decontamination": decontaminate.query,
