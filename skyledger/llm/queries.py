@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, secrets, token_files
+from . import bpe, decontaminate, language, scoring, secrets, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -10,5 +10,6 @@ QUERIES = {
     "op4_secret_scans": secrets.query,
     "op6_token_files": token_files.query,
     "op8_benchmark_decontamination": decontaminate.query,
+    "op9_lm_scoring": scoring.query,
 }
 ORACLES: dict[str, str] = {}
