@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, scoring, secrets, token_files
+from . import bpe, decontaminate, language, neighbours, scoring, secrets, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -11,5 +11,6 @@ QUERIES = {
     "op6_token_files": token_files.query,
     "op8_benchmark_decontamination": decontaminate.query,
     "op9_lm_scoring": scoring.query,
+    "op10_nearest_neighbours": neighbours.query,
 }
 ORACLES: dict[str, str] = {}
