@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +66,20 @@ def carried(df: DataFrame, *needed: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.select(*(F.col(f"`{c}`") for c in needed))
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that gives freed memory back to the system when a task ends: workers
+    are used again, and what one task needed shouldn't add to the next one's."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
