@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, neighbours, scoring, secrets, token_files
+from . import bpe, decontaminate, language, near_copies, neighbours, scoring, secrets, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op2_language_id": language.query,
     "op4_secret_scans": secrets.query,
     "op6_token_files": token_files.query,
+    "op7_near_copies": near_copies.query,
     "op8_benchmark_decontamination": decontaminate.query,
     "op9_lm_scoring": scoring.query,
     "op10_nearest_neighbours": neighbours.query,

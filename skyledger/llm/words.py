@@ -37,11 +37,11 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Ranges of documents of at most `most` bytes together; a longer document stands alone."""
+def slices(offsets: np.ndarray, most: int, documents: int = 1 << 30) -> list[tuple[int, int]]:
+    """Ranges of at most `documents` documents, of at most `most` bytes together; a longer document stands alone."""
     out, i, n = [], 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
+        j = max(i + 1, min(i + documents, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1))
         out.append((i, j))
         i = j
     return out
