@@ -56,10 +56,9 @@ def _open(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.join(mixed, "band", "left_semi")
 
 
-def bucketed(items: DataFrame) -> DataFrame:
-    """(band, item, weight) of the bands that several of items (item, bands) share; an item's weight is
-    the sum of its buckets' sizes, and its centrality."""
-    flat = items.select(F.explode(F.array_distinct("bands")).alias("band"), "item")
+def bucketed(flat: DataFrame) -> DataFrame:
+    """(band, item, weight) of the bands that several items of flat (band, item; distinct) share; an
+    item's weight is the sum of its buckets' sizes, and its centrality."""
     sizes = flat.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared_bands = flat.join(sizes, "band")
     weight = shared_bands.groupBy("item").agg(F.sum("n").alias("weight"))

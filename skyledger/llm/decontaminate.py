@@ -195,8 +195,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", window
     found = scan(kept.select(F.col("__row").alias("doc_id"), "text"), benchmark, window).where("contaminated").select(F.col("doc_id").alias("__row"), "hit_chars")
     if mode == "documents":
         return kept.join(found, "__row", "left_anti").select(*names)
-    ends = F.transform(F.sequence(F.lit(0), F.size("hit_chars")), lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get("hit_chars", k - 1)))
-    pieces = F.transform(F.filter(F.sequence(F.lit(0), F.size("hit_chars")), lambda k: k % 2 == 0), lambda k: F.substring(F.col("text"), (F.get(ends, k) + 1).cast("int"), (F.coalesce(F.get("hit_chars", k), F.char_length("text").cast("long")) - F.get(ends, k)).cast("int")))
-    cut = F.when(F.col("hit_chars").isNotNull(), F.array_join(pieces, "")).otherwise(F.col("text"))
     joined = kept.join(found, "__row", "left")
-    return joined.select(*(cut.alias("text") if c == "text" else F.col(f"`{c}`") for c in names))
+    return joined.select(*(F.coalesce(shared.cut("text", "hit_chars"), "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names))

@@ -266,7 +266,7 @@ def _labelled(docs: DataFrame, similar: float) -> DataFrame:
     sketches = _sketched(docs, sampler)
     texts = sketches.where("item is not null").select("item", "bands", "sig")
     distinct = texts.groupBy("item").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    buckets = clusters.bucketed(distinct.select("item", "bands"))
+    buckets = clusters.bucketed(distinct.select(F.explode(F.array_distinct("bands")).alias("band"), "item"))
     packed = _packed(docs, buckets.select("item").distinct(), sampler)
     labels = clusters.cluster(buckets, _links(packed, sampler.weights, similar), distinct.select("item", "sig"), AGREE)
     rows = sketches.select("row", "doc_id", "item")

@@ -60,6 +60,15 @@ def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
+def cut(text: str | Column, ranges: str | Column) -> Column:
+    """A text without the character ranges [start, end) of a flat, ascending array start, end, start, end, .."""
+    text, ranges = (F.col(x) if isinstance(x, str) else x for x in (text, ranges))
+    steps = F.filter(F.sequence(F.lit(0), F.size(ranges)), lambda k: k % 2 == 0)
+    begin = lambda k: F.when(k == 0, F.lit(0)).otherwise(F.get(ranges, k - 1)).cast("int")
+    pieces = F.transform(steps, lambda k: F.substring(text, begin(k) + 1, (F.coalesce(F.get(ranges, k), F.char_length(text).cast("long")) - begin(k)).cast("int")))
+    return F.when(F.size(ranges) > 0, F.array_join(pieces, "")).otherwise(text)
+
+
 def carried(df: DataFrame, *needed: str) -> DataFrame:
     """Only the columns an operator reads; missing ones are an error that names them."""
     missing = [c for c in needed if c not in df.columns]
