@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, near_copies, neighbours, scoring, secrets, token_files
+from . import bpe, decontaminate, language, near_copies, neighbours, passages, scoring, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op2_language_id": language.query,
+    "op3_token_counts": token_counts.query,
     "op4_secret_scans": secrets.query,
+    "op5_substring_dedup": passages.query,
     "op6_token_files": token_files.query,
     "op7_near_copies": near_copies.query,
     "op8_benchmark_decontamination": decontaminate.query,
     "op9_lm_scoring": scoring.query,
     "op10_nearest_neighbours": neighbours.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_token_counts": token_counts.ORACLE}
