@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from . import shared, words
 
@@ -348,8 +349,6 @@ def encode(df: DataFrame, column: str = "text", out: str = "ids", tokenizer: str
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.record_batch([*batch.slice(a, b - a).columns, lists], [*names, out])
 
-    from pyspark.sql.types import ArrayType, IntegerType, StructType
-
     return df.mapInArrow(run, StructType([*(f for f in df.schema.fields), *StructType().add(out, ArrayType(IntegerType())).fields]))
 
 
@@ -365,26 +364,25 @@ def decode(df: DataFrame, column: str = "ids", out: str = "decoded", tokenizer:
             text = kit.decode(pc.list_flatten(lists), np.r_[0, np.cumsum(size)])
             yield pa.record_batch([*batch.columns, text.cast(pa.string())], [*names, out])
 
-    from pyspark.sql.types import StringType, StructType
-
     return df.mapInArrow(run, StructType([*(f for f in df.schema.fields), *StructType().add(out, StringType()).fields]))
 
 
-def round_trip(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """One pass over doc_id, text: doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded."""
-    docs = shared.carried(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer: str = TOKENIZER) -> DataFrame:
+    """One pass over texts: the columns to keep, n_tokens, ids (little-endian unsigned 32-bit), decoded."""
+    docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kit = load(tokenizer)
         for batch in batches:
-            for a, b, ids, at in chunks(kit, batch.column(1)):
+            for a, b, ids, at in chunks(kit, batch.column(len(keep))):
                 packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer((at * 4).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
                 text = kit.decode(pa.array(ids), at)
-                yield pa.record_batch([batch.column(0)[a:b], pa.array(np.diff(at), pa.int64()), packed.cast(pa.binary()), text.cast(pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+                yield pa.record_batch([*batch.slice(a, b - a).columns[:-1], pa.array(np.diff(at), pa.int64()), packed.cast(pa.binary()), text.cast(pa.string())], [*keep, "n_tokens", "ids", "decoded"])
 
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    return docs.mapInArrow(run, StructType([*docs.drop("__text").schema.fields, *StructType.fromDDL("n_tokens long, ids binary, decoded string").fields]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = round_trip(shared.read(spark, sf_dir, "documents"))
+    docs = shared.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = round_trip(docs)
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

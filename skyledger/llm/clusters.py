@@ -1,11 +1,11 @@
 """Clusters of similar items from band collisions: stars first, then what stars leave open.
 
-Buckets (items of one band) may be large, so pairs within a bucket are never all made. In a star round
+Buckets (items of one band) may be large, so pairs within a bucket are never all made. First
 each bucket's most central item is its leader, every other item is paired with the leader, and the
-pairs are verified. Verified links join components. Later rounds only concern items of a bucket that
-aren't in a component their bucket has had a leader from. What STAR_ROUNDS rounds leave open is closed
-exactly: all pairs of one bucket whose items are in different components, dealt in blocks of BLOCK
-items, whose signatures agree enough to be worth verifying. Pairs inside one component need no look.
+pairs are verified. Verified links join components. What that leaves open is closed exactly: the items
+of a bucket that aren't in its largest component are compared with all its items of other components,
+block by block, and only links that join components become rows. Pairs inside one component need no
+look. Every pair that shares a band is so compared or already connected.
 
 Links and labels stay distributed; hot buckets are counted with partial sums, and joins on them are
 left to skew handling.
@@ -13,18 +13,83 @@ left to skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared
+from . import shared, words
 
-STAR_ROUNDS = 3
-BLOCK = 256
+BLOCK, BLOCK_BYTES = 512, 8 << 20
+COLUMNS = 4096
 MOST_ROUNDS = 60
 
 
+class Jaccard:
+    """Whether two packed sets are `similar`, by the Jaccard similarity of their weights or of the plain
+    sets. A packed set is its ids in ascending order (8 bytes each), then for each its weight step (1 byte)."""
+
+    def __init__(self, weights: np.ndarray, similar: float):
+        self.weights, self.similar = np.asarray(weights, np.float64), similar
+
+    @staticmethod
+    def pack(ids: np.ndarray, steps: np.ndarray) -> bytes:
+        return ids.astype("<u8").tobytes() + steps.astype(np.uint8).tobytes()
+
+    @staticmethod
+    def unpack(x: bytes) -> tuple[np.ndarray, np.ndarray]:
+        n = len(x) // 9
+        return np.frombuffer(x, "<u8", n), np.frombuffer(x, np.uint8, n, n * 8)
+
+    def pair(self, x: bytes, y: bytes) -> bool:
+        (ia, sa), (ib, sb) = self.unpack(x), self.unpack(y)
+        if not len(ia) or not len(ib):
+            return False
+        wa, wb = self.weights[sa], self.weights[sb]
+        at = np.minimum(np.searchsorted(ib, ia), len(ib) - 1)
+        same = ib[at] == ia
+        n, low = int(same.sum()), np.minimum(wa[same], wb[at[same]]).sum()
+        return self._enough(low, wa.sum() + wb.sum() - low) or self._enough(n, len(ia) + len(ib) - n)
+
+    def _enough(self, shared_part, whole):
+        return shared_part >= self.similar * whole - 1e-9
+
+    def matrix(self, xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        """pair() of all xs with all ys. The least of two weights is summed over weight steps: a column
+        for each id and step that occurs, which a set of that id and a step as high has."""
+        sides = []
+        for packed in (xs, ys):
+            parts = [self.unpack(p) for p in packed]
+            size = np.array([len(p[0]) for p in parts])
+            sides.append((np.repeat(np.arange(len(parts)), size), np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), size))
+        weigh = [np.bincount(o, self.weights[s], len(n)) for o, _, s, n in sides]
+        common = np.intersect1d(sides[0][1], sides[1][1])
+        low, plain = np.zeros((len(xs), len(ys))), np.zeros((len(xs), len(ys)))
+        for k in range(0, len(common), COLUMNS):
+            ids, own = common[k : k + COLUMNS], []
+            for owner, i, step, _ in sides:
+                at = np.minimum(np.searchsorted(ids, i), len(ids) - 1)
+                ok = ids[at] == i
+                own.append((owner[ok], at[ok].astype(np.int64), step[ok].astype(np.int64)))
+            columns = np.unique(np.concatenate([a * 256 + s for _, a, s in own]))
+            first = np.searchsorted(columns, np.arange(len(ids)) * 256)
+            value = self.weights[columns % 256]
+            value[1:] -= np.where(columns[1:] // 256 == columns[:-1] // 256, self.weights[columns[:-1] % 256], 0)
+            dense = []
+            for (owner, a, s), n in zip(own, (len(xs), len(ys)), strict=True):
+                last = np.searchsorted(columns, a * 256 + s)
+                m = np.zeros((n, len(columns)), np.float32)
+                m[np.repeat(owner, last - first[a] + 1), words.ragged(first[a], last - first[a] + 1)] = 1
+                dense.append(m)
+            low += (dense[0] * value.astype(np.float32)) @ dense[1].T
+            plain += dense[0][:, first] @ dense[1][:, first].T
+        n = [s[3] for s in sides]
+        near = self._enough(low * (1 + 1e-6), weigh[0][:, None] + weigh[1][None, :] - low)
+        return near | self._enough(plain, n[0][:, None] + n[1][None, :] - plain) & (plain > 0)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the least node of its component) of every node in links (a, b), by alternating
     large and small stars until nothing changes; each round is a table in the shared folder."""
@@ -65,55 +130,80 @@ def bucketed(flat: DataFrame) -> DataFrame:
     return shared.materialize(shared_bands.drop("n").join(weight, "item"), "buckets")
 
 
-def cluster(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], signatures: DataFrame, agree: int) -> DataFrame | None:
-    """node, root of all items with a verified link. verify turns pairs (a, b) into the true links among
-    them; signatures (item, sig) give, for a pair, how many entries agree, and `agree` is the least
-    count at which an open pair is verified. None if there are no links."""
-    links, labels, led = None, None, None
-    for _ in range(STAR_ROUNDS):
-        left = _open(buckets, labels)
-        if led is not None:  # items of components that their bucket has had a leader from are done with
-            used = led.join(labels.select(F.col("node").alias("lead"), F.col("root").alias("r")), "lead", "left").select("band", F.coalesce("r", "lead").alias("root")).distinct()
-            left = left.join(used, ["band", "root"], "left_anti")
-        leads = left.groupBy("band").agg(F.max(F.struct("weight", F.bitwise_not("item").alias("i"))).alias("m")).select("band", F.bitwise_not("m.i").alias("lead"))
-        new_led = shared.materialize(leads if led is None else leads.unionByName(led), "led")
-        pool = left if led is None else _open(buckets, labels)
-        newest = leads if led is None else new_led.join(led, ["band", "lead"], "left_anti")
-        pairs = pool.join(newest, "band").where("item <> lead").select(F.least("item", "lead").alias("a"), F.greatest("item", "lead").alias("b")).distinct()
-        if labels is not None:
-            pairs = _across(pairs, labels)
-        found = shared.materialize(verify(pairs), "links")
-        if found.isEmpty():
-            led = new_led
-            if labels is None:
-                continue
-            break
-        links = found if links is None else links.unionByName(found)
-        labels, led = shared.materialize(components(links), "labels"), new_led
-    rest = shared.materialize(_open(buckets, labels), "open")
-    if not rest.isEmpty():
-        found = shared.materialize(verify(_rest(rest, signatures, agree)), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = shared.materialize(components(links), "labels")
+def cluster(buckets: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFrame | None:
+    """node, root of all items with a link among buckets (band, item, weight), given packed (item,
+    packed; see Jaccard). None if there are no links."""
+    leads = buckets.groupBy("band").agg(F.max(F.struct("weight", F.bitwise_not("item").alias("i"))).alias("m")).select("band", F.bitwise_not("m.i").alias("lead"))
+    pairs = buckets.join(leads, "band").where("item <> lead").select(F.least("item", "lead").alias("a"), F.greatest("item", "lead").alias("b")).distinct()
+    links = shared.materialize(_verified(pairs, packed, measure), "links")
+    labels = None if links.isEmpty() else shared.materialize(components(links), "labels")
+    found = shared.materialize(_rest(_open(buckets, labels), packed, measure), "links")
+    if not found.isEmpty():
+        labels = shared.materialize(components(links.unionByName(found)), "labels")
     return labels
 
 
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs between different components."""
-    out = pairs
-    for c in ("a", "b"):
-        out = out.join(labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")), c, "left").withColumn(f"r{c}", F.coalesce(f"r{c}", c))
-    return out.where("ra <> rb").select("a", "b")
-
-
-def _rest(rest: DataFrame, signatures: DataFrame, agree: int) -> DataFrame:
-    """Pairs of one bucket, of different components, whose signatures agree in `agree` entries. A bucket
-    of n items has ceil(n / BLOCK) blocks; each pair of blocks is one join key."""
-    blocks = rest.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = rest.join(blocks, "band").join(signatures, "item").withColumn("block", F.pmod(F.hash("item"), "blocks"))
-    low = placed.select("band", F.col("item").alias("a"), F.col("root").alias("ra"), F.col("sig").alias("sa"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"))
-    high = placed.select("band", F.col("item").alias("b"), F.col("root").alias("rb"), F.col("sig").alias("sb"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
-    same = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    pairs = low.join(high, ["band", "i", "j"]).where((F.col("ra") != F.col("rb")) & ((F.col("i") < F.col("j")) | (F.col("a") < F.col("b"))) & (same >= agree))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _verified(pairs: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFrame:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [measure.pair(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    one = pairs.join(packed.select(F.col("item").alias("a"), F.col("packed").alias("pa")), "a")
+    both = one.join(packed.select(F.col("item").alias("b"), F.col("packed").alias("pb")), "b")
+    return both.select("a", "b", "pa", "pb").mapInArrow(shared.lean(compare), "a long, b long")
+
+
+def _rest(left: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFrame:
+    """A forest of the links between items of one bucket and different components. In each bucket the
+    items outside its largest component, in blocks i, meet all its items, in blocks j; a block has about
+    BLOCK items and BLOCK_BYTES bytes, and a task holds two at a time."""
+    left = shared.materialize(left.join(packed, "item").withColumn("size", F.octet_length("packed")), "open")
+    by_root = left.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    sizes = by_root.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max_by(F.struct("n", "bytes"), F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    sizes = sizes.select("band", "top", blocks(F.col("n"), F.col("bytes")).alias("all"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("others"))
+    placed = left.join(sizes, "band").withColumn("at", F.xxhash64("item"))
+    kept = ("item", "root", "packed")
+    low = placed.where("root <> top").select("band", F.expr("cast(pmod(at, others) as int)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), F.lit(0).alias("side"), *kept)
+    high = placed.select("band", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"), F.expr("cast(pmod(at, all) as int)").alias("j"), F.lit(1).alias("side"), *kept)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sides = None, ([], [])
+
+        def done() -> pa.RecordBatch:
+            found = _forest(*sides, measure)
+            return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != key and key is not None:
+                    if sides[0] and sides[1]:
+                        yield done()
+                    sides = ([], [])
+                key = row[:3]
+                sides[row[3]].append(row[4:])
+        if sides[0] and sides[1]:
+            yield done()
+
+    return low.unionByName(high).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
+
+
+def _forest(low: list[tuple], high: list[tuple], measure: Jaccard) -> list[tuple[int, int]]:
+    """Links between low and high that join components, each with an item on either side."""
+    roots = [np.array([r[1] for r in side]) for side in (low, high)]
+    near = measure.matrix([r[2] for r in low], [r[2] for r in high]) & (roots[0][:, None] != roots[1][None, :])
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for x, y in zip(*np.nonzero(near), strict=True):
+        a, b = top(low[x][1]), top(high[y][1])
+        if a != b:
+            parent[a] = b
+            out.append((low[x][0], high[y][0]))
+    return out

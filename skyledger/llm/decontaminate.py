@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import shared, words
 
@@ -27,7 +28,8 @@ WINDOW = 13
 #: Bytes of benchmark text that one broadcast set may hold; a larger benchmark is scanned in blocks.
 MAX_SET_BYTES = 32 << 20
 CHUNK = 4 << 20
-SCHEMA = "row long, doc_id long, n_words long, items array<string>, hit_words array<long>, hit_chars array<long>"
+SCHEMA = "n_words long, items array<string>, hit_words array<long>, hit_chars array<long>"
+FOUND = ["n_words", "items", "hit_words", "hit_chars"]
 
 
 @dataclass
@@ -137,23 +139,24 @@ def _merge(ranges: list[list[int]]) -> list[int]:
 
 
 def _one_pass(docs: DataFrame, rows: list, window: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(window_set(rows, window))
+    """docs with the findings of every row."""
+    sent, names = docs.sparkSession.sparkContext.broadcast(window_set(rows, window)), docs.columns
+    kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = sent.value
-        schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("hit_words", pa.list_(pa.int64())), ("hit_chars", pa.list_(pa.int64()))])
         for batch in batches:
-            data, offsets = words.flat(batch.column(2))
+            data, offsets = words.flat(batch.column(names.index("text")))
             for a, b in words.slices(offsets, CHUNK):
                 found = _scan(have, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b].cast(pa.int64()), *(pa.array(found[c], schema.field(c).type) for c in schema.names[2:])], schema=schema)
+                yield pa.record_batch([*batch.slice(a, b - a).columns, *(pa.array(found[c], kind) for c, kind in zip(FOUND, kinds, strict=True))], [*names, *FOUND])
 
-    return docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, SCHEMA)
+    return docs.mapInArrow(scan, StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields]))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_bytes: int = MAX_SET_BYTES) -> DataFrame:
-    """One row per document row: row, doc_id, n_words, items (ids with occurring windows, sorted as
-    text), hit_words and hit_chars (flat start, end pairs; ends exclusive), n_hit, n_items, contaminated.
+    """docs (any columns besides text) with n_words, items (ids with occurring windows, sorted as text),
+    hit_words and hit_chars (flat start, end pairs; ends exclusive), n_hit, n_items, contaminated.
 
     The benchmark's size is measured first. Within max_set_bytes it is broadcast whole; beyond it,
     hash blocks of about that size are broadcast one after another over the same documents and
@@ -161,39 +164,41 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_by
     """
     items = shared.carried(benchmark, "item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    docs = shared.carried(docs, "doc_id", "text")
     blocks = -(-total // max_set_bytes) or 1
     if blocks == 1:
-        found = _one_pass(docs.withColumn("row", F.lit(None).cast("long")), items.collect(), window)
+        found = _one_pass(docs, items.collect(), window)
     else:
-        docs = shared.materialize(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+        whole = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
         block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-        passes = [_one_pass(docs, items.where(block == k).collect(), window) for k in range(blocks)]
+        passes = [_one_pass(whole.select("__row", "text"), items.where(block == k).collect(), window).drop("text") for k in range(blocks)]
         both = passes[0]
         for other in passes[1:]:
             both = both.unionByName(other)
-        listed = both.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.collect_list("hit_words").alias("hit_words"), F.collect_list("hit_chars").alias("hit_chars"))
+        listed = both.groupBy("__row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.collect_list("hit_words").alias("hit_words"), F.collect_list("hit_chars").alias("hit_chars"))
         merge = F.udf(_merge, "array<long>")
-        found = listed.withColumns({"hit_words": merge("hit_words"), "hit_chars": merge("hit_chars")})
-    n_hit = F.coalesce(F.aggregate(F.sequence(F.lit(0), F.size("hit_words") - 1), F.lit(0).cast("long"), lambda s, k: s + F.when(k % 2 == 1, F.get("hit_words", k)).otherwise(-F.get("hit_words", k))), F.lit(0))
+        found = whole.join(listed.withColumns({"hit_words": merge("hit_words"), "hit_chars": merge("hit_chars")}), "__row").drop("__row")
+    n_hit = F.aggregate(F.sequence(F.lit(0), F.size("hit_words") - 1), F.lit(0).cast("long"), lambda s, k: s + F.when(k % 2 == 1, F.get("hit_words", k)).otherwise(-F.get("hit_words", k)))
     found = found.withColumns({"n_hit": F.when(F.size("hit_words") > 0, n_hit).otherwise(F.lit(0).cast("long")), "n_items": F.size("items").cast("long")})
     return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "benchmark"))
+    docs = shared.read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = scan(docs, shared.read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", window: int = WINDOW) -> DataFrame:
     """docs without contaminated documents, or (mode "spans") all documents with the hit words cut out
-    of contaminated ones' texts. Keeps docs' columns; works in one pass over the rows, with the scan's rules."""
+    of contaminated ones' texts. Keeps docs' columns; rows never leave their place."""
     if mode not in ("documents", "spans"):
         raise ValueError("mode is documents or spans")
-    spark, names = docs.sparkSession, docs.columns
-    kept = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "clean")
-    found = scan(kept.select(F.col("__row").alias("doc_id"), "text"), benchmark, window).where("contaminated").select(F.col("doc_id").alias("__row"), "hit_chars")
+    own = [f"__{k}" for k in range(len(docs.columns))]  # findings can't clash with the columns of docs
+    at = docs.columns.index("text")
+    found = scan(docs.toDF(*("text" if k == at else c for k, c in enumerate(own))), benchmark, window)
+    text = F.col("text")
     if mode == "documents":
-        return kept.join(found, "__row", "left_anti").select(*names)
-    joined = kept.join(found, "__row", "left")
-    return joined.select(*(F.coalesce(shared.cut("text", "hit_chars"), "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names))
+        found = found.where(~F.col("contaminated"))
+    else:
+        text = F.when(F.col("contaminated"), shared.cut("text", "hit_chars")).otherwise(text)
+    return found.select(*((text if k == at else F.col(c)).alias(name) for k, (c, name) in enumerate(zip(own, docs.columns, strict=True))))

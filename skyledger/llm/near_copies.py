@@ -44,8 +44,6 @@ LEVELS = 80
 POOL = 1 << 16
 #: Most ids of candidate texts that are broadcast (8 bytes each); more are joined by shuffle.
 MAX_SENT = 1_000_000
-#: Of SAMPLES, so many agree for a pair of 0.67 but with a chance below 1e-6.
-AGREE = 22
 _ODD = np.random.default_rng(11).integers(1, 2**62, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -91,7 +89,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
                     row += np.bincount(at, minlength=WIDTH)
         yield _blocks(table.ravel(), TaskContext.get().partitionId() % 32)
 
-    sums = docs.select("text").mapInArrow(tally, "block int, salt int, width int, counts binary")
+    sums = docs.select("text").mapInArrow(shared.lean(tally), "block int, salt int, width int, counts binary")
     for key in (("block", "salt"), ("block",)):
         sums = sums.repartition(*key).sortWithinPartitions(*key).mapInArrow(_add(len(key)), "block int, salt int, width int, counts binary")
     table = np.zeros(DEPTH * WIDTH, np.int64)
@@ -175,24 +173,8 @@ def bands(samples: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def similarity(sampler_weights: np.ndarray, a: bytes, b: bytes) -> tuple[float, float]:
-    """Weighted and plain Jaccard similarity of two packed texts (see pack)."""
-    (ia, wa), (ib, wb) = ((np.frombuffer(x, np.uint64, n := len(x) // 9), sampler_weights[np.frombuffer(x, np.uint8, n, n * 8)]) for x in (a, b))
-    at = np.minimum(np.searchsorted(ib, ia), len(ib) - 1)
-    same = ib[at] == ia
-    low, high = np.minimum(wa[same], wb[at[same]]).sum(), np.maximum(wa[same], wb[at[same]]).sum()
-    total = wa.sum() + wb.sum() - low - high
-    n = int(same.sum())
-    return low / (high + total - 0.0) if high + total else 0.0, n / (len(ia) + len(ib) - n)
-
-
-def pack(ids: np.ndarray, levels: np.ndarray) -> bytes:
-    """Shingle ids in ascending order (8 bytes each), then their weight steps (1 byte each)."""
-    return ids.tobytes() + levels.astype(np.uint8).tobytes()
-
-
 def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """row, doc_id, item (hash of the text; null if it has no words), bands, sig of every row."""
+    """row, doc_id, item (hash of the text; null if it has no words), bands of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(sampler)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +184,12 @@ def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
                 text, samples = sent.value.sketch(*shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
                 size = np.zeros(b - a, np.int64)
                 size[text] = 1
-                lists = []
-                for values, kind in ((bands(samples), pa.int64()), (samples.astype(np.uint32).view(np.int32) ^ (samples >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32())):
-                    lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)] * values.shape[1], pa.int32()), pa.array(values.ravel(), kind)))
+                keys = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)] * BANDS, pa.int32()), pa.array(bands(samples).ravel()))
                 item = pa.array(np.asarray(batch.column(2)[a:b]), mask=size == 0)
-                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], item, *lists], ["row", "doc_id", "item", "bands", "sig"])
+                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], item, keys], ["row", "doc_id", "item", "bands"])
 
     whole = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("item"), "text")
-    return shared.materialize(whole.mapInArrow(run, "row long, doc_id long, item long, bands array<long>, sig array<int>"), "sketches")
+    return shared.materialize(whole.mapInArrow(shared.lean(run), "row long, doc_id long, item long, bands array<long>"), "sketches")
 
 
 def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
@@ -239,36 +219,22 @@ def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
                 text, sh, counts = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 level = sent.value.levels(sh, counts)
                 cut = np.searchsorted(text, np.arange(b - a + 1))
-                yield pa.record_batch([pa.array(item[a:b]), pa.array([pack(sh[x:y], level[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["item", "packed"])
+                yield pa.record_batch([pa.array(item[a:b]), pa.array([clusters.Jaccard.pack(sh[x:y], level[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["item", "packed"])
 
-    packed = texts.mapInArrow(run, "item long, packed binary")
+    packed = texts.mapInArrow(shared.lean(run), "item long, packed binary")
     return shared.materialize(packed.groupBy("item").agg(F.first("packed").alias("packed")), "packed")
 
 
-def _links(packed: DataFrame, weights: np.ndarray, similar: float):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [max(similarity(weights, x, y)) >= similar for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(packed.select(F.col("item").alias("a"), F.col("packed").alias("pa")), "a")
-        both = one.join(packed.select(F.col("item").alias("b"), F.col("packed").alias("pb")), "b")
-        return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long")
-
-    return verify
-
-
 def _labelled(docs: DataFrame, similar: float) -> DataFrame:
     """row, doc_id, root of every row; rows of one root are one class."""
     n = docs.where("text is not null").count()
     sampler = Sampler(document_frequencies(docs), n)
     sketches = _sketched(docs, sampler)
-    texts = sketches.where("item is not null").select("item", "bands", "sig")
-    distinct = texts.groupBy("item").agg(F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    texts = sketches.where("item is not null").select("item", "bands")
+    distinct = texts.groupBy("item").agg(F.first("bands").alias("bands"))
     buckets = clusters.bucketed(distinct.select(F.explode(F.array_distinct("bands")).alias("band"), "item"))
     packed = _packed(docs, buckets.select("item").distinct(), sampler)
-    labels = clusters.cluster(buckets, _links(packed, sampler.weights, similar), distinct.select("item", "sig"), AGREE)
+    labels = clusters.cluster(buckets, packed, clusters.Jaccard(sampler.weights, similar))
     rows = sketches.select("row", "doc_id", "item")
     if labels is None:
         return rows.withColumn("root", F.col("item"))
@@ -295,10 +261,10 @@ def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """docs with one document of each class, all columns."""
     names = docs.columns
     numbered = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup")
-    # the row number stands in for the id, after the id itself has decided which row of a class comes first
-    order = shared.materialize(_labelled(numbered.select(F.col("__row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("__row"), "root"), "order")
-    ids = numbered.select("__row", F.col("doc_id"))
+    # _labelled() numbers rows itself, so this number goes in its id column, and the true id joins later
+    order = _labelled(numbered.select(F.col("__row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("__row"), "root").where("root is not null")
+    order = shared.materialize(order.join(numbered.select("__row", "doc_id"), "__row"), "order")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
-    first = order.where("root is not null").join(ids, "__row").groupBy("root").agg(F.min(place).alias("head")).select(F.col("head.__row").alias("__row"))
-    gone = order.where("root is not null").select("__row").join(first, "__row", "left_anti")
-    return numbered.join(gone, "__row", "left_anti").select(*(F.col(f"`{c}`") for c in names))
+    first = order.groupBy("root").agg(F.min(place).alias("head")).select("root", F.col("head.__row").alias("first"))
+    gone = shared.materialize(order.join(first, "root").where(F.col("__row") != F.col("first")).select("__row"), "gone")
+    return numbered.join(shared.small(gone), "__row", "left_anti").select(*(F.col(f"`{c}`") for c in names))

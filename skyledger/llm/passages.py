@@ -36,14 +36,13 @@ REACH = 5
 LEAST = 9
 RUN = 16
 BANDS = 3
-SIGNATURE, AGREE = 16, 7
 CHUNK = 2 << 20
 SHARD_BYTES = 16 << 20
 FLUSH = 1_000_000
 #: Most items that are broadcast (32 bytes each); more are joined by shuffle.
 MAX_SENT = 1_000_000
 _TOP = np.uint64(2**64 - 1)
-_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, SIGNATURE + BANDS, dtype=np.uint64)]
+_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS, dtype=np.uint64)]
 
 
 class Paragraphs:
@@ -138,7 +137,7 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for _, _, p in _slices(batch.column(0)):
                 long = p.size >= LEAST
-                for k, low in enumerate(p.minima(_SALTS[:BANDS])):
+                for k, low in enumerate(p.minima(_SALTS)):
                     held.append(_unique([(words.mix(low[long] + np.uint64(k)), p.item[long])]))
                 if sum(len(k) for k, _ in held) > FLUSH:
                     yield flush()
@@ -169,7 +168,7 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """item, packed (its distinct shingles in ascending order), sig of the wanted items."""
+    """item, packed (its distinct shingles) of the wanted items."""
     spark, ids = docs.sparkSession, None
     if wanted.count() <= MAX_SENT:
         ids = spark.sparkContext.broadcast(np.sort(np.asarray(wanted.toArrow().column(0).combine_chunks(), np.int64)))
@@ -185,31 +184,12 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     once &= known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item if len(known) else False
                 at, sh = np.flatnonzero(once & (p.size >= LEAST)), p.shingles()
                 packed = [np.unique(sh[p.begin[k] : p.end[k] - SHINGLE + 1]) for k in at]
-                lows = np.stack([[words.mix(x ^ salt).min() for salt in _SALTS[BANDS:]] for x in packed]).astype(np.uint32).view(np.int32) if packed else np.zeros((0, SIGNATURE), np.int32)
-                yield pa.record_batch([pa.array(item[at]), pa.array([x.tobytes() for x in packed], pa.binary()), pa.array(lows.tolist(), pa.list_(pa.int32()))], ["item", "packed", "sig"])
+                yield pa.record_batch([pa.array(item[at]), pa.array([clusters.Jaccard.pack(x, np.zeros(len(x))) for x in packed], pa.binary())], ["item", "packed"])
 
-    found = docs.select("text").mapInArrow(shared.lean(run), "item long, packed binary, sig array<int>")
+    found = docs.select("text").mapInArrow(shared.lean(run), "item long, packed binary")
     if ids is None:
         found = found.join(wanted, "item", "left_semi")
-    return shared.materialize(found.groupBy("item").agg(F.first("packed").alias("packed"), F.first("sig").alias("sig")), "shingled")
-
-
-def _links(shingled: DataFrame, similar: float):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(n >= similar * (len(x) + len(y) - n))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(shingled.select(F.col("item").alias("a"), F.col("packed").alias("pa")), "a")
-        both = one.join(shingled.select(F.col("item").alias("b"), F.col("packed").alias("pb")), "b")
-        return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long")
-
-    return verify
+    return shared.materialize(found.groupBy("item").agg(F.first("packed").alias("packed")), "shingled")
 
 
 def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -217,7 +197,7 @@ def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> Da
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = clusters.bucketed(shared.materialize(collisions(docs, max(1, -(-size // SHARD_BYTES))), "collisions"))
     shingled = _shingled(docs, buckets.select("item").distinct())
-    labels = clusters.cluster(buckets, _links(shingled, similar), shingled.select("item", "sig"), AGREE)
+    labels = clusters.cluster(buckets, shingled, clusters.Jaccard(np.ones(1), similar))
     place = F.struct("row", "doc_id")
     seen = table.select("row", "doc_id", F.explode("items").alias("item")).groupBy("item").agg(F.min(place).alias("low"), F.max("row").alias("high"))
     if labels is None:

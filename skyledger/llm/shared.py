@@ -50,6 +50,11 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A table of numbers, marked for broadcast if it has at most `rows` rows; beyond, the join shuffles."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
