@@ -2,10 +2,12 @@
 
 Buckets (items of one band) may be large, so pairs within a bucket are never all made. First
 each bucket's most central item is its leader, every other item is paired with the leader, and the
-pairs are verified. Verified links join components. What that leaves open is closed exactly: the items
-of a bucket that aren't in its largest component are compared with all its items of other components,
-block by block, and only links that join components become rows. Pairs inside one component need no
-look. Every pair that shares a band is so compared or already connected.
+pairs are verified. Verified links join components; pairs inside one need no look. What is left open, all
+pairs of a bucket in different components, is closed in two steps, each block by block, with only such
+pairs as rows that join something. First, components with items whose signatures agree in a good part
+of their entries make families. Then the items of a family that aren't in its largest component are
+compared exactly with all its items. So every pair that shares a band is connected, compared, or of
+signatures that two similar sets have with a negligible chance; no size of group is treated otherwise.
 
 Links and labels stay distributed; hot buckets are counted with partial sums, and joins on them are
 left to skew handling.
@@ -13,7 +15,7 @@ left to skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import shared, words
 
-BLOCK, BLOCK_BYTES = 512, 8 << 20
+BLOCK, BLOCK_SIGNATURES, BLOCK_BYTES = 512, 2048, 8 << 20
 COLUMNS = 4096
 MOST_ROUNDS = 60
 
@@ -130,14 +132,21 @@ def bucketed(flat: DataFrame) -> DataFrame:
     return shared.materialize(shared_bands.drop("n").join(weight, "item"), "buckets")
 
 
-def cluster(buckets: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFrame | None:
-    """node, root of all items with a link among buckets (band, item, weight), given packed (item,
-    packed; see Jaccard). None if there are no links."""
+def cluster(buckets: DataFrame, packed: DataFrame, measure: Jaccard, agree: int) -> DataFrame | None:
+    """node, root of all items with a link among buckets (band, item, weight), given packed (item, packed,
+    sig): the packed set, see Jaccard, and a byte for each of its samples, of which `agree` are equal for
+    similar sets. None if there are no links."""
     leads = buckets.groupBy("band").agg(F.max(F.struct("weight", F.bitwise_not("item").alias("i"))).alias("m")).select("band", F.bitwise_not("m.i").alias("lead"))
     pairs = buckets.join(leads, "band").where("item <> lead").select(F.least("item", "lead").alias("a"), F.greatest("item", "lead").alias("b")).distinct()
     links = shared.materialize(_verified(pairs, packed, measure), "links")
     labels = None if links.isEmpty() else shared.materialize(components(links), "labels")
-    found = shared.materialize(_rest(_open(buckets, labels), packed, measure), "links")
+    left = shared.materialize(_open(buckets, labels).select("band", "item", "root"), "open")
+    kin = shared.materialize(_met(left, packed.select("item", F.col("sig").alias("packed")), _alike(agree), BLOCK_SIGNATURES), "kin")
+    if kin.isEmpty():
+        return labels
+    families = components(kin).withColumnRenamed("root", "band").withColumnRenamed("node", "root")
+    items = left.select("item", "root").distinct().join(families, "root").select("band", "item", "root")
+    found = shared.materialize(_met(items, packed.select("item", "packed"), _similar(measure), BLOCK), "links")
     if not found.isEmpty():
         labels = shared.materialize(components(links.unionByName(found)), "labels")
     return labels
@@ -154,45 +163,41 @@ def _verified(pairs: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFram
     return both.select("a", "b", "pa", "pb").mapInArrow(shared.lean(compare), "a long, b long")
 
 
-def _rest(left: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFrame:
-    """A forest of the links between items of one bucket and different components. In each bucket the
-    items outside its largest component, in blocks i, meet all its items, in blocks j; a block has about
-    BLOCK items and BLOCK_BYTES bytes, and a task holds two at a time."""
-    left = shared.materialize(left.join(packed, "item").withColumn("size", F.octet_length("packed")), "open")
-    by_root = left.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+def _met(left: DataFrame, packed: DataFrame, meet: Callable, block: int) -> DataFrame:
+    """What `meet` makes of the items of each group `band` outside its largest component, in blocks i, and
+    all its items, in blocks j. A block has about `block` items and BLOCK_BYTES bytes; a task holds two."""
+    sized = shared.materialize(left.join(packed.select("item", F.octet_length("packed").alias("size")), "item"), "sized")
+    by_root = sized.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     sizes = by_root.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max_by(F.struct("n", "bytes"), F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
-    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
-    sizes = sizes.select("band", "top", blocks(F.col("n"), F.col("bytes")).alias("all"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("others"))
-    placed = left.join(sizes, "band").withColumn("at", F.xxhash64("item"))
-    kept = ("item", "root", "packed")
-    low = placed.where("root <> top").select("band", F.expr("cast(pmod(at, others) as int)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), F.lit(0).alias("side"), *kept)
-    high = placed.select("band", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"), F.expr("cast(pmod(at, all) as int)").alias("j"), F.lit(1).alias("side"), *kept)
+    blocks = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / BLOCK_BYTES)).cast("int")
+    sizes = sizes.where(F.col("n") > F.col("most.n")).select("band", "top", blocks(F.col("n"), F.col("bytes")).alias("all"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("others"))
+    placed = sized.drop("size").join(sizes, "band").withColumn("at", F.xxhash64("item"))
+    low = placed.where("root <> top").select("band", F.expr("cast(pmod(at, others) as int)").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), F.lit(0).alias("side"), "item", "root")
+    high = placed.select("band", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"), F.expr("cast(pmod(at, all) as int)").alias("j"), F.lit(1).alias("side"), "item", "root")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, sides = None, ([], [])
 
         def done() -> pa.RecordBatch:
-            found = _forest(*sides, measure)
+            found = meet(*sides)
             return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:3] != key and key is not None:
+                if row[:3] != key:
                     if sides[0] and sides[1]:
                         yield done()
-                    sides = ([], [])
-                key = row[:3]
+                    key, sides = row[:3], ([], [])
                 sides[row[3]].append(row[4:])
         if sides[0] and sides[1]:
             yield done()
 
-    return low.unionByName(high).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
+    dealt = low.unionByName(high).join(packed, "item").select("band", "i", "j", "side", "item", "root", "packed")
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
 
 
-def _forest(low: list[tuple], high: list[tuple], measure: Jaccard) -> list[tuple[int, int]]:
-    """Links between low and high that join components, each with an item on either side."""
-    roots = [np.array([r[1] for r in side]) for side in (low, high)]
-    near = measure.matrix([r[2] for r in low], [r[2] for r in high]) & (roots[0][:, None] != roots[1][None, :])
+def _forest(near: np.ndarray, low: list[tuple], high: list[tuple]) -> Iterator[tuple[int, int]]:
+    """Positions of near pairs that join components (low, high: item, root, packed), no more than needed."""
     parent: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -200,10 +205,30 @@ def _forest(low: list[tuple], high: list[tuple], measure: Jaccard) -> list[tuple
             parent[x] = x = parent[parent[x]]
         return x
 
-    out = []
-    for x, y in zip(*np.nonzero(near), strict=True):
+    roots = [np.array([r[1] for r in side]) for side in (low, high)]
+    for x, y in zip(*np.nonzero(near & (roots[0][:, None] != roots[1][None, :])), strict=True):
         a, b = top(low[x][1]), top(high[y][1])
         if a != b:
             parent[a] = b
-            out.append((low[x][0], high[y][0]))
-    return out
+            yield x, y
+
+
+def _alike(agree: int) -> Callable:
+    """Pairs of components with items whose signatures agree."""
+
+    def meet(low: list[tuple], high: list[tuple]) -> list[tuple[int, int]]:
+        a, b = (np.frombuffer(b"".join(r[2] for r in side), np.uint8).reshape(len(side), -1) for side in (low, high))
+        same = np.zeros((len(low), len(high)), np.uint8)
+        for k in range(a.shape[1]):
+            same += a[:, k, None] == b[None, :, k]
+        return [(low[x][1], high[y][1]) for x, y in _forest(same >= agree, low, high)]
+
+    return meet
+
+
+def _similar(measure: Jaccard) -> Callable:
+    def meet(low: list[tuple], high: list[tuple]) -> list[tuple[int, int]]:
+        near = measure.matrix([r[2] for r in low], [r[2] for r in high])
+        return [(low[x][0], high[y][0]) for x, y in _forest(near, low, high)]
+
+    return meet

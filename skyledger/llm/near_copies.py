@@ -36,6 +36,8 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 21, 3
 SAMPLES = BANDS * ROWS
+#: Of SAMPLES bytes, so many agree for a pair of 0.67 with a chance above 0.998.
+AGREE = 31
 CHUNK, DOCUMENTS = 4 << 20, 1 << 13
 WIDTH, DEPTH = 1 << 20, 2
 SEGMENT = 1 << 16
@@ -174,7 +176,7 @@ def bands(samples: np.ndarray) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
-    """row, doc_id, item (hash of the text; null if it has no words), bands of every row."""
+    """row, doc_id, item (hash of the text; null if it has no words), bands, sig (a byte of each sample) of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(sampler)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,11 +187,14 @@ def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
                 size = np.zeros(b - a, np.int64)
                 size[text] = 1
                 keys = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)] * BANDS, pa.int32()), pa.array(bands(samples).ravel()))
+                sig = [None] * (b - a)
+                for t, row in zip(text, (samples ^ (samples >> np.uint64(32))).astype(np.uint8), strict=True):
+                    sig[t] = row.tobytes()
                 item = pa.array(np.asarray(batch.column(2)[a:b]), mask=size == 0)
-                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], item, keys], ["row", "doc_id", "item", "bands"])
+                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], item, keys, pa.array(sig, pa.binary())], ["row", "doc_id", "item", "bands", "sig"])
 
     whole = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("item"), "text")
-    return shared.materialize(whole.mapInArrow(shared.lean(run), "row long, doc_id long, item long, bands array<long>"), "sketches")
+    return shared.materialize(whole.mapInArrow(shared.lean(run), "row long, doc_id long, item long, bands array<long>, sig binary"), "sketches")
 
 
 def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
@@ -230,11 +235,12 @@ def _labelled(docs: DataFrame, similar: float) -> DataFrame:
     n = docs.where("text is not null").count()
     sampler = Sampler(document_frequencies(docs), n)
     sketches = _sketched(docs, sampler)
-    texts = sketches.where("item is not null").select("item", "bands")
+    texts = sketches.where("item is not null").select("item", "bands", "sig")
     distinct = texts.groupBy("item").agg(F.first("bands").alias("bands"))
     buckets = clusters.bucketed(distinct.select(F.explode(F.array_distinct("bands")).alias("band"), "item"))
     packed = _packed(docs, buckets.select("item").distinct(), sampler)
-    labels = clusters.cluster(buckets, packed, clusters.Jaccard(sampler.weights, similar))
+    signed = packed.join(texts.groupBy("item").agg(F.min("sig").alias("sig")), "item")
+    labels = clusters.cluster(buckets, signed, clusters.Jaccard(sampler.weights, similar), AGREE)
     rows = sketches.select("row", "doc_id", "item")
     if labels is None:
         return rows.withColumn("root", F.col("item"))

@@ -36,13 +36,15 @@ REACH = 5
 LEAST = 9
 RUN = 16
 BANDS = 3
+#: Samples of a paragraph's signature, and how many of them two of 0.8 agree in with a chance above 0.9999.
+SAMPLES, AGREE = 32, 16
 CHUNK = 2 << 20
 SHARD_BYTES = 16 << 20
 FLUSH = 1_000_000
 #: Most items that are broadcast (32 bytes each); more are joined by shuffle.
 MAX_SENT = 1_000_000
 _TOP = np.uint64(2**64 - 1)
-_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS, dtype=np.uint64)]
+_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS + SAMPLES, dtype=np.uint64)]
 
 
 class Paragraphs:
@@ -137,7 +139,7 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for _, _, p in _slices(batch.column(0)):
                 long = p.size >= LEAST
-                for k, low in enumerate(p.minima(_SALTS)):
+                for k, low in enumerate(p.minima(_SALTS[:BANDS])):
                     held.append(_unique([(words.mix(low[long] + np.uint64(k)), p.item[long])]))
                 if sum(len(k) for k, _ in held) > FLUSH:
                     yield flush()
@@ -168,7 +170,7 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """item, packed (its distinct shingles) of the wanted items."""
+    """item, packed (its distinct shingles), sig of the wanted items."""
     spark, ids = docs.sparkSession, None
     if wanted.count() <= MAX_SENT:
         ids = spark.sparkContext.broadcast(np.sort(np.asarray(wanted.toArrow().column(0).combine_chunks(), np.int64)))
@@ -184,12 +186,16 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     once &= known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item if len(known) else False
                 at, sh = np.flatnonzero(once & (p.size >= LEAST)), p.shingles()
                 packed = [np.unique(sh[p.begin[k] : p.end[k] - SHINGLE + 1]) for k in at]
-                yield pa.record_batch([pa.array(item[at]), pa.array([clusters.Jaccard.pack(x, np.zeros(len(x))) for x in packed], pa.binary())], ["item", "packed"])
+                size = p.size[at] - SHINGLE + 1
+                own = sh[words.ragged(p.begin[at], size)]
+                low = [np.minimum.reduceat(words.mix(own ^ salt), np.cumsum(size) - size).astype(np.uint8) for salt in _SALTS[BANDS:]] if len(at) else []
+                sig = [x.tobytes() for x in np.stack(low, 1)] if len(at) else []
+                yield pa.record_batch([pa.array(item[at]), pa.array([clusters.Jaccard.pack(x, np.zeros(len(x))) for x in packed], pa.binary()), pa.array(sig, pa.binary())], ["item", "packed", "sig"])
 
-    found = docs.select("text").mapInArrow(shared.lean(run), "item long, packed binary")
+    found = docs.select("text").mapInArrow(shared.lean(run), "item long, packed binary, sig binary")
     if ids is None:
         found = found.join(wanted, "item", "left_semi")
-    return shared.materialize(found.groupBy("item").agg(F.first("packed").alias("packed")), "shingled")
+    return shared.materialize(found.groupBy("item").agg(F.first("packed").alias("packed"), F.min("sig").alias("sig")), "shingled")
 
 
 def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -197,7 +203,7 @@ def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> Da
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = clusters.bucketed(shared.materialize(collisions(docs, max(1, -(-size // SHARD_BYTES))), "collisions"))
     shingled = _shingled(docs, buckets.select("item").distinct())
-    labels = clusters.cluster(buckets, shingled, clusters.Jaccard(np.ones(1), similar))
+    labels = clusters.cluster(buckets, shingled, clusters.Jaccard(np.ones(1), similar), AGREE)
     place = F.struct("row", "doc_id")
     seen = table.select("row", "doc_id", F.explode("items").alias("item")).groupBy("item").agg(F.min(place).alias("low"), F.max("row").alias("high"))
     if labels is None:

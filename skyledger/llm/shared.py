@@ -82,9 +82,16 @@ def carried(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in needed))
 
 
+BATCH_BYTES = 16 << 20
+
+
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function for mapInArrow that gives freed memory back to the system when a task ends: workers
-    are used again, and what one task needed shouldn't add to the next one's."""
+    """A function for mapInArrow that gets batches of at most BATCH_BYTES and gives freed memory back to
+    the system when a task ends: workers are used again, and what one task needed shouldn't add to the
+    next one's."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     def wrapped(batches: Iterator) -> Iterator:
         try:
