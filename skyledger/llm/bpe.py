@@ -339,7 +339,8 @@ def chunks(kit: BPE, column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 
 def encode(df: DataFrame, column: str = "text", out: str = "ids", tokenizer: str = TOKENIZER) -> DataFrame:
-    """df with a column of token ids (array<int>)."""
+    """df with a column of token ids (array<int>); a column of that name is replaced."""
+    df = df.drop(out)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +354,9 @@ def encode(df: DataFrame, column: str = "text", out: str = "ids", tokenizer: str
 
 
 def decode(df: DataFrame, column: str = "ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
-    """df with a column of the decoded text of its ids; null ids decode to ""."""
+    """df with a column of the decoded text of its ids; null ids decode to "". A column of
+    that name is replaced."""
+    df = df.drop(out)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

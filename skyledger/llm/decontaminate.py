@@ -155,13 +155,14 @@ def _one_pass(docs: DataFrame, rows: list, window: int) -> DataFrame:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_bytes: int = MAX_SET_BYTES) -> DataFrame:
-    """docs (any columns besides text) with n_words, items (ids with occurring windows, sorted as text),
+    """docs (any columns besides text; of one name, the finding stays) with n_words, items (ids with occurring windows, sorted as text),
     hit_words and hit_chars (flat start, end pairs; ends exclusive), n_hit, n_items, contaminated.
 
     The benchmark's size is measured first. Within max_set_bytes it is broadcast whole; beyond it,
     hash blocks of about that size are broadcast one after another over the same documents and
     the findings of each row are merged, which gives the same rows.
     """
+    docs = docs.drop(*FOUND, "n_hit", "n_items", "contaminated", "__row")
     items = shared.carried(benchmark, "item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // max_set_bytes) or 1

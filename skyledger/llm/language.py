@@ -198,6 +198,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """docs without those whose language stays unknown (no letters) or scores below `least`; all columns stay."""
-    names = docs.columns
-    found = predict(docs, fit(docs), *names)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*(F.col(f"`{c}`") for c in names))
+    own = ["text" if c == "text" else f"__{k}" for k, c in enumerate(docs.columns)]  # no clash with what predict() adds
+    found = predict(docs.toDF(*own), fit(docs), *own)
+    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return kept.select(*(F.col(c).alias(name) for c, name in zip(own, docs.columns, strict=True)))
