@@ -62,7 +62,7 @@ def ignore_ids(spark: SparkSession, path: str | None = None, ids: Iterable[str]
         found = found.union(rows.select(F.trim(F.col(f"`{column}`"))))
     elif path:
         lines = spark.read.text(str(path))
-        found = found.union(lines.select(F.trim(F.explode(F.split(F.substring_index("value", "#", 1), ",")))))
+        found = found.union(lines.select(F.explode(F.split(F.substring_index("value", "#", 1), ",")).alias("i")).select(F.trim("i")))
     return found.where("object_id is not null and object_id <> ''").distinct()
 
 
