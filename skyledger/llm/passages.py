@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import clusters, shared, words
+from . import bits, clusters, shared, words
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -41,8 +42,6 @@ SAMPLES, AGREE = 32, 16
 CHUNK = 2 << 20
 SHARD_BYTES = 16 << 20
 FLUSH = 1_000_000
-#: Most items that are broadcast (32 bytes each); more are joined by shuffle.
-MAX_SENT = 1_000_000
 _TOP = np.uint64(2**64 - 1)
 _SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS + SAMPLES, dtype=np.uint64)]
 
@@ -170,10 +169,9 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """item, packed (its distinct shingles), sig of the wanted items."""
-    spark, ids = docs.sparkSession, None
-    if wanted.count() <= MAX_SENT:
-        ids = spark.sparkContext.broadcast(np.sort(np.asarray(wanted.toArrow().column(0).combine_chunks(), np.int64)))
+    """item, packed (its distinct shingles), sig of the wanted items: a bit set lets few others through the
+    scan, an exact join stops those."""
+    sent = bits.of(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,10 +179,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 item = p.item.view(np.int64)
                 once = np.zeros(len(item), bool)
                 once[np.unique(item, return_index=True)[1]] = True
-                if ids is not None:
-                    known = ids.value
-                    once &= known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item if len(known) else False
-                at, sh = np.flatnonzero(once & (p.size >= LEAST)), p.shingles()
+                at, sh = np.flatnonzero(once & (p.size >= LEAST) & bits.maybe(sent.value, item)), p.shingles()
                 packed = [np.unique(sh[p.begin[k] : p.end[k] - SHINGLE + 1]) for k in at]
                 size = p.size[at] - SHINGLE + 1
                 own = sh[words.ragged(p.begin[at], size)]
@@ -193,9 +188,8 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(item[at]), pa.array([clusters.Jaccard.pack(x, np.zeros(len(x))) for x in packed], pa.binary()), pa.array(sig, pa.binary())], ["item", "packed", "sig"])
 
     found = docs.select("text").mapInArrow(shared.lean(run), "item long, packed binary, sig binary")
-    if ids is None:
-        found = found.join(wanted, "item", "left_semi")
-    return shared.materialize(found.groupBy("item").agg(F.first("packed").alias("packed"), F.min("sig").alias("sig")), "shingled")
+    once = found.groupBy("item").agg(F.first("packed").alias("packed"), F.min("sig").alias("sig"))
+    return shared.materialize(once.join(wanted, "item", "left_semi"), "shingled")
 
 
 def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -215,33 +209,24 @@ def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> Da
     return alone.unionByName(some.join(heads, "root").select("item", "root", F.col("head.row").alias("first_row"), F.col("head.doc_id").alias("first_doc")))
 
 
-def _marked(table: DataFrame, repeated: DataFrame, most: int) -> DataFrame:
-    """table with `found`: for each paragraph the (root, first_row, first_doc) of its class, or null."""
-    kind = "array<struct<root:long,first_row:long,first_doc:long>>"
-    if repeated.count() <= most:
-        own = repeated.select("item", "root", "first_row", F.coalesce("first_doc", F.lit(-1)).alias("first_doc"), F.col("first_doc").isNull().alias("no_doc")).toArrow().combine_chunks()
-        item, root, row, doc, null = (np.asarray(own.column(k).combine_chunks()) for k in range(5))
-        order = np.argsort(item)
-        sent = table.sparkSession.sparkContext.broadcast(tuple(x[order] for x in (item, root, row, doc, null)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            item, root, row, doc, null = sent.value
-            for batch in batches:
-                lists = batch.column(2)
-                values = np.asarray(lists.flatten(), np.int64)
-                at = np.minimum(np.searchsorted(item, values), max(0, len(item) - 1))
-                miss = item[at] != values if len(item) else np.ones(len(values), bool)
-                parts = [pa.array(x[at], mask=miss if x is not doc else miss | null[at]) if len(item) else pa.nulls(len(values), pa.int64()) for x in (root, row, doc)]
-                structs = pa.StructArray.from_arrays(parts, ["root", "first_row", "first_doc"], mask=pa.array(miss))
-                offsets = np.asarray(lists.offsets)
-                yield pa.record_batch([*batch.columns, pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), structs)], [*batch.schema.names, "found"])
-
-        return table.mapInArrow(run, f"row long, doc_id long, items array<long>, starts array<int>, ends array<int>, sizes array<int>, found {kind}")
-    each = table.select("row", F.posexplode("items").alias("k", "item")).join(repeated, "item")
-    by_row = each.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("k", F.struct("root", "first_row", "first_doc")))).alias("m"))
-    listed = F.transform(F.sequence(F.lit(0), F.size("items") - 1), lambda k: F.try_element_at("m", k))
-    whole = table.join(by_row, "row", "left")
-    return whole.withColumn("found", F.when((F.size("items") > 0) & F.col("m").isNotNull(), listed).otherwise(F.transform("items", lambda _: F.lit(None))).cast(kind)).drop("m")
+def _marked(table: DataFrame, repeated: DataFrame) -> DataFrame:
+    """row, doc_id and its repeating paragraphs in order: structs (k, start, end, size, root, first_row, first_doc).
+    A bit set leaves out most other paragraphs before the exact join."""
+    sent = bits.of(repeated)
+    names = ["row", "doc_id", "k", "item", "start", "end", "size"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            item, start, end, size = (np.asarray(batch.column(c).flatten()) for c in range(2, 6))
+            count = np.asarray(pc.list_value_length(batch.column(2)), np.int64)
+            k = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+            at = np.flatnonzero(bits.maybe(sent.value, item)) if len(item) else np.zeros(0, np.int64)
+            owner = pa.array(np.repeat(np.arange(len(count)), count)[at])
+            yield pa.record_batch([batch.column(0).take(owner), batch.column(1).take(owner), *(pa.array(x[at]) for x in (k, item, start, end, size))], names)
+
+    flat = table.select("row", "doc_id", "items", "starts", "ends", "sizes").mapInArrow(shared.lean(run), "row long, doc_id long, k long, item long, start int, end int, size int")
+    each = flat.join(repeated, "item")
+    return each.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("k", "start", "end", "size", "root", "first_row", "first_doc"))).alias("found"))
 
 
 def _runs(marked: DataFrame, run_words: int) -> DataFrame:
@@ -251,32 +236,30 @@ def _runs(marked: DataFrame, run_words: int) -> DataFrame:
         names = ["row", "doc_id", "start", "end", "n_words", "n_paragraphs", "kept", "keeper_doc_id", "classes"]
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                k, n = 0, len(r["items"])
-                while k < n:
-                    if r["found"][k] is None:
-                        k += 1
-                        continue
-                    kept, a = r["found"][k]["first_row"] == r["row"], k
-                    while k < n and r["found"][k] is not None and (r["found"][k]["first_row"] == r["row"]) == kept:
-                        k += 1
-                    size = sum(r["sizes"][a:k])
+            for row, doc, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                a = 0
+                while a < len(found):
+                    kept, b = found[a]["first_row"] == row, a + 1
+                    while b < len(found) and found[b]["k"] == found[b - 1]["k"] + 1 and (found[b]["first_row"] == row) == kept:
+                        b += 1
+                    own = found[a:b]
+                    size = sum(f["size"] for f in own)
                     if size >= run_words:
-                        out.append((r["row"], r["doc_id"], r["starts"][a], r["ends"][k - 1], size, k - a, kept, r["found"][a]["first_doc"], sorted({f["root"] for f in r["found"][a:k]})))
+                        out.append((row, doc, own[0]["start"], own[-1]["end"], size, b - a, kept, own[0]["first_doc"], sorted({f["root"] for f in own})))
+                    a = b
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
             yield pa.record_batch([pa.array([o[c] for o in out], kind) for c, kind in enumerate(kinds)], names)
 
-    some = marked.where(F.exists("found", lambda x: x.isNotNull())).select("row", "doc_id", "items", "starts", "ends", "sizes", "found")
-    return some.mapInArrow(run, "row long, doc_id long, start int, end int, n_words long, n_paragraphs long, kept boolean, keeper_doc_id long, classes array<long>")
+    return marked.select("row", "doc_id", "found").mapInArrow(shared.lean(run), "row long, doc_id long, start int, end int, n_words long, n_paragraphs long, kept boolean, keeper_doc_id long, classes array<long>")
 
 
-def find(docs: DataFrame, similar: float = SIMILAR, run_words: int = RUN, max_sent: int = MAX_SENT) -> DataFrame:
+def find(docs: DataFrame, similar: float = SIMILAR, run_words: int = RUN) -> DataFrame:
     """One row for each passage of a document that repeats in another: row, doc_id, start, end (characters),
     n_words, n_paragraphs, kept (this is the occurrence that stays), keeper_doc_id, classes."""
     docs = shared.carried(docs, "doc_id", "text")
     table = paragraphs(docs)
     repeated = shared.materialize(repeating(docs, table, similar), "repeating")
-    return _runs(_marked(table, repeated, max_sent), run_words)
+    return _runs(_marked(table, repeated), run_words)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
