@@ -1,0 +1,231 @@
+"""Encoding, token files, decontamination, language, secrets and scoring against plain Python."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from skyledger.llm import bpe, decontaminate, language, scoring, secrets, shared, token_files, words
+
+from .conftest import DOCS
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+KIT = Tokenizer.from_file(bpe.find(bpe.TOKENIZER))
+ODD = [
+    None, "", "   \n", "I'm we're they'll don't 'tis 's 'S 'really ''s x'd'd", "<|endoftext|>a<|startoftext|> <|ENDOFTEXT|><|endof<|endoftext|>text|>", "Straße ÀÉ Σίγμας İstanbul ñ é ½ ①",
+    "漢字 한국어 😀👍🏽 a b c\x1cd\x85e", "a" * 3000, "x1y2" * 500, "हिन्दी العربية ﻿bom \x00 nul", "same text", "same text",
+]
+
+
+def low(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def encoded(text):
+    return KIT.encode(text or "", add_special_tokens=False).ids
+
+
+def test_bpe_equals_the_library(table):
+    docs = table([(k, t, "en", "s", 0) for k, t in enumerate(ODD)], DOCS)
+    got = {r["doc_id"]: r for r in bpe.round_trip(docs).collect()}
+    for k, text in enumerate(ODD):
+        ids = encoded(text)
+        assert got[k]["n_tokens"] == len(ids) and bytes(got[k]["ids"]) == np.array(ids, "<u4").tobytes()
+        assert got[k]["decoded"] == KIT.decode(ids, skip_special_tokens=False)
+
+
+def test_encode_and_decode_keep_columns(table):
+    docs = table([(1, "Hello, world!", "en", "s", 0), (2, None, "en", "s", 0)], DOCS).withColumn("ids", F.lit("clash"))
+    both = bpe.decode(bpe.encode(docs))
+    assert both.columns == ["doc_id", "text", "lang", "source", "n_chars", "ids", "decoded"]
+    assert [(r["ids"], r["decoded"]) for r in both.orderBy("doc_id").collect()] == [(encoded("Hello, world!"), KIT.decode(encoded("Hello, world!"))), ([], "")]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abstrelvdm'S 1.,!<|>\né漢😀́Σ", max_size=40), min_size=1, max_size=6))
+def test_bpe_equals_the_library_on_any_text(texts):
+    kit = bpe.load(bpe.TOKENIZER)
+    for a, b, ids, at in bpe.chunks(kit, pa.array(texts, pa.string())):
+        assert [ids[at[k] : at[k + 1]].tolist() for k in range(b - a)] == [encoded(t) for t in texts[a:b]]
+
+
+def test_token_files_read_back(spark, table):
+    texts = [*ODD, "long " * 5000]
+    docs = table([(k * 3 % 41, t, "en", "s", 0) for k, t in enumerate(texts)], DOCS)
+    shards = token_files.write(docs, shared.fresh(spark, "t"), length=64, shard_bytes=3000)
+    got = {r["doc_id"]: r for r in token_files.read(shards).collect()}
+    start = 0
+    for doc, text in sorted((k * 3 % 41, t) for k, t in enumerate(texts)):
+        ids = [*encoded(text), 1]
+        assert (got[doc]["start"], got[doc]["n_tokens"]) == (start, len(ids)) and bytes(got[doc]["ids"]) == np.array(ids, "<u4").tobytes()
+        start += len(ids)
+    row = shards.orderBy("shard").first()
+    file = token_files.SequenceFile(row["ids_path"])
+    ids, mask = file[len(file) - 1]
+    assert len(ids) == 64 and sum(mask.to_pylist()) == (file.n_ids - 1) % 64 + 1
+    assert shards.count() > 1 and file[0][0].base is not None
+
+
+def test_token_files_of_nothing(spark, table):
+    assert token_files.read(token_files.write(table([], DOCS), shared.fresh(spark, "t"))).count() == 0
+
+
+def contaminated(docs, items):
+    windows = {}
+    for i, x in items:
+        w = WORD.findall(low(x or ""))
+        n = min(13, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(i)
+    out = []
+    for _, x in docs:
+        w = WORD.findall(low(x or ""))
+        hit, found = [0] * len(w), set()
+        for n in {len(k) for k in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    found |= windows[tuple(w[k : k + n])]
+                    hit[k : k + n] = [1] * n
+        items_ = sorted(str(i) for i in found if i is not None)
+        out.append((len(w), sum(hit), len(items_), ",".join(items_), sum(hit) > 0 and 20 * sum(hit) >= len(w)))
+    return out
+
+
+def test_decontamination(spark, table):
+    rnd = random.Random(2)
+    vocabulary = ["".join(rnd.choice("abcé1") for _ in range(rnd.randint(1, 4))) for _ in range(60)]
+    some = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    items = [(k, " ".join(some(n))) for k, n in enumerate((20, 13, 14, 5, 1, 40))] + [(6, None), (7, "!!"), (None, "zz " * 15), (0, "qq " * 13)]
+    docs = [(k, " ".join(some(rnd.randint(0, 60)) + ((items[k % 6][1] or "").upper().split() if k % 2 else []) + some(20))) for k in range(60)]
+    docs += [(None, None), (100, ""), (100, "zz," * 15), (101, "qq-" * 400)]
+    frame, bench = table([(i, t, "en", "s", 7) for i, t in docs], DOCS), table(items, "item_id long, text string")
+    want = sorted(map(repr, contaminated(docs, items)))
+    for bound in (1 << 20, 60):  # one set, and blocks of the benchmark
+        got = decontaminate.scan(frame.withColumn("items", F.lit(1)), bench, max_set_bytes=bound).collect()
+        assert sorted(repr((r["n_words"], r["n_hit"], r["n_items"], ",".join(r["items"]), r["contaminated"])) for r in got) == want
+    clean = decontaminate.clean(frame, bench)
+    assert clean.columns == frame.columns and clean.count() == sum("False" in w for w in want)
+    cut = decontaminate.clean(frame, bench, "spans")
+    assert cut.count() == len(docs) and "qq" not in {r["doc_id"]: r["text"] for r in cut.collect()}[101]
+    assert decontaminate.scan(frame, table([], "item_id long, text string")).where("n_hit > 0").count() == 0
+    assert decontaminate.scan(table([], DOCS), bench).count() == 0
+
+
+def test_language(spark, table):
+    rnd = random.Random(4)
+    parts = {"aa": "the ing tion er and", "bb": "ción os que ar mente", "cc": "sch ung ver ich ä"}
+    rows = []
+    for k in range(600):
+        lang = ["aa", "bb", "cc"][k % 3]
+        rows.append((k, " ".join("".join(rnd.choice(parts[lang].split()) for _ in range(3)) for _ in range(rnd.randint(3, 120))), lang, "s", 0))
+    rows += [(1000, None, "aa", "s", 0), (1001, "", "aa", "s", 0), (1002, "123 !!", "bb", "s", 0), (1003, "é " * 90000, None, "s", 0), (None, "thetion", None, "s", 0)]
+    docs = table(rows, DOCS).withColumn("score", F.lit(9))
+    net = language.fit(docs)
+    got = {r["doc_id"]: r for r in language.predict(docs.drop("score"), net, "doc_id").collect()}
+    held = [r for r in rows[:600] if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert sum(got[r[0]]["lang_pred"] == r[2] for r in held) > 0.97 * len(held)
+    assert [got[k]["lang_pred"] for k in (1000, 1001, 1002)] == ["und"] * 3 and got[1002]["score"] == 0
+    assert all(0 <= r["score"] <= 1 for r in got.values()) and len(got) == len(rows)
+    kept = language.keep_known(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()}.isdisjoint({1000, 1001, 1002})
+    none = docs.drop("score").withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in language.predict(none, language.fit(none), "doc_id").collect()} == {"und"}
+    assert language.predict(table([], DOCS), net, "doc_id").count() == 0
+
+
+def test_language_ignores_lang_source_and_id(spark, table):
+    rows = [(k, "the tion ing" * 5 if k % 2 else "ción mente que" * 5, "aa" if k % 2 else "bb", "s", 0) for k in range(60)]
+    docs = table(rows, DOCS)
+    net = language.fit(docs)
+    other = docs.select((F.col("doc_id") + 7).alias("doc_id"), "text", F.lit("zz").alias("lang"), F.lit("t").alias("source"))
+    a, b = (sorted((r["lang_pred"], r["score"]) for r in language.predict(d, net, "doc_id").collect()) for d in (docs, other))
+    assert a == b
+
+
+SECRET = {"assign": re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), "access": re.compile("AKIA[A-Z0-9]+"), "hex": re.compile("[0-9a-f]+")}
+
+
+def base_spans(text):
+    out = []
+    for k, (kind, pattern) in enumerate(SECRET.items()):
+        for m in pattern.finditer(text or ""):
+            if len(m[2] if kind == "assign" else m[0]) >= (6, 20, 24)[k]:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_secrets(spark, table):
+    rnd = random.Random(1)
+    parts = ["token", "secret", "Password", "api_key", "APIKEY", " ", "=", ":", '"', "'", "abcdef", "AKIA", "ABCDEFGHIJ234567", "0123456789abcdef", "é", "漢", "😀", "\n", ".", "-", "/", "x", "Zz9", "deadbeef"]
+    rows = [(k, "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))), "en", f"s{k % 4}", 0) for k in range(400)]
+    rows += [(900, None, None, None, None), (901, "", None, None, 0), (902, "token=abcdefgh " * 2000, "en", "s", 0), (902, "token=abcdefgh " * 2000, "en", "s", 0), (None, "secret=token:abcdef", "en", "s", 0)]
+    docs = table(rows, DOCS).withColumn("spans", F.lit(1))
+    got = collections.defaultdict(list)
+    for r in secrets.scan(docs).collect():
+        got[r["doc_id"]].append([(s["start"], s["kind"], s["end"]) for s in r["spans"]])
+    for i, text, *_ in rows:
+        assert all([s for s in spans if s[1] < 3] == base_spans(text) for spans in got[i])
+    assert len(got[902]) == 2
+    red = secrets.redact(docs)
+    assert red.columns == docs.columns and red.count() == len(rows)
+    assert secrets.scan(red).where(F.exists("spans", lambda s: s["kind"] == 2)).count() == 0
+    assert secrets.scan(table([], DOCS)).count() == 0
+
+
+def test_ownership_tells_copies_from_live(spark, table):
+    copied, own = "AbCdEfGh0123456789xyz", "ZyXwVuTs9876543210abc"
+    docs = table([(k, f"x {copied} y", "en", f"s{k}", 0) for k in range(5)] + [(9, f"x {own} y token=abcdef1", "en", "s9", 0), (10, "token=abcdef1", "en", "s9", 0)], DOCS)
+    found = {r["doc_id"]: [(s["kind"], s["live"]) for s in r["spans"]] for r in secrets.scan(docs).collect()}
+    assert found == {**{k: [] for k in range(5)}, 9: [(3, True), (0, True)], 10: [(0, True)]}
+
+
+def test_scoring(spark, table):
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(300)]
+    rows = [(k, " ".join(vocabulary[min(299, int(rnd.expovariate(0.02)))] for _ in range(rnd.randint(0, 80))), "en", "s", 0) for k in range(300)]
+    rows += [(500, None, "en", "s", 0), (501, " \t\n", "en", "s", 0), (None, "W1 w2 unseen", "en", "s", 0), (502, "w1 " * 20000, "en", "s", 0), (502, "w1", "en", "s", 0)]
+    docs = table(rows, DOCS).withColumn("score", F.lit(3))
+    learn = F.col("doc_id").isNotNull() & ~shared.held_out("doc_id", 7, 2)
+    tokens = lambda t: [*re.findall("[^\x20\x09-\x0d]+", low(t or "")), ""]
+    counts = collections.Counter(w for i, t, *_ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted((len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens(t)), 6)) for _, t, *_ in rows)
+    for head in (10_000, 20):  # all words broadcast, and most joined by shuffle
+        got = scoring.score(docs, learn, head=head, shard_bytes=2000).collect()
+        assert sorted((r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
+        assert all(r["score"] <= 0 for r in got)
+    assert scoring.score(table([], DOCS), F.lit(True)).count() == 0
+    nothing = scoring.score(docs, F.lit(False)).collect()
+    assert {(r["train_tokens"], r["n_known"], r["base_score"]) for r in nothing} == {(0, 0, 0.0)}
+
+
+def test_filter_returns_levels(spark):
+    keys = words.mix(np.arange(1, 4001, dtype=np.uint64))
+    counts = np.random.default_rng(0).integers(1, 1000, 4000)
+    bits, size = scoring.build(keys, counts, 1, 1)
+    held = scoring.Filter(np.frombuffer(bits, np.uint8), np.zeros(1, np.uint64), np.array([size], np.uint64), 1)
+    level = held.level(keys)
+    assert (level >= scoring.levels(counts, 1)).all() and (level == scoring.levels(counts, 1)).mean() > 0.98
+    assert (held.level(words.mix(np.arange(10_000, 20_000, dtype=np.uint64))) > 0).mean() < 0.02
+
+
+@pytest.mark.parametrize("size", [1, 5, 13])
+def test_windows_do_not_cross_documents(size):
+    texts = ["a b c d e f g", "", "h", "i j k l m n o p q r s t u v w"]
+    data, offsets = words.flat(pa.array(texts))
+    starts, ends, first = words.spans(data, offsets, words.ALNUM)
+    assert words.within(first, size).sum() == sum(max(0, len(t.split()) - size + 1) for t in texts)
+
+
+def test_decoded_digest_is_of_the_text():
+    assert hashlib.sha256(KIT.decode(encoded("a b")).encode()).hexdigest() == hashlib.sha256(b"a</w> b</w>").hexdigest()
