@@ -350,7 +350,7 @@ def encode(df: DataFrame, column: str = "text", out: str = "ids", tokenizer: str
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.record_batch([*batch.slice(a, b - a).columns, lists], [*names, out])
 
-    return df.mapInArrow(run, StructType([*(f for f in df.schema.fields), *StructType().add(out, ArrayType(IntegerType())).fields]))
+    return df.mapInArrow(shared.lean(run), StructType([*(f for f in df.schema.fields), *StructType().add(out, ArrayType(IntegerType())).fields]))
 
 
 def decode(df: DataFrame, column: str = "ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -367,7 +367,7 @@ def decode(df: DataFrame, column: str = "ids", out: str = "decoded", tokenizer:
             text = kit.decode(pc.list_flatten(lists), np.r_[0, np.cumsum(size)])
             yield pa.record_batch([*batch.columns, text.cast(pa.string())], [*names, out])
 
-    return df.mapInArrow(run, StructType([*(f for f in df.schema.fields), *StructType().add(out, StringType()).fields]))
+    return df.mapInArrow(shared.lean(run), StructType([*(f for f in df.schema.fields), *StructType().add(out, StringType()).fields]))
 
 
 def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer: str = TOKENIZER) -> DataFrame:
@@ -382,7 +382,7 @@ def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer:
                 text = kit.decode(pa.array(ids), at)
                 yield pa.record_batch([*batch.slice(a, b - a).columns[:-1], pa.array(np.diff(at), pa.int64()), packed.cast(pa.binary()), text.cast(pa.string())], [*keep, "n_tokens", "ids", "decoded"])
 
-    return docs.mapInArrow(run, StructType([*docs.drop("__text").schema.fields, *StructType.fromDDL("n_tokens long, ids binary, decoded string").fields]))
+    return docs.mapInArrow(shared.lean(run), StructType([*docs.drop("__text").schema.fields, *StructType.fromDDL("n_tokens long, ids binary, decoded string").fields]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

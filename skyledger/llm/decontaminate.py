@@ -151,7 +151,7 @@ def _one_pass(docs: DataFrame, rows: list, window: int) -> DataFrame:
                 found = _scan(have, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.record_batch([*batch.slice(a, b - a).columns, *(pa.array(found[c], kind) for c, kind in zip(FOUND, kinds, strict=True))], [*names, *FOUND])
 
-    return docs.mapInArrow(scan, StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields]))
+    return docs.mapInArrow(shared.lean(scan), StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields]))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_bytes: int = MAX_SET_BYTES) -> DataFrame:

@@ -143,7 +143,7 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL,
                 cuts.append([np.r_[text[s : s + LENGTH], np.zeros(max(0, LENGTH - n), np.uint8)].tobytes() for s in starts])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(cuts, pa.list_(pa.binary()))], ["place", "lang", "cuts"])
 
-    found = chosen.select("place", "lang", "text").mapInArrow(take, "place long, lang string, cuts array<binary>").collect()
+    found = chosen.select("place", "lang", "text").mapInArrow(shared.lean(take), "place long, lang string, cuts array<binary>").collect()
     languages, taken = sorted(counts), dict.fromkeys(counts, 0)
     x, y = [], []
     for r in sorted(found, key=lambda r: (r["place"], r["lang"])):
@@ -187,7 +187,7 @@ def predict(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
 
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-    return docs.mapInArrow(run, StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return docs.mapInArrow(shared.lean(run), StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import clusters, shared, words
+from . import bits, clusters, shared, words
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -44,8 +44,6 @@ SEGMENT = 1 << 16
 STEPS = 4
 LEVELS = 80
 POOL = 1 << 16
-#: Most ids of candidate texts that are broadcast (8 bytes each); more are joined by shuffle.
-MAX_SENT = 1_000_000
 _ODD = np.random.default_rng(11).integers(1, 2**62, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -198,26 +196,18 @@ def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
 
 
 def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
-    """item, packed shingles of the wanted items (one column, item)."""
-    spark, n = docs.sparkSession, wanted.count()
+    """item, packed shingles of the wanted items (one column, item): a bit set lets few others through the
+    scan, an exact join stops those."""
     texts = docs.select(F.xxhash64(F.coalesce("text", F.lit(""))).alias("item"), "text")
-    ids = None
-    if n <= MAX_SENT:
-        ids = spark.sparkContext.broadcast(np.sort(np.asarray(wanted.select("item").toArrow().column(0).combine_chunks(), np.int64)))
-    else:
-        texts = texts.join(wanted, "item", "left_semi")
+    spark, ids = docs.sparkSession, bits.of(wanted)
     sent = spark.sparkContext.broadcast(sampler)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             item = np.asarray(batch.column(0), np.int64)
-            ok = np.ones(len(item), bool)
-            if ids is not None:
-                known = ids.value
-                ok = known[np.minimum(np.searchsorted(known, item), len(known) - 1)] == item if len(known) else ~ok
             once = np.zeros(len(item), bool)
             once[np.unique(item, return_index=True)[1]] = True
-            batch = batch.filter(pa.array(ok & once))
+            batch = batch.filter(pa.array(once & bits.maybe(ids.value, item)))
             item = np.asarray(batch.column(0), np.int64)
             data, offsets = words.flat(batch.column(1))
             for a, b in words.slices(offsets, CHUNK, DOCUMENTS):
@@ -227,7 +217,8 @@ def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
                 yield pa.record_batch([pa.array(item[a:b]), pa.array([clusters.Jaccard.pack(sh[x:y], level[x:y]) for x, y in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["item", "packed"])
 
     packed = texts.mapInArrow(shared.lean(run), "item long, packed binary")
-    return shared.materialize(packed.groupBy("item").agg(F.first("packed").alias("packed")), "packed")
+    once = packed.groupBy("item").agg(F.first("packed").alias("packed"))
+    return shared.materialize(once.join(wanted, "item", "left_semi"), "packed")
 
 
 def _labelled(docs: DataFrame, similar: float) -> DataFrame:

@@ -192,7 +192,7 @@ def _pass(rows: DataFrame, coder: Coder, ids: np.ndarray, q: np.ndarray, k: int)
                 size = [len(s[0]) for s in some]
                 yield pa.record_batch([pa.array(np.repeat(ids[a : a + len(some)], size)), pa.array(np.concatenate([s[0] for s in some])), pa.array(np.concatenate([s[1] for s in some]))], ["query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
+    return rows.mapInArrow(shared.lean(run), "query_id long, vec_id long, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

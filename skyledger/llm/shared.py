@@ -82,7 +82,7 @@ def carried(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in needed))
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:

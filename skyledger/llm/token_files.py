@@ -148,7 +148,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str = bpe.TOKENIZER, end: int
 
     store, at = _target(folder)
     store.create_dir(at, recursive=True)
-    shards = shared.materialize(dealt.mapInArrow(run, "shard long, ids_path string, docs_path string, n_docs long, n_ids long"), "shards")
+    shards = shared.materialize(dealt.mapInArrow(shared.lean(run), "shard long, ids_path string, docs_path string, n_docs long, n_ids long"), "shards")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long")))
 
@@ -171,7 +171,7 @@ def read(shards: DataFrame) -> DataFrame:
                 file.close()
 
     n = shards.count()
-    return shards.repartition(max(1, n), "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return shards.repartition(max(1, n), "shard").mapInArrow(shared.lean(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
