@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, language, near_copies, neighbours, passages, scoring, secrets, token_counts, token_files
+from . import bpe, decontaminate, language, near_copies, neighbours, oracles, passages, scoring, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -16,4 +16,4 @@ QUERIES = {
     "op9_lm_scoring": scoring.query,
     "op10_nearest_neighbours": neighbours.query,
 }
-ORACLES: dict[str, str] = {"op3_token_counts": token_counts.ORACLE}
+ORACLES: dict[str, str] = oracles.ORACLES
