@@ -20,7 +20,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ranges as R
@@ -150,3 +150,28 @@ def run_ranges(rows: DataFrame, todo: DataFrame, folder: str | Path, execute: Ex
 def latest(attempts: DataFrame) -> DataFrame:
     """The last attempt of each node."""
     return attempts.groupBy("node_id").agg(F.max_by(F.struct(*ATTEMPT_COLUMNS), F.struct("completed_at", "started_at")).alias("a")).select("a.*")
+
+
+def read_markers(spark: SparkSession, paths: list[str], seconds: str = "simulator_seconds") -> DataFrame:
+    """Attempts from the JSON markers (.done, .failed) of file-based runs, older forms included: the name
+    tells the status; `failed_at` stands in for completed_at, duration_seconds for the simulator's
+    seconds; what is missing has its default, and malformed markers only their status."""
+    kinds = {c.split()[0]: c.split()[1] for c in ATTEMPT.split(", ")}
+    fields = ", ".join(f"{c}: string" for c in dict.fromkeys([*kinds, "failed_at", seconds]))
+    text = spark.read.text(paths, wholetext=True).select(F.from_json("value", f"struct<{fields}>").alias("m"), F.col("_metadata.file_name").alias("f"))
+    done = F.col("f").endswith(".done")
+    m = lambda c: F.col(f"m.{c}")
+    node = F.regexp_replace("f", r"\.(done|failed)$", "")
+    value = {c: m(c).try_cast(k) if c != "simulator_seconds" else F.coalesce(m(seconds), m("duration_seconds")).try_cast("double") for c, k in kinds.items()}
+    value |= {"status": F.when(done, "done").otherwise("failed"), "resumed": F.lit(True), "completed_at": F.coalesce(m("completed_at"), m("failed_at"), F.lit("")), "node_id": F.coalesce(F.nullif(m("node_id"), F.lit("")), node)}
+    for c in ("error", "started_at", "parent_node_id", "orbits_path", "physparams_path", "output_path"):
+        value[c] = F.coalesce(value[c], F.lit(""))
+    for c, k in kinds.items():
+        if k in ("double", "long", "int") and c not in ("debug_level", "chunk", "row_start", "row_end"):
+            value[c] = F.coalesce(value[c], F.lit(0).cast(k))
+    value["parent_chunk"] = F.coalesce(m("parent_chunk").try_cast("long"), m("chunk").try_cast("long"))
+    value["timed_out"] = F.coalesce(value["timed_out"], F.lower(value["error"]).contains("timed out"))
+    value["failed_path"] = F.when(done, "").otherwise(F.coalesce(m("failed_path"), F.lit("")))
+    for c in ("output_exists", "ew_output_exists"):
+        value[c] = F.coalesce(value[c], done)
+    return text.select(*(value[c].cast(kinds[c]).alias(c) for c in ATTEMPT_COLUMNS))

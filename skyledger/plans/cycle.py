@@ -41,7 +41,7 @@ class Cycle:
 
 def objects_of(spark: SparkSession, c: Cycle) -> DataFrame:
     """catalog_row, obj, object_id, element_hash of the objects that aren't ignored and are worth it."""
-    objects = Q.identified(C.read_catalog(spark, str(c.catalog)))
+    objects = Q.identified(C.read_catalog(spark, str(c.catalog), Path(c.work).resolve()))
     ignored = C.ignore_ids(spark, c.ignore_path, c.ignore_ids)
     ids = {f"__{name}": F.try_variant_get("obj", F.lit(f"$.{name}"), "string") for name in C.IGNORE_COLUMNS}
     objects = Q.drop_ignored(objects.withColumns(ids), ignored, "object_id", *ids).drop(*ids)

@@ -7,8 +7,10 @@ import gzip
 import json
 import shutil
 import urllib.request
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
+from typing import TextIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,63 @@ COMET_URL = "https://www.minorplanetcenter.net/Extended_Files/allcometels.json.g
 IGNORE_COLUMNS = ["ObjID", "Principal_desig", "Provisional_packed_desig", "Designation_and_name"]
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+#: Bytes of a catalog file, plain and gzipped, that one task parses as a whole.
+WHOLE_BYTES, WHOLE_GZ_BYTES = 16 << 20, 1 << 20
+
+
+def elements(stream: TextIO, block: int = 1 << 20) -> Iterator[object]:
+    """The elements of a JSON array in a text stream, one after another, without holding the array."""
+    decode, text, at, more = json.JSONDecoder().raw_decode, stream.read(block).lstrip(), 0, True
+    if not text.startswith("["):
+        raise ValueError("a catalog is a JSON array")
+    at = 1
+    while True:
+        while at < len(text) and text[at] in " \t\r\n,":
+            at += 1
+        if at < len(text) and text[at] == "]":
+            return
+        try:
+            value, end = decode(text, at)
+            if end == len(text) and more:  # a number may go on in the next block
+                raise json.JSONDecodeError("cut", text, end)
+        except json.JSONDecodeError:
+            if not more:
+                raise
+            extra = stream.read(block)
+            more = bool(extra)
+            text, at = text[at:] + extra, 0
+            continue
+        yield value
+        at = end
+
+
+def split_catalog(path: str | Path, folder: str | Path, rows: int = 50_000) -> Path:
+    """A catalog as JSON lines {"catalog_row": .., "obj": ..} in files of so many objects, so that Spark
+    reads it in parallel. Streams in blocks; numbers keep their spelling."""
+    path, folder = Path(path), Path(folder)
+    folder.mkdir(parents=True, exist_ok=True)
+    out, n = None, 0
+    with gzip.open(path, "rt", encoding="utf-8") if path.suffix == ".gz" else path.open(encoding="utf-8") as stream:
+        for row, value in enumerate(elements(stream)):
+            if not isinstance(value, dict):
+                continue
+            if n % rows == 0:
+                if out:
+                    out.close()
+                out = (folder / f"objects-{n // rows:06d}.json").open("w", encoding="utf-8")
+            out.write(json.dumps({"catalog_row": row, "obj": value}) + "\n")
+            n += 1
+    (out or (folder / "objects-000000.json").open("w")).close()
+    return folder
+
+
+def read_catalog(spark: SparkSession, path: str, work: str | Path | None = None) -> DataFrame:
     """catalog_row (position in the array, from 0) and obj (variant) of a JSON array, gzipped or not.
-    Elements that aren't objects are left out, and keep their position's number."""
+    Elements that aren't objects are left out, and keep their position's number. A large file is first
+    split into lines below `work`, which all executors must reach."""
+    size = Path(path).stat().st_size
+    if work is not None and size > (WHOLE_GZ_BYTES if str(path).endswith(".gz") else WHOLE_BYTES):
+        return read_catalog_lines(spark, str(split_catalog(path, Path(work) / f"catalog-{uuid.uuid4().hex}")))
     whole = spark.read.text(str(path), wholetext=True).select(F.parse_json("value").alias("v"))
     whole.createOrReplaceTempView("__catalog")
     each = spark.sql("SELECT CAST(e.pos AS BIGINT) AS catalog_row, e.value AS obj FROM __catalog, LATERAL variant_explode(v) e")
@@ -30,10 +86,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The same from JSON lines with a catalog_row member, which Spark reads in parallel: the form for
-    catalogs that don't fit one task."""
-    v = spark.read.text(str(path)).select(F.parse_json("value").alias("obj"))
-    return v.select(F.try_variant_get("obj", F.lit("$.catalog_row"), "bigint").alias("catalog_row"), "obj")
+    """The same from JSON lines as split_catalog() writes them."""
+    v = spark.read.text(str(path)).select(F.parse_json("value").alias("v"))
+    return v.select(*(F.try_variant_get("v", F.lit(f"$.{c}"), kind).alias(c) for c, kind in (("catalog_row", "bigint"), ("obj", "variant"))))
 
 
 def _fetch(url: str) -> bytes:

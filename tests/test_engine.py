@@ -329,3 +329,32 @@ def test_stream_takes_up_each_file_once(spark, tmp_path):
 def test_json_state_reads(tmp_path):
     (tmp_path / "bad").write_text("{")
     assert C.read_json(tmp_path / "bad") == {} == C.read_json(tmp_path / "none")
+
+
+def test_large_catalogs_are_split(spark, tmp_path, monkeypatch):
+    import gzip
+    import io
+
+    objects = [asteroid(f"O{k}", Arc_length=3.0 if k % 2 else "3 days") for k in range(300)]
+    objects[5] = 7
+    with gzip.open(tmp_path / "c.json.gz", "wt") as f:
+        json.dump(objects, f)
+    assert list(C.elements(io.StringIO(json.dumps([1, 23, "a]", {"b": [2]}, None])), block=3)) == [1, 23, "a]", {"b": [2]}, None]
+    whole = C.read_catalog(spark, str(tmp_path / "c.json.gz"))
+    monkeypatch.setattr(C, "WHOLE_GZ_BYTES", 10)
+    monkeypatch.setattr(C, "split_catalog", lambda path, folder, f=C.split_catalog: f(path, folder, 100))
+    split = C.read_catalog(spark, str(tmp_path / "c.json.gz"), tmp_path / "work")
+    text = lambda df: sorted((r["catalog_row"], r["j"]) for r in df.select("catalog_row", F.to_json("obj").alias("j")).collect())
+    assert len(list((tmp_path / "work").rglob("objects-*.json"))) == 3 and len(text(split)) == 299
+    assert [(n, json.loads(j)) for n, j in text(split)] == [(n, json.loads(j)) for n, j in text(whole)]
+
+
+def test_old_markers(spark, tmp_path):
+    (tmp_path / "a.done").write_text(json.dumps({"chunk": 1, "row_start": 0, "row_end": 2, "duration_seconds": 2.5, "completed_at": "t"}))
+    (tmp_path / "b.failed").write_text(json.dumps({"chunk": 2, "row_start": 2, "row_end": 4, "error": "it Timed out", "failed_at": "u", "debug_level": ""}))
+    (tmp_path / "c.failed").write_text("{")
+    got = {r["node_id"]: r for r in E.read_markers(spark, [str(tmp_path)]).collect()}
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a["status"], a["simulator_seconds"], a["parent_chunk"], a["output_exists"], a["resumed"]) == ("done", 2.5, 1, True, True)
+    assert (b["status"], b["completed_at"], b["timed_out"], b["debug_level"]) == ("failed", "u", True, None)
+    assert (c["status"], c["error"]) == ("failed", "")
