@@ -31,7 +31,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from . import shared, words
 
 TOKENIZER = "word_bpe_49k.json"
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 LONG = 512
 CACHE = 1 << 19
 NONE = np.int64(1 << 40)

@@ -6,8 +6,8 @@ probabilities are the means over its windows, weighted by their bytes. Nothing b
 enters a prediction.
 
 Training takes at most SAMPLE_ROWS documents a language and SAMPLE_TOTAL in all, chosen by a hash of
-doc_id among labelled rows that are not held out, and SAMPLE_WINDOWS windows of each; the bound is a
-parameter, and prediction covers whole texts.
+doc_id among labelled rows that are not held out, and SAMPLE_WINDOWS windows of each; the bounds are
+parameters, and prediction covers whole texts. At most LANGUAGES languages are learnt, the commonest.
 
 Defined results: `und` with score 0 where the text is null or has no letter, and everywhere if there
 are no labelled rows to learn from. A null doc_id is neither held out nor learnt from. Rows are
@@ -33,6 +33,8 @@ DIMENSIONS = 6
 SAMPLE_ROWS = 1500
 SAMPLE_TOTAL = 20_000
 SAMPLE_WINDOWS = 4
+#: Languages that a network knows at most: the commonest labels.
+LANGUAGES = 1000
 EPOCHS = 8
 BATCH = 256
 BLOCK = 512
@@ -125,7 +127,7 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL, windows: int = SAMPLE_WINDOWS) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Training windows, their labels, and the languages; bounded by the parameters, the same on every run."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~shared.held_out("doc_id", PARTS, HELD))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return np.zeros((0, LENGTH), np.uint8), np.zeros(0, np.int64), []
     most = max(1, min(rows, total // len(counts)))

@@ -242,7 +242,8 @@ def _labelled(docs: DataFrame, similar: float) -> DataFrame:
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """row, doc_id, class_id (the class's kept doc_id), class_size, kept of every document row."""
     docs = shared.carried(docs, "doc_id", "text")
-    named = shared.materialize(_labelled(docs, similar), "labelled")
+    with shared.Scratch() as scratch:
+        named = scratch.keep(shared.materialize(_labelled(docs, similar), "labelled"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     heads = named.where("root is not null").groupBy("root").agg(F.min(place).alias("head"), F.count("*").alias("class_size"))
     whole = named.where("root is not null").join(heads, "root").select("row", "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("head.row") == F.col("row")).alias("kept"))
@@ -257,11 +258,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """docs with one document of each class, all columns."""
     names = docs.columns
-    numbered = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup")
-    # _labelled() numbers rows itself, so this number goes in its id column, and the true id joins later
-    order = _labelled(numbered.select(F.col("__row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("__row"), "root").where("root is not null")
-    order = shared.materialize(order.join(numbered.select("__row", "doc_id"), "__row"), "order")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
-    first = order.groupBy("root").agg(F.min(place).alias("head")).select("root", F.col("head.__row").alias("first"))
-    gone = shared.materialize(order.join(first, "root").where(F.col("__row") != F.col("first")).select("__row"), "gone")
+    with shared.Scratch() as scratch:
+        numbered = scratch.keep(shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup"))
+        # _labelled() numbers rows itself, so this number goes in its id column, and the true id joins later
+        order = _labelled(numbered.select(F.col("__row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("__row"), "root").where("root is not null")
+        order = shared.materialize(order.join(numbered.select("__row", "doc_id"), "__row"), "order")
+        place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
+        first = order.groupBy("root").agg(F.min(place).alias("head")).select("root", F.col("head.__row").alias("first"))
+        gone = scratch.keep(shared.materialize(order.join(first, "root").where(F.col("__row") != F.col("first")).select("__row"), "gone"))
     return numbered.join(shared.small(gone), "__row", "left_anti").select(*(F.col(f"`{c}`") for c in names))

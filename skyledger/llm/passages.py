@@ -257,8 +257,9 @@ def find(docs: DataFrame, similar: float = SIMILAR, run_words: int = RUN) -> Dat
     """One row for each passage of a document that repeats in another: row, doc_id, start, end (characters),
     n_words, n_paragraphs, kept (this is the occurrence that stays), keeper_doc_id, classes."""
     docs = shared.carried(docs, "doc_id", "text")
-    table = paragraphs(docs)
-    repeated = shared.materialize(repeating(docs, table, similar), "repeating")
+    with shared.Scratch() as scratch:
+        table = scratch.keep(paragraphs(docs))
+        repeated = scratch.keep(shared.materialize(repeating(docs, table, similar), "repeating"))
     return _runs(_marked(table, repeated), run_words)
 
 

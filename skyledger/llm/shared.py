@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_open: list[list] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,9 +39,33 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     df.write.parquet(at)
     out = df.sparkSession.read.schema(df.schema).parquet(at)
     out._skyledger_path = at
+    for tables in _open:
+        tables.append(out)
     return out
 
 
+class Scratch:
+    """Removes, when it is left, the tables made by materialize() meanwhile, but for those to keep. What is
+    still to be computed must read kept tables only."""
+
+    def __enter__(self) -> Scratch:
+        self.made: list[DataFrame] = []
+        self.kept: set[str] = set()
+        _open.append(self.made)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.add(df._skyledger_path)
+        return df
+
+    def __exit__(self, kind, *_: object) -> None:
+        _open[:] = [x for x in _open if x is not self.made]
+        if kind is None:
+            for df in self.made:
+                if df._skyledger_path not in self.kept:
+                    remove(df)
+
+
 def remove(df: DataFrame) -> None:
     """Deletes a table made by materialize() that nothing reads any more."""
     at = getattr(df, "_skyledger_path", None)
