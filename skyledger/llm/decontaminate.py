@@ -27,7 +27,7 @@ from . import shared, words
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast set may hold; a larger benchmark is scanned in blocks.
 MAX_SET_BYTES = 32 << 20
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 SCHEMA = "n_words long, items array<string>, hit_words array<long>, hit_chars array<long>"
 FOUND = ["n_words", "items", "hit_words", "hit_chars"]
 

@@ -38,7 +38,7 @@ BANDS, ROWS = 21, 3
 SAMPLES = BANDS * ROWS
 #: Of SAMPLES bytes, so many agree for a pair of 0.67 with a chance above 0.998.
 AGREE = 31
-CHUNK, DOCUMENTS = 4 << 20, 1 << 13
+CHUNK, DOCUMENTS = 2 << 20, 1 << 13
 WIDTH, DEPTH = 1 << 20, 2
 SEGMENT = 1 << 16
 STEPS = 4
