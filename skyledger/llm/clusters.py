@@ -193,7 +193,8 @@ def _met(left: DataFrame, packed: DataFrame, meet: Callable, block: int) -> Data
             yield done()
 
     dealt = low.unionByName(high).join(packed, "item").select("band", "i", "j", "side", "item", "root", "packed")
-    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number isn't coalesced: rows are few for the work they make
+    return dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
 
 
 def _forest(near: np.ndarray, low: list[tuple], high: list[tuple]) -> Iterator[tuple[int, int]]:
