@@ -147,6 +147,13 @@ def run_ranges(rows: DataFrame, todo: DataFrame, folder: str | Path, execute: Ex
     return given.repartition(max(1, workers), "node_id").groupBy("node_id").applyInPandas(one, ATTEMPT)
 
 
+def held(attempts: DataFrame) -> DataFrame:
+    """A small table of ranges or attempts (one row for thousands of objects), worked out once."""
+    table = attempts.toArrow()
+    session = attempts.sparkSession
+    return session.createDataFrame(table, attempts.schema) if table.num_rows else session.createDataFrame([], attempts.schema)
+
+
 def latest(attempts: DataFrame) -> DataFrame:
     """The last attempt of each node."""
     return attempts.groupBy("node_id").agg(F.max_by(F.struct(*ATTEMPT_COLUMNS), F.struct("completed_at", "started_at")).alias("a")).select("a.*")

@@ -87,7 +87,8 @@ class Run:
         held = None
         if self.o.resume:
             held = self._complete(self.attempts()).join(ranges.select("node_id"), "node_id", "left_semi").select(*E.ATTEMPT_COLUMNS)
-            held = self.spark.createDataFrame(held.toArrow()) if not held.isEmpty() else None
+            held = E.held(held)
+            held = None if held.isEmpty() else held
         todo = ranges if held is None else ranges.join(held.select("node_id"), "node_id", "left_anti")
         out = None
         if not todo.isEmpty():

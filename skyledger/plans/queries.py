@@ -126,8 +126,7 @@ def q17(spark: SparkSession, sf: str) -> DataFrame:
     def fails(ranges: DataFrame) -> DataFrame:
         hit = R.rows_in(ranges, rows.where(BAD), 1000).select("node_id").distinct().withColumn("__bad", F.lit(True))
         status = F.when(F.col("__bad"), "failed").otherwise("done")
-        found = ranges.join(hit, "node_id", "left").withColumn("status", status).drop("__bad")
-        return spark.createDataFrame(found.toArrow()) if not found.isEmpty() else found
+        return E.held(ranges.join(hit, "node_id", "left").withColumn("status", status).drop("__bad"))
 
     parents = fails(R.plan(spark, rows.count(), 1000))
     tree = I.isolate(I.debug(parents.where("status = 'failed'"), fails, 250), fails)
