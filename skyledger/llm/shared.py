@@ -37,6 +37,7 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     outlive any executor."""
     at = fresh(df.sparkSession, what)
     df.write.parquet(at)
+    trim()  # the driver's Python may just have let go of a model or a set of bits
     out = df.sparkSession.read.schema(df.schema).parquet(at)
     out._skyledger_path = at
     for tables in _open:
@@ -107,6 +108,15 @@ def carried(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in needed))
 
 
+def trim() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 BATCH_BYTES = 4 << 20
 
 
@@ -122,10 +132,6 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            trim()
 
     return wrapped
