@@ -7,7 +7,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from skyledger.llm import clusters, near_copies, neighbours, passages, shared, token_counts
+from skyledger.llm import bits, clusters, near_copies, neighbours, passages, shared, token_counts
 
 from .conftest import DOCS
 
@@ -205,3 +205,21 @@ def test_counted_by_vocabulary(table):
     docs = table([(1, "Hello, world!", "en", "s", 0), (2, None, "en", "s", 0)], DOCS)
     assert [r["n_tokens"] for r in token_counts.counted(docs, "word_bpe_49k.json").orderBy("doc_id").collect()] == [4, 0]
     assert [r["n_tokens"] for r in token_counts.counted(docs, "words-1").orderBy("doc_id").collect()] == [2, 0]
+
+
+def test_bit_set_misses_nothing(spark):
+    rng = np.random.default_rng(4)
+    held = rng.integers(-(2**63), 2**63 - 1, 5000)
+    sent = bits.of(spark.createDataFrame([(int(x),) for x in held], "item long")).value
+    assert bits.maybe(sent, held).all()
+    assert bits.maybe(sent, rng.integers(-(2**63), 2**63 - 1, 50_000)).mean() < 0.01
+    assert not bits.maybe(bits.of(spark.createDataFrame([], "item long")).value, held).any()
+
+
+def test_scratch_removes_what_is_not_kept(spark):
+    with shared.Scratch() as scratch:
+        gone = shared.materialize(spark.range(3), "a")
+        kept = scratch.keep(shared.materialize(spark.range(4), "b"))
+    assert kept.count() == 4
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(gone._skyledger_path)
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
