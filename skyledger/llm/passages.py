@@ -8,8 +8,12 @@ three MinHash bands of one row over their five-word shingles (a pair of Jaccard
 with a chance of 0.992; shorter ones are only 0.8 similar if equal). Collisions are clustered and
 verified by exact Jaccard similarity (clusters.py), and a component is a class.
 
+A changed word costs five shingles, more than so short a paragraph can lose. So each whole line is a paragraph
+as well, with LINE_BANDS bands of LINE_ROWS rows (0.998 at a similarity of 0.8), verified in the same way.
+
 A class repeats if its paragraphs are in two or more document rows; the first row in input order keeps
-it. A run of adjacent repeating paragraphs of RUN or more words is a passage.
+it. A run of adjacent repeating paragraphs of RUN or more words is a passage; runs of either kind that overlap
+are one. A line that goes leaves its cut paragraphs that repeat elsewhere and are kept here.
 
 Band keys are deduplicated within a task and shuffled as blocks of numbers; only keys that two items
 share become rows.
@@ -21,6 +25,7 @@ rows; extra columns are ignored by find() and kept by remove(). Paragraphs are t
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,13 +42,14 @@ REACH = 5
 LEAST = 9
 RUN = 16
 BANDS = 3
+LINE_BANDS, LINE_ROWS = 6, 2
 #: Samples of a paragraph's signature, and how many of them two of 0.8 agree in with a chance above 0.9999.
 SAMPLES, AGREE = 32, 16
 CHUNK = 2 << 20
 SHARD_BYTES = 16 << 20
 FLUSH = 1_000_000
 _TOP = np.uint64(2**64 - 1)
-_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS + SAMPLES, dtype=np.uint64)]
+_SALTS = [np.uint64(x) for x in np.random.default_rng(23).integers(1, 2**63, BANDS + SAMPLES + LINE_BANDS * LINE_ROWS, dtype=np.uint64)]
 
 
 class Paragraphs:
@@ -66,6 +72,19 @@ class Paragraphs:
                 cut[d:] &= ~same | (pair[d:] < pair[:-d])
                 cut[:-d] &= ~same | (pair[:-d] <= pair[d:])
             cut[self.first[:-1][np.diff(self.first) > 0]] = True
+        self._divide(cut, text)
+
+    def lines(self) -> Paragraphs:
+        """The same texts, cut at line breaks."""
+        out, n = copy.copy(self), len(self.h)
+        breaks = np.cumsum(self.data == 10)[self.starts] if n else np.zeros(0, np.int64)
+        cut = np.r_[True, breaks[1:] != breaks[:-1]] if n else np.zeros(0, bool)
+        cut[self.first[:-1][np.diff(self.first) > 0]] = True
+        out._divide(cut, np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first)))
+        return out
+
+    def _divide(self, cut: np.ndarray, text: np.ndarray) -> None:
+        n = len(cut)
         self.begin = np.flatnonzero(cut)
         self.end = np.r_[self.begin[1:], n] if len(self.begin) else self.begin
         self.text = text[self.begin]
@@ -101,17 +120,22 @@ def _slices(column) -> Iterator[tuple[int, int, Paragraphs]]:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """row, doc_id, items, starts, ends (characters), sizes (words) of every document row, as a table in the shared folder."""
+    """row, doc_id, n_cut, items, starts, ends (characters), sizes (words) of every document row, as a table in the
+    shared folder. The first n_cut items are cut by content, the others are lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, p in _slices(batch.column(2)):
-                at = pa.array(np.searchsorted(p.text, np.arange(b - a + 1)), pa.int32())
-                values = [p.item.view(np.int64), *(x.astype(np.int32) for x in (*p.characters(), p.size))]
-                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], *(pa.ListArray.from_arrays(at, pa.array(v)) for v in values)], ["row", "doc_id", "items", "starts", "ends", "sizes"])
+                kinds = (p, p.lines())
+                order = np.argsort(np.concatenate([x.text for x in kinds]), kind="stable")
+                n_cut, n_lines = (np.bincount(x.text, minlength=b - a) for x in kinds)
+                at = pa.array(np.r_[0, np.cumsum(n_cut + n_lines)], pa.int32())
+                columns = zip(*((x.item.view(np.int64), *(v.astype(np.int32) for v in (*x.characters(), x.size))) for x in kinds), strict=True)
+                values = [np.concatenate(v)[order] for v in columns]
+                yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], pa.array(n_cut, pa.int32()), *(pa.ListArray.from_arrays(at, pa.array(v)) for v in values)], ["row", "doc_id", "n_cut", "items", "starts", "ends", "sizes"])
 
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return shared.materialize(docs.mapInArrow(shared.lean(run), "row long, doc_id long, items array<long>, starts array<int>, ends array<int>, sizes array<int>"), "paragraphs")
+    return shared.materialize(docs.mapInArrow(shared.lean(run), "row long, doc_id long, n_cut int, items array<long>, starts array<int>, ends array<int>, sizes array<int>"), "paragraphs")
 
 
 def _unique(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +164,13 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
                 long = p.size >= LEAST
                 for k, low in enumerate(p.minima(_SALTS[:BANDS])):
                     held.append(_unique([(words.mix(low[long] + np.uint64(k)), p.item[long])]))
+                p = p.lines()
+                long, low = p.size >= LEAST, p.minima(_SALTS[BANDS + SAMPLES :])
+                for k in range(LINE_BANDS):
+                    key = np.full(len(p.item), BANDS + k, np.uint64)
+                    for row in low[k * LINE_ROWS : (k + 1) * LINE_ROWS]:
+                        key = words.mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
+                    held.append(_unique([(key[long], p.item[long])]))
                 if sum(len(k) for k, _ in held) > FLUSH:
                     yield flush()
         if held:
@@ -175,7 +206,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, p in _slices(batch.column(0)):
+            for p in (x for _, _, cut in _slices(batch.column(0)) for x in (cut, cut.lines())):
                 item = p.item.view(np.int64)
                 once = np.zeros(len(item), bool)
                 once[np.unique(item, return_index=True)[1]] = True
@@ -183,7 +214,7 @@ def _shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 packed = [np.unique(sh[p.begin[k] : p.end[k] - SHINGLE + 1]) for k in at]
                 size = p.size[at] - SHINGLE + 1
                 own = sh[words.ragged(p.begin[at], size)]
-                low = [np.minimum.reduceat(words.mix(own ^ salt), np.cumsum(size) - size).astype(np.uint8) for salt in _SALTS[BANDS:]] if len(at) else []
+                low = [np.minimum.reduceat(words.mix(own ^ salt), np.cumsum(size) - size).astype(np.uint8) for salt in _SALTS[BANDS : BANDS + SAMPLES]] if len(at) else []
                 sig = [x.tobytes() for x in np.stack(low, 1)] if len(at) else []
                 yield pa.record_batch([pa.array(item[at]), pa.array([clusters.Jaccard.pack(x, np.zeros(len(x))) for x in packed], pa.binary()), pa.array(sig, pa.binary())], ["item", "packed", "sig"])
 
@@ -210,23 +241,85 @@ def repeating(docs: DataFrame, table: DataFrame, similar: float = SIMILAR) -> Da
 
 
 def _marked(table: DataFrame, repeated: DataFrame) -> DataFrame:
-    """row, doc_id and its repeating paragraphs in order: structs (k, start, end, size, root, first_row, first_doc).
+    """row, doc_id and its repeating paragraphs in order: structs (line, k, start,
+    end, size, word, root, first_row, first_doc); word is the place of its first word in the text.
     A bit set leaves out most other paragraphs before the exact join."""
     sent = bits.of(repeated)
-    names = ["row", "doc_id", "k", "item", "start", "end", "size"]
+    names = ["row", "doc_id", "line", "k", "item", "start", "end", "size", "word"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            item, start, end, size = (np.asarray(batch.column(c).flatten()) for c in range(2, 6))
-            count = np.asarray(pc.list_value_length(batch.column(2)), np.int64)
+            item, start, end, size = (np.asarray(batch.column(c).flatten()) for c in range(3, 7))
+            count, n_cut = np.asarray(pc.list_value_length(batch.column(3)), np.int64), np.asarray(batch.column(2), np.int64)
             k = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+            line = k >= np.repeat(n_cut, count)
+            word = np.cumsum(size) - size
+            head = np.repeat(np.cumsum(count) - count, count) + np.where(line, np.repeat(n_cut, count), 0)
+            word = word - word[head] if len(item) else word
             at = np.flatnonzero(bits.maybe(sent.value, item)) if len(item) else np.zeros(0, np.int64)
             owner = pa.array(np.repeat(np.arange(len(count)), count)[at])
-            yield pa.record_batch([batch.column(0).take(owner), batch.column(1).take(owner), *(pa.array(x[at]) for x in (k, item, start, end, size))], names)
+            yield pa.record_batch([batch.column(0).take(owner), batch.column(1).take(owner), *(pa.array(x[at]) for x in (line, k, item, start, end, size, word))], names)
 
-    flat = table.select("row", "doc_id", "items", "starts", "ends", "sizes").mapInArrow(shared.lean(run), "row long, doc_id long, k long, item long, start int, end int, size int")
+    flat = table.select("row", "doc_id", "n_cut", "items", "starts", "ends", "sizes").mapInArrow(shared.lean(run), "row long, doc_id long, line boolean, k long, item long, start int, end int, size int, word long")
     each = flat.join(repeated, "item")
-    return each.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("k", "start", "end", "size", "root", "first_row", "first_doc"))).alias("found"))
+    return each.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("line", "k", "start", "end", "size", "word", "root", "first_row", "first_doc"))).alias("found"))
+
+
+def _spans(found: list[dict], row: int, run_words: int) -> list[dict]:
+    """Runs of adjacent repeating paragraphs of one kind."""
+    out, a = [], 0
+    while a < len(found):
+        kept, b = found[a]["first_row"] == row, a + 1
+        while b < len(found) and found[b]["line"] == found[a]["line"] and found[b]["k"] == found[b - 1]["k"] + 1 and (found[b]["first_row"] == row) == kept:
+            b += 1
+        own = found[a:b]
+        last = own[-1]
+        if sum(f["size"] for f in own) >= run_words:
+            out.append({"line": own[0]["line"], "kept": kept, "word": own[0]["word"], "stop": last["word"] + last["size"], "start": own[0]["start"], "end": last["end"], "n": b - a, "doc": own[0]["first_doc"], "roots": {f["root"] for f in own}})
+        a = b
+    return out
+
+
+def _without(spans: list[dict], holes: list[dict]) -> list[dict]:
+    """What holes (word, stop, start, end) leave of spans."""
+    for hole in holes:
+        left = []
+        for x in spans:
+            if hole["stop"] <= x["word"] or x["stop"] <= hole["word"]:
+                left.append(x)
+                continue
+            if x["word"] < hole["word"]:
+                left.append({**x, "stop": hole["word"], "end": hole["start"]})
+            if hole["stop"] < x["stop"]:
+                left.append({**x, "word": hole["stop"], "start": hole["end"]})
+        spans = left
+    return spans
+
+
+def _united(spans: list[dict]) -> list[dict]:
+    """Spans that overlap, made one."""
+    out: list[dict] = []
+    for x in sorted(spans, key=lambda x: (x["word"], x["stop"])):
+        if out and x["word"] < out[-1]["stop"]:
+            top = out[-1]
+            more = {"stop": x["stop"], "end": x["end"]} if x["stop"] > top["stop"] else {}
+            out[-1] = {**top, **more, "n": top["n"] + x["n"], "roots": top["roots"] | x["roots"]}
+        else:
+            out.append(x)
+    return out
+
+
+def _passages(found: list[dict], row: int, run_words: int) -> list[dict]:
+    """Passages of one document, in order and apart. Only whole text that some row keeps may go: of lines that
+    go, cut paragraphs stay whose class this row keeps."""
+    spans = _spans(found, row, run_words)
+    if not any(x["line"] for x in spans):
+        return spans
+    mine = [{"word": f["word"], "stop": f["word"] + f["size"], "start": f["start"], "end": f["end"]} for f in found if not f["line"] and f["first_row"] == row]
+    gone = _united([x for x in spans if not x["line"] and not x["kept"]] + _without([x for x in spans if x["line"] and not x["kept"]], mine))
+    gone = [x for x in gone if x["stop"] - x["word"] >= run_words]
+    kept = _without(_united([x for x in spans if x["kept"]]), gone)
+    return sorted(gone + [x for x in kept if x["stop"] - x["word"] >= run_words], key=lambda x: x["word"])
 
 
 def _runs(marked: DataFrame, run_words: int) -> DataFrame:
@@ -237,16 +330,8 @@ def _runs(marked: DataFrame, run_words: int) -> DataFrame:
         for batch in batches:
             out = []
             for row, doc, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a = 0
-                while a < len(found):
-                    kept, b = found[a]["first_row"] == row, a + 1
-                    while b < len(found) and found[b]["k"] == found[b - 1]["k"] + 1 and (found[b]["first_row"] == row) == kept:
-                        b += 1
-                    own = found[a:b]
-                    size = sum(f["size"] for f in own)
-                    if size >= run_words:
-                        out.append((row, doc, own[0]["start"], own[-1]["end"], size, b - a, kept, own[0]["first_doc"], sorted({f["root"] for f in own})))
-                    a = b
+                for x in _passages(found, row, run_words):
+                    out.append((row, doc, x["start"], x["end"], x["stop"] - x["word"], x["n"], x["kept"], x["doc"], sorted(x["roots"])))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
             yield pa.record_batch([pa.array([o[c] for o in out], kind) for c, kind in enumerate(kinds)], names)
 

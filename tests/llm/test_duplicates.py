@@ -145,6 +145,34 @@ def test_passages_with_small_differences(table):
     assert sum(r["n_words"] for r in passages.find(docs).collect() if r["doc_id"] == 2) > 200
 
 
+def test_lines_with_a_changed_word(table):
+    rnd = random.Random(12)
+    some = lambda n: ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+    rows, lines = [], []
+    for k in range(60):
+        line = some(52 + k % 40)
+        other = [*line[: len(line) // 2], "changed", *line[len(line) // 2 + 1 :]]
+        lines.append(other)
+        for doc, own in ((k, line), (k + 100, other)):
+            rows.append((doc, "\n".join(" ".join(x) for x in (some(30), own, some(30))), "en", "s", 0))
+    docs = table(rows, DOCS)
+    found = [r for r in passages.find(docs).collect() if not r["kept"]]
+    lost = collections.Counter()
+    for r in found:
+        lost[r["doc_id"]] += r["n_words"]
+    # a cut paragraph that differs from another by a word at its end may take that word along
+    assert all(len(line) <= lost[k + 100] <= len(line) + 2 for k, line in enumerate(lines)), lost
+    left = {r["doc_id"]: r["text"] for r in passages.remove(docs).collect()}
+    assert all(left[k] == t for k, t, *_ in rows if k < 100) and all(58 <= len(left[k + 100].split()) <= 60 for k in range(60))
+
+
+def test_text_kept_for_others_stays_in_a_line_that_goes():
+    part = lambda line, k, word, size, first: {"line": line, "k": k, "start": word * 2, "end": (word + size) * 2 - 1, "size": size, "word": word, "root": k, "first_row": first, "first_doc": first}
+    found = [part(False, 2, 20, 11, 1), part(False, 3, 31, 11, 7), part(True, 9, 0, 60, 1)]
+    got = passages._passages(found, 7, 16)
+    assert [(x["word"], x["stop"], x["kept"]) for x in got] == [(0, 31, False), (42, 60, False)]
+
+
 def nearest(rows, k=20):
     good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v) and len(v) == 8]
     out = {}
