@@ -209,6 +209,18 @@ def test_scoring(spark, table):
     assert {(r["train_tokens"], r["n_known"], r["base_score"]) for r in nothing} == {(0, 0, 0.0)}
 
 
+def test_scores_are_the_same_beyond_the_broadcast_filter(spark, table, monkeypatch):
+    monkeypatch.setattr(scoring, "GROUP_BYTES", 500)
+    rnd = random.Random(9)
+    rows = [(k if k % 50 else None, None if k % 40 == 3 else " ".join(f"w{min(99, int(rnd.expovariate(0.05)))}" for _ in range(rnd.randint(0, 60))), "en", "s", 0) for k in range(200)]
+    docs = table(rows, DOCS)
+    learn = F.col("doc_id").isNotNull() & ~shared.held_out("doc_id", 7, 2)
+    for head in (10_000, 20):
+        want, got = (sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in scoring.score(docs, learn, head=head, max_filter_bytes=n, shard_bytes=2000).collect()) for n in (1 << 27, 0))
+        assert len(got) == len(rows) and got == want
+    assert scoring.score(docs, F.lit(False), max_filter_bytes=-2).count() == len(rows)
+
+
 def test_filter_returns_levels(spark):
     keys = words.mix(np.arange(1, 4001, dtype=np.uint64))
     counts = np.random.default_rng(0).integers(1, 1000, 4000)
