@@ -26,6 +26,7 @@ from . import shared, words
 
 BLOCK, BLOCK_SIGNATURES, BLOCK_BYTES = 512, 2048, 8 << 20
 COLUMNS = 4096
+LINKS = 1 << 20
 MOST_ROUNDS = 60
 
 
@@ -92,11 +93,50 @@ class Jaccard:
         return near | self._enough(plain, n[0][:, None] + n[1][None, :] - plain) & (plain > 0)
 
 
+def _forest_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of edges (a, b) that aren't the least of their component, and the least one for each."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    top = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(top[x], top[y]), np.maximum(top[x], top[y])
+        apart = low < high
+        if not apart.any():
+            break
+        np.minimum.at(top, high[apart], low[apart])
+        while True:
+            higher = top[top]
+            if (higher == top).all():
+                break
+            top = higher
+    below = np.flatnonzero(top != np.arange(len(nodes)))
+    return nodes[below], nodes[top[below]]
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (u, v) that a task holds as stars, LINKS at a time: components stay, paths get short."""
+    held: list[pa.RecordBatch] = []
+
+    def done() -> pa.RecordBatch:
+        u, v = _forest_of(*(np.concatenate([np.asarray(x.column(k)) for x in held]) for k in (0, 1)))
+        held.clear()
+        return pa.record_batch([pa.array(u), pa.array(v)], ["u", "v"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= LINKS:
+            yield done()
+    if held:
+        yield done()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """node, root (the least node of its component) of every node in links (a, b), by alternating
-    large and small stars until nothing changes; each round is a table in the shared folder."""
-    edges = shared.materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    """node, root (the least node of its component) of every node in links (a, b): each task makes stars of
+    the links it holds, then large and small stars alternate over all of them until nothing changes; each round is a
+    table in the shared folder."""
+    facts = (F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest"),)
+    given = links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    edges = shared.materialize(given.mapInArrow(shared.lean(_contracted), "u long, v long").distinct(), "edges", *facts)
     for _ in range(MOST_ROUNDS):
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -104,13 +144,11 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.greatest("v", "m").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        new = shared.materialize(small, "edges")
+        new = shared.materialize(small, "edges", *facts)
         shared.remove(edges)
+        if shared.noted(new) == shared.noted(edges):
+            return new.select(F.col("u").alias("node"), F.col("v").alias("root")).union(new.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         edges = new
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        before = now
     raise RuntimeError("components did not settle")
 
 
@@ -139,15 +177,15 @@ def cluster(buckets: DataFrame, packed: DataFrame, measure: Jaccard, agree: int)
     leads = buckets.groupBy("band").agg(F.max(F.struct("weight", F.bitwise_not("item").alias("i"))).alias("m")).select("band", F.bitwise_not("m.i").alias("lead"))
     pairs = buckets.join(leads, "band").where("item <> lead").select(F.least("item", "lead").alias("a"), F.greatest("item", "lead").alias("b")).distinct()
     links = shared.materialize(_verified(pairs, packed, measure), "links")
-    labels = None if links.isEmpty() else shared.materialize(components(links), "labels")
+    labels = shared.materialize(components(links), "labels") if shared.rows(links) else None
     left = shared.materialize(_open(buckets, labels).select("band", "item", "root"), "open")
     kin = shared.materialize(_met(left, packed.select("item", F.col("sig").alias("packed")), _alike(agree), BLOCK_SIGNATURES), "kin")
-    if kin.isEmpty():
+    if not shared.rows(kin):
         return labels
     families = components(kin).withColumnRenamed("root", "band").withColumnRenamed("node", "root")
     items = left.select("item", "root").distinct().join(families, "root").select("band", "item", "root")
     found = shared.materialize(_met(items, packed.select("item", "packed"), _similar(measure), BLOCK), "links")
-    if not found.isEmpty():
+    if shared.rows(found):
         labels = shared.materialize(components(links.unionByName(found)), "labels")
     return labels
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -17,11 +19,16 @@ _open: list[list] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset
-    (tests on one machine) a temporary folder is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a session that
+    is one process uses a temporary folder until it ends; on a cluster that is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or _own.get("at")
     if not at:
-        at = _own["at"] = "file://" + tempfile.mkdtemp(prefix="skyledger-")
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
+        folder = tempfile.mkdtemp(prefix="skyledger-")
+        atexit.register(shutil.rmtree, folder, True)
+        at = _own["at"] = f"file://{folder}"
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(at)
     at = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
@@ -32,14 +39,15 @@ def fresh(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
+def materialize(df: DataFrame, what: str, *facts: Column) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends here, and the rows
-    outlive any executor."""
-    at = fresh(df.sparkSession, what)
-    df.write.parquet(at)
+    outlive any executor. The number of rows, and more aggregates of them if asked for (facts), are
+    noted while they are written, see rows() and noted()."""
+    at, seen = fresh(df.sparkSession, what), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *facts).write.parquet(at)
     trim()  # the driver's Python may just have let go of a model or a set of bits
     out = df.sparkSession.read.schema(df.schema).parquet(at)
-    out._skyledger_path = at
+    out._skyledger_path, out._skyledger_facts = at, seen.get
     for tables in _open:
         tables.append(out)
     return out
@@ -76,9 +84,18 @@ def remove(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A table of numbers, marked for broadcast if it has at most `rows` rows; beyond, the join shuffles."""
-    return F.broadcast(df) if df.count() <= rows else df
+def noted(df: DataFrame) -> dict:
+    """The facts that materialize() noted of a table; `rows` is always among them."""
+    return df._skyledger_facts
+
+
+def rows(df: DataFrame) -> int:
+    return noted(df)["rows"]
+
+
+def small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table of numbers made by materialize(), marked for broadcast if it has at most `most` rows; beyond, the join shuffles."""
+    return F.broadcast(df) if rows(df) <= most else df
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -108,6 +125,19 @@ def carried(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in needed))
 
 
+def renamed(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with all but the needed columns under names of its own, so that no working column clashes with them,
+    and what gives such a table the columns of df again."""
+    carried(df, *needed)
+    own = [c if c in needed else f"own_{k}" for k, c in enumerate(df.columns)]
+    return df.toDF(*own), lambda out: out.select(*(F.col(o).alias(c) for o, c in zip(own, df.columns, strict=True)))
+
+
+def dealt(df: DataFrame, parts: int, column: str = "shard") -> DataFrame:
+    """df with the rows of shard k (an int below parts) in partition k."""
+    return df.repartitionById(parts, F.col(column))
+
+
 def trim() -> None:
     """Gives freed memory back to the system."""
     pa.default_memory_pool().release_unused()

@@ -167,10 +167,11 @@ def test_lines_with_a_changed_word(table):
 
 
 def test_text_kept_for_others_stays_in_a_line_that_goes():
-    part = lambda line, k, word, size, first: {"line": line, "k": k, "start": word * 2, "end": (word + size) * 2 - 1, "size": size, "word": word, "root": k, "first_row": first, "first_doc": first}
+    part = lambda line, k, word, size, first: {"row": 7, "line": line, "k": k, "start": word * 2, "end": (word + size) * 2 - 1, "size": size, "word": word, "root": k, "first_row": first}
     found = [part(False, 2, 20, 11, 1), part(False, 3, 31, 11, 7), part(True, 9, 0, 60, 1)]
-    got = passages._passages(found, 7, 16)
-    assert [(x["word"], x["stop"], x["kept"]) for x in got] == [(0, 31, False), (42, 60, False)]
+    gone, kept = passages._passages({c: np.array([f[c] for f in found]) for c in found[0]}, 16)
+    assert [(int(a), int(b), int(n)) for a, b, n in zip(gone["start"], gone["end"], gone["n_words"], strict=True)] == [(0, 61, 31), (83, 119, 18)]
+    assert not len(kept["at"])
 
 
 def nearest(rows, k=20):
