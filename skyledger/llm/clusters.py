@@ -15,7 +15,7 @@ left to skew handling.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,8 @@ from . import shared, words
 BLOCK, BLOCK_SIGNATURES, BLOCK_BYTES = 512, 2048, 8 << 20
 COLUMNS = 4096
 LINKS = 1 << 20
+#: Rows of small groups compared together, their pairs, and the set elements of those.
+TOGETHER, PAIRS, ELEMENTS = 1 << 16, 1 << 18, 1 << 20
 MOST_ROUNDS = 60
 
 
@@ -56,6 +58,28 @@ class Jaccard:
         n, low = int(same.sum()), np.minimum(wa[same], wb[at[same]]).sum()
         return self._enough(low, wa.sum() + wb.sum() - low) or self._enough(n, len(ia) + len(ib) - n)
 
+    def pairs(self, packed: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """pair() of the sets numbered x and y, pair by pair."""
+        parts = [self.unpack(p) for p in packed]
+        size = np.array([len(i) for i, _ in parts], np.int64)
+        ids, weight = np.concatenate([i for i, _ in parts]), self.weights[np.concatenate([s for _, s in parts])]
+        place, (known, at) = np.cumsum(size) - size, np.unique(ids, return_inverse=True)
+        key = np.repeat(np.arange(len(parts)), size) * len(known) + at  # ascending, as each set is
+        whole = np.bincount(np.repeat(np.arange(len(parts)), size), weight, len(parts))
+        x, y = np.where(size[x] <= size[y], x, y), np.where(size[x] <= size[y], y, x)
+        out = np.zeros(len(x), bool)
+        for a, b in words.slices(np.r_[0, np.cumsum(size[x])], ELEMENTS):
+            one, two, n = x[a:b], y[a:b], size[x[a:b]]
+            mine, own = words.ragged(place[one], n), np.repeat(np.arange(b - a), n)
+            want = np.repeat(two, n) * len(known) + at[mine]
+            found = np.minimum(np.searchsorted(key, want), max(0, len(key) - 1))
+            same = key[found] == want
+            low = np.bincount(own[same], np.minimum(weight[mine[same]], weight[found[same]]), b - a)
+            common = np.bincount(own[same], minlength=b - a)
+            near = self._enough(low, whole[one] + whole[two] - low) | self._enough(common, size[one] + size[two] - common)
+            out[a:b] = near & (common > 0)
+        return out
+
     def _enough(self, shared_part, whole):
         return shared_part >= self.similar * whole - 1e-9
 
@@ -179,12 +203,12 @@ def cluster(buckets: DataFrame, packed: DataFrame, measure: Jaccard, agree: int)
     links = shared.materialize(_verified(pairs, packed, measure), "links")
     labels = shared.materialize(components(links), "labels") if shared.rows(links) else None
     left = shared.materialize(_open(buckets, labels).select("band", "item", "root"), "open")
-    kin = shared.materialize(_met(left, packed.select("item", F.col("sig").alias("packed")), _alike(agree), BLOCK_SIGNATURES), "kin")
+    kin = shared.materialize(_met(left, packed.select("item", F.col("sig").alias("packed")), Agreement(agree), BLOCK_SIGNATURES), "kin")
     if not shared.rows(kin):
         return labels
     families = components(kin).withColumnRenamed("root", "band").withColumnRenamed("node", "root")
     items = left.select("item", "root").distinct().join(families, "root").select("band", "item", "root")
-    found = shared.materialize(_met(items, packed.select("item", "packed"), _similar(measure), BLOCK), "links")
+    found = shared.materialize(_met(items, packed.select("item", "packed"), measure, BLOCK), "links")
     if shared.rows(found):
         labels = shared.materialize(components(links.unionByName(found)), "labels")
     return labels
@@ -201,9 +225,10 @@ def _verified(pairs: DataFrame, packed: DataFrame, measure: Jaccard) -> DataFram
     return both.select("a", "b", "pa", "pb").mapInArrow(shared.lean(compare), "a long, b long")
 
 
-def _met(left: DataFrame, packed: DataFrame, meet: Callable, block: int) -> DataFrame:
-    """What `meet` makes of the items of each group `band` outside its largest component, in blocks i, and
-    all its items, in blocks j. A block has about `block` items and BLOCK_BYTES bytes; a task holds two."""
+def _met(left: DataFrame, packed: DataFrame, measure: Jaccard | Agreement, block: int) -> DataFrame:
+    """Links (a, b) of roots that join by the measure: of the items of each group `band` outside its largest
+    component, in blocks i, and all its items, in blocks j. A block has about `block` items and BLOCK_BYTES
+    bytes; a task holds two, or many small groups together."""
     sized = shared.materialize(left.join(packed.select("item", F.octet_length("packed").alias("size")), "item"), "sized")
     by_root = sized.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     sizes = by_root.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max_by(F.struct("n", "bytes"), F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
@@ -214,60 +239,94 @@ def _met(left: DataFrame, packed: DataFrame, meet: Callable, block: int) -> Data
     high = placed.select("band", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"), F.expr("cast(pmod(at, all) as int)").alias("j"), F.lit(1).alias("side"), "item", "root")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sides = None, ([], [])
+        held: list[pa.RecordBatch] = []
 
-        def done() -> pa.RecordBatch:
-            found = meet(*sides)
-            return pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+        def done(rows: pa.Table) -> pa.RecordBatch:
+            u, v = _joined(rows, measure)
+            return pa.record_batch([pa.array(u), pa.array(v)], ["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:3] != key:
-                    if sides[0] and sides[1]:
-                        yield done()
-                    key, sides = row[:3], ([], [])
-                sides[row[3]].append(row[4:])
-        if sides[0] and sides[1]:
-            yield done()
-
-    dealt = low.unionByName(high).join(packed, "item").select("band", "i", "j", "side", "item", "root", "packed")
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= TOGETHER or sum(x.nbytes for x in held) >= BLOCK_BYTES:
+                rows = pa.Table.from_batches(held)
+                cut = int(_groups(rows)[-1])  # the last group may go on
+                if cut:
+                    yield done(rows.slice(0, cut))
+                held = rows.slice(cut).to_batches()
+        if held:
+            yield done(pa.Table.from_batches(held))
+
+    dealt = low.unionByName(high).join(packed, "item").select("band", "i", "j", "side", "root", "packed")
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number isn't coalesced: rows are few for the work they make
-    return dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(shared.lean(compare), "a long, b long").distinct()
-
-
-def _forest(near: np.ndarray, low: list[tuple], high: list[tuple]) -> Iterator[tuple[int, int]]:
-    """Positions of near pairs that join components (low, high: item, root, packed), no more than needed."""
-    parent: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    roots = [np.array([r[1] for r in side]) for side in (low, high)]
-    for x, y in zip(*np.nonzero(near & (roots[0][:, None] != roots[1][None, :])), strict=True):
-        a, b = top(low[x][1]), top(high[y][1])
-        if a != b:
-            parent[a] = b
-            yield x, y
+    return dealt.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j", "side").mapInArrow(shared.lean(compare), "a long, b long").distinct()
+
+
+def _column(rows: pa.Table, name: str) -> np.ndarray:
+    return np.asarray(rows.column(name).combine_chunks())
+
+
+def _groups(rows: pa.Table) -> np.ndarray:
+    """The first row of each group (band, i, j)."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for c in ("band", "i", "j"):
+        x = _column(rows, c)
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _joined(rows: pa.Table, measure: Jaccard | Agreement) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the roots that near pairs of low and high rows of a group join."""
+    first, root, packed = _groups(rows), _column(rows, "root"), rows.column("packed").to_pylist()
+    size = np.diff(np.r_[first, rows.num_rows])
+    n_high = np.add.reduceat(_column(rows, "side").astype(np.int64), first) if len(first) else size
+    n_low = size - n_high
+    links: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def found(x: np.ndarray, y: np.ndarray) -> None:
+        links.append(_forest_of(root[x], root[y]))
+
+    large = n_low * n_high > PAIRS
+    for g in np.flatnonzero(large):
+        a, b, c = first[g], first[g] + n_low[g], first[g] + size[g]
+        near = measure.matrix(packed[a:b], packed[b:c]) & (root[a:b, None] != root[None, b:c])
+        x, y = np.nonzero(near)
+        found(a + x, b + y)
+    rest = np.flatnonzero(~large)
+    for k, m in words.slices(np.r_[0, np.cumsum((n_low * n_high)[rest])], PAIRS):
+        g = rest[k:m]
+        x = np.repeat(words.ragged(first[g], n_low[g]), np.repeat(n_high[g], n_low[g]))
+        y = words.ragged(np.repeat(first[g] + n_low[g], n_low[g]), np.repeat(n_high[g], n_low[g]))
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        if len(x):
+            used, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+            near = measure.pairs([packed[i] for i in used], at[: len(x)], at[len(x) :])
+            found(x[near], y[near])
+    if not links:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return _forest_of(*(np.concatenate(x) for x in zip(*links, strict=True)))
+
+
+class Agreement:
+    """Whether two signatures (bytes of equal length) agree in `agree` places."""
+
+    def __init__(self, agree: int):
+        self.agree = agree
 
+    @staticmethod
+    def _stacked(packed: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
 
-def _alike(agree: int) -> Callable:
-    """Pairs of components with items whose signatures agree."""
-
-    def meet(low: list[tuple], high: list[tuple]) -> list[tuple[int, int]]:
-        a, b = (np.frombuffer(b"".join(r[2] for r in side), np.uint8).reshape(len(side), -1) for side in (low, high))
-        same = np.zeros((len(low), len(high)), np.uint8)
+    def matrix(self, xs: list[bytes], ys: list[bytes]) -> np.ndarray:
+        a, b = self._stacked(xs), self._stacked(ys)
+        same = np.zeros((len(a), len(b)), np.uint8)
         for k in range(a.shape[1]):
             same += a[:, k, None] == b[None, :, k]
-        return [(low[x][1], high[y][1]) for x, y in _forest(same >= agree, low, high)]
-
-    return meet
-
-
-def _similar(measure: Jaccard) -> Callable:
-    def meet(low: list[tuple], high: list[tuple]) -> list[tuple[int, int]]:
-        near = measure.matrix([r[2] for r in low], [r[2] for r in high])
-        return [(low[x][0], high[y][0]) for x, y in _forest(near, low, high)]
+        return same >= self.agree
 
-    return meet
+    def pairs(self, packed: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        a, same = self._stacked(packed), np.zeros(len(x), np.uint8)
+        for column in np.ascontiguousarray(a.T):
+            same += column[x] == column[y]
+        return same >= self.agree

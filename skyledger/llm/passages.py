@@ -247,12 +247,12 @@ def collisions(docs: DataFrame, shards: int) -> DataFrame:
 
         for batch in batches:
             for _, _, p in _slices(batch.column(0)):
-                for kind in (p, p.lines()):
+                for lines, kind in enumerate((p, p.lines())):
                     long = np.flatnonzero(kind.size >= LEAST)
                     long = long[np.unique(kind.item[long], return_index=True)[1]]
                     low, item = _minima(*kind.shingles(long), _ODD[: BANDS * ROWS]), kind.item[long]
                     for k in range(BANDS):
-                        key = np.full(len(long), k, np.uint64)
+                        key = np.full(len(long), lines * BANDS + k, np.uint64)  # a line doesn't meet the paragraphs cut from it
                         for row in low[k * ROWS : (k + 1) * ROWS]:
                             key = words.mix(key * np.uint64(0x9E3779B97F4A7C15) + row)
                         held.append((key, item))

@@ -81,6 +81,8 @@ def test_jaccard_matrix_equals_pairs():
         m = clusters.Jaccard(weights, similar)
         near = m.matrix(sets[:30], sets[30:])
         assert (near == np.array([[m.pair(x, y) for y in sets[30:]] for x in sets[:30]])).all()
+        x, y = (k.ravel() for k in np.meshgrid(np.arange(60), np.arange(60)))
+        assert (m.pairs(sets, x, y) == [m.pair(sets[a], sets[b]) for a, b in zip(x, y, strict=True)]).all()
 
 
 def test_components(spark):
