@@ -33,8 +33,8 @@ MOST_ROUNDS = 60
 
 
 class Jaccard:
-    """Whether two packed sets are `similar`, by the Jaccard similarity of their weights or of the plain
-    sets. A packed set is its ids in ascending order (8 bytes each), then for each its weight step (1 byte)."""
+    """Whether two packed sets are `similar`, by the Jaccard similarity of their weights. A packed set is its ids
+    in ascending order (8 bytes each), then for each its weight step (1 byte)."""
 
     def __init__(self, weights: np.ndarray, similar: float):
         self.weights, self.similar = np.asarray(weights, np.float64), similar
@@ -55,8 +55,8 @@ class Jaccard:
         wa, wb = self.weights[sa], self.weights[sb]
         at = np.minimum(np.searchsorted(ib, ia), len(ib) - 1)
         same = ib[at] == ia
-        n, low = int(same.sum()), np.minimum(wa[same], wb[at[same]]).sum()
-        return self._enough(low, wa.sum() + wb.sum() - low) or self._enough(n, len(ia) + len(ib) - n)
+        low = np.minimum(wa[same], wb[at[same]]).sum()
+        return bool(same.any() and self._enough(low, wa.sum() + wb.sum() - low))
 
     def pairs(self, packed: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """pair() of the sets numbered x and y, pair by pair."""
@@ -75,9 +75,7 @@ class Jaccard:
             found = np.minimum(np.searchsorted(key, want), max(0, len(key) - 1))
             same = key[found] == want
             low = np.bincount(own[same], np.minimum(weight[mine[same]], weight[found[same]]), b - a)
-            common = np.bincount(own[same], minlength=b - a)
-            near = self._enough(low, whole[one] + whole[two] - low) | self._enough(common, size[one] + size[two] - common)
-            out[a:b] = near & (common > 0)
+            out[a:b] = self._enough(low, whole[one] + whole[two] - low) & (low > 0)
         return out
 
     def _enough(self, shared_part, whole):
@@ -93,7 +91,7 @@ class Jaccard:
             sides.append((np.repeat(np.arange(len(parts)), size), np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), size))
         weigh = [np.bincount(o, self.weights[s], len(n)) for o, _, s, n in sides]
         common = np.intersect1d(sides[0][1], sides[1][1])
-        low, plain = np.zeros((len(xs), len(ys))), np.zeros((len(xs), len(ys)))
+        low = np.zeros((len(xs), len(ys)))
         for k in range(0, len(common), COLUMNS):
             ids, own = common[k : k + COLUMNS], []
             for owner, i, step, _ in sides:
@@ -111,10 +109,7 @@ class Jaccard:
                 m[np.repeat(owner, last - first[a] + 1), words.ragged(first[a], last - first[a] + 1)] = 1
                 dense.append(m)
             low += (dense[0] * value.astype(np.float32)) @ dense[1].T
-            plain += dense[0][:, first] @ dense[1][:, first].T
-        n = [s[3] for s in sides]
-        near = self._enough(low * (1 + 1e-6), weigh[0][:, None] + weigh[1][None, :] - low)
-        return near | self._enough(plain, n[0][:, None] + n[1][None, :] - plain) & (plain > 0)
+        return self._enough(low * (1 + 1e-6), weigh[0][:, None] + weigh[1][None, :] - low) & (low > 0)
 
 
 def _forest_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,9 +2,11 @@
 
 A text's shingles are its runs of five words (all its words together, if fewer), words being lower-cased
 runs of ASCII letters and digits and non-ASCII characters. A shingle's weight is its count in the text
-times an inverse document frequency between 1 and 2, rounded to steps of a quarter on a logarithmic
-scale. Document frequencies cover all documents: a count-min sketch of fixed size, summed over tasks as
-blocks of counters, which may only overestimate.
+times an inverse document frequency, 1 for a shingle that all texts hold and 1 + SPREAD for one that a RARE share of
+them or fewer hold, rounded to sixteenths on a logarithmic scale. Frequencies are shares, so weights are alike at
+every size of corpus. They cover all documents: a count-min sketch, summed over tasks as blocks of
+counters, whose width follows the mean length of a text. Its error, which only raises a share, is a small part of
+RARE, and only the sketch of texts of that mean length is broadcast, however many texts there are.
 
 Each of 63 samples draws, for a shingle and its weight, Ioffe's (r, c, beta) from a pool indexed by a
 hash of the shingle, so that a table gives ln a for any weight step; the least wins. Two texts agree in a
@@ -12,13 +14,12 @@ sample with a chance of their weighted Jaccard similarity. 21 bands of 3 samples
 with a chance above 0.9999, of 0.67 above 0.999.
 
 Identical texts are one item, found by hash. Colliding items are clustered (clusters.py); a pair is a
-link if its exact weighted Jaccard similarity, or the plain one of its shingle sets, is 0.8 or more.
-The plain one is there because inside a large group of copies the shared shingles are frequent, and
-their low weight would hide that the texts are copies.
+link if its exact weighted Jaccard similarity is 0.8 or more.
 
 Defined results: a null or wordless text is a class of its own. Repeated rows are in one class. Within
-a class the row of least doc_id is kept, null ids last, ties by the row's place in the input. An empty
-table gives no rows; extra columns are ignored by classes() and kept by keep_one().
+a class the row of least doc_id is kept, null ids last, ties by the row's place in the input. Very long texts are
+sampled one at a time, as a whole. An empty table gives no rows; extra columns are ignored by classes() and kept by
+keep_one(), whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bits, clusters, shared, words
@@ -36,14 +37,18 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 21, 3
 SAMPLES = BANDS * ROWS
-#: Of SAMPLES bytes, so many agree for a pair of 0.67 with a chance above 0.998.
-AGREE = 31
+#: Of SAMPLES bytes, so many agree for a pair of 0.8 with a chance above 0.9999.
+AGREE = 36
 CHUNK, DOCUMENTS = 2 << 20, 1 << 13
-WIDTH, DEPTH = 1 << 20, 2
+#: The share of texts below which a shingle is as rare as any, and how much more it weighs than one of all texts.
+RARE, SPREAD = 1 / 256, 0.5
+DEPTH = 2
+#: Counters a row for each shingle of a mean text over RARE, and the least number of them.
+ROOM, LEAST_WIDTH = 4, 1 << 16
 SEGMENT = 1 << 16
-STEPS = 4
-LEVELS = 80
-POOL = 1 << 16
+STEPS = 16
+LEVELS = 256
+POOL = 1 << 14
 _ODD = np.random.default_rng(11).integers(1, 2**62, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -70,32 +75,38 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tupl
     return (key[at] >> np.uint64(50)).astype(np.int64), key[at] & np.uint64((1 << 50) - 1), np.diff(np.r_[at, len(key)])
 
 
-def _bins(ids: np.ndarray) -> list[np.ndarray]:
-    return [((ids * np.uint64(m)) >> np.uint64(44)).astype(np.int64) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+def _bins(ids: np.ndarray, width: int) -> list[np.ndarray]:
+    return [((ids * np.uint64(m) >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
 
 
-def document_frequencies(docs: DataFrame) -> np.ndarray:
-    """The count-min sketch (DEPTH x WIDTH) of the number of documents that hold each shingle."""
+def sketch_width(texts: int, total_bytes: int) -> int:
+    """Counters a row: by the words of a mean text (of some 4 bytes at least), not by how many texts there are."""
+    mean = total_bytes / 4 / max(1, texts)
+    return max(LEAST_WIDTH, -(-int(ROOM * mean / RARE) // SEGMENT) * SEGMENT)
+
+
+def document_frequencies(docs: DataFrame, width: int = 1 << 20) -> np.ndarray:
+    """The count-min sketch (DEPTH x width) of the number of documents that hold each shingle."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table = np.zeros((DEPTH, WIDTH), np.int64)
+        table = np.zeros((DEPTH, width), np.int64)
         for batch in batches:
             data, offsets = words.flat(batch.column(0))
             for a, b in words.slices(offsets, CHUNK, DOCUMENTS):
                 _, ids, _ = shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                for row, at in zip(table, _bins(ids), strict=True):
-                    row += np.bincount(at, minlength=WIDTH)
+                for row, at in zip(table, _bins(ids, width), strict=True):
+                    row += np.bincount(at, minlength=width)
         yield _blocks(table.ravel(), TaskContext.get().partitionId() % 32)
 
     sums = docs.select("text").mapInArrow(shared.lean(tally), "block int, salt int, width int, counts binary")
     for key in (("block", "salt"), ("block",)):
         sums = sums.repartition(*key).sortWithinPartitions(*key).mapInArrow(_add(len(key)), "block int, salt int, width int, counts binary")
-    table = np.zeros(DEPTH * WIDTH, np.int64)
-    for r in sums.collect():
+    table = np.zeros(DEPTH * width, np.int64)
+    for r in sums.toLocalIterator():
         table[r["block"] * SEGMENT : (r["block"] + 1) * SEGMENT] += np.frombuffer(bytes(r["counts"]), f"<u{r['width']}").astype(np.int64)
-    return table.reshape(DEPTH, WIDTH)
+    return table.reshape(DEPTH, width)
 
 
 def _blocks(table: np.ndarray, salt: int, first: int = 0) -> pa.RecordBatch:
@@ -129,14 +140,16 @@ class Sampler:
     """Weights and consistent samples, given the sketch of document frequencies and their total."""
 
     def __init__(self, frequencies: np.ndarray, documents: int):
-        self.frequencies, self.documents = np.minimum(frequencies, 2**31 - 1).astype(np.int32), documents
+        share = frequencies / max(1, documents)
+        #: ln of the inverse document frequency, in STEPS, of every counter
+        rarity = np.clip(-np.log(np.clip(share, RARE, 1)) / -np.log(RARE), 0, 1)
+        self.idf = (np.log1p(SPREAD * rarity) * STEPS).astype(np.float16)
         self.weights = np.exp(np.arange(LEVELS) / STEPS)
 
     def levels(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The weight step of each shingle: ln(tf idf) in quarters."""
-        held = np.minimum(*(row[at] for row, at in zip(self.frequencies, _bins(ids), strict=True)))
-        idf = 1 + np.log((self.documents + 1) / (np.minimum(held, self.documents) + 1)) / np.log(self.documents + 2)
-        return np.minimum(np.rint(np.log(counts * idf) * STEPS), LEVELS - 1).astype(np.int64)
+        rarest = np.maximum(*(row[at] for row, at in zip(self.idf, _bins(ids, self.idf.shape[1]), strict=True))).astype(np.float64)
+        return np.minimum(np.rint(np.log(counts) * STEPS + rarest), LEVELS - 1).astype(np.int64)
 
     def table(self) -> np.ndarray:
         """For each weight step and pool entry, ln a in an order-preserving 32-bit form."""
@@ -158,7 +171,7 @@ class Sampler:
         low = (ids ^ (ids >> np.uint64(18))) & np.uint64(0xFFFFFFFF)
         out = np.empty((len(first), SAMPLES), np.uint64)
         for k in range(SAMPLES if len(first) else 0):
-            at = base + ((ids * _ODD[k]) >> np.uint64(48)).astype(np.int64)
+            at = base + ((ids * _ODD[k]) >> np.uint64(50)).astype(np.int64)
             out[:, k] = np.minimum.reduceat(table[at].astype(np.uint64) << np.uint64(32) | low, first)
         return text[first], out
 
@@ -191,7 +204,7 @@ def _sketched(docs: DataFrame, sampler: Sampler) -> DataFrame:
                 item = pa.array(np.asarray(batch.column(2)[a:b]), mask=size == 0)
                 yield pa.record_batch([batch.column(0)[a:b], batch.column(1)[a:b], item, keys, pa.array(sig, pa.binary())], ["row", "doc_id", "item", "bands", "sig"])
 
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("item"), "text")
+    whole = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("item"), "text")
     return shared.materialize(whole.mapInArrow(shared.lean(run), "row long, doc_id long, item long, bands array<long>, sig binary"), "sketches")
 
 
@@ -222,9 +235,9 @@ def _packed(docs: DataFrame, wanted: DataFrame, sampler: Sampler) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, similar: float) -> DataFrame:
-    """row, doc_id, root of every row; rows of one root are one class."""
-    n = docs.where("text is not null").count()
-    sampler = Sampler(document_frequencies(docs), n)
+    """row, doc_id, root of every row of docs (row, doc_id, text); rows of one root are one class."""
+    n, size = docs.agg(F.count("text"), F.sum(F.octet_length("text"))).first()
+    sampler = Sampler(document_frequencies(docs, sketch_width(n, size or 0)), n)
     sketches = _sketched(docs, sampler)
     texts = sketches.where("item is not null").select("item", "bands", "sig")
     distinct = texts.groupBy("item").agg(F.first("bands").alias("bands"))
@@ -239,13 +252,16 @@ def _labelled(docs: DataFrame, similar: float) -> DataFrame:
     return named.select("row", "doc_id", "item", F.coalesce("root", "item").alias("root"))
 
 
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+
+
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """row, doc_id, class_id (the class's kept doc_id), class_size, kept of every document row."""
-    docs = shared.carried(docs, "doc_id", "text")
+    docs = shared.carried(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     with shared.Scratch() as scratch:
         named = scratch.keep(shared.materialize(_labelled(docs, similar), "labelled"))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    heads = named.where("root is not null").groupBy("root").agg(F.min(place).alias("head"), F.count("*").alias("class_size"))
+    heads = named.where("root is not null").groupBy("root").agg(F.min(_place()).alias("head"), F.count("*").alias("class_size"))
     whole = named.where("root is not null").join(heads, "root").select("row", "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", (F.col("head.row") == F.col("row")).alias("kept"))
     alone = named.where("root is null").select("row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
     return whole.unionByName(alone)
@@ -257,13 +273,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """docs with one document of each class, all columns."""
-    names = docs.columns
+    own, restored = shared.renamed(docs, "doc_id", "text")
     with shared.Scratch() as scratch:
-        numbered = scratch.keep(shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup"))
-        # _labelled() numbers rows itself, so this number goes in its id column, and the true id joins later
-        order = _labelled(numbered.select(F.col("__row").alias("doc_id"), "text"), similar).select(F.col("doc_id").alias("__row"), "root").where("root is not null")
-        order = shared.materialize(order.join(numbered.select("__row", "doc_id"), "__row"), "order")
-        place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")
-        first = order.groupBy("root").agg(F.min(place).alias("head")).select("root", F.col("head.__row").alias("first"))
-        gone = scratch.keep(shared.materialize(order.join(first, "root").where(F.col("__row") != F.col("first")).select("__row"), "gone"))
-    return numbered.join(shared.small(gone), "__row", "left_anti").select(*(F.col(f"`{c}`") for c in names))
+        numbered = scratch.keep(shared.materialize(own.withColumn("row", F.monotonically_increasing_id()), "dedup"))
+        named = shared.materialize(_labelled(numbered.select("row", "doc_id", "text"), similar).where("root is not null"), "named")
+        first = named.groupBy("root").agg(F.min(_place()).alias("head"))
+        gone = scratch.keep(shared.materialize(named.join(first, "root").where(F.col("row") != F.col("head.row")).select("row"), "gone"))
+    return restored(numbered.join(shared.small(gone), "row", "left_anti"))

@@ -55,7 +55,7 @@ WITH d AS (
 ), candidates AS (
   SELECT * FROM found f WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM found o WHERE o.kind < 3 AND o.doc_id = f.doc_id AND o.s < f.e AND f.s < o.e)
 ), owners AS (
-  SELECT value, kind = 3 AS opaque, COUNT(DISTINCT owner) < 3 AS live FROM candidates GROUP BY ALL
+  SELECT value, kind = 3 AS opaque, NOT (COUNT(DISTINCT owner) >= 3 OR COUNT(DISTINCT owner) >= 2 AND COUNT(DISTINCT repo) >= 4) AS live FROM candidates GROUP BY ALL
 ), judged AS (
   SELECT c.*, o.live, name || ':' || s || ':' || e AS span FROM candidates c JOIN owners o ON o.value = c.value AND o.opaque = (c.kind = 3) WHERE c.kind < 3 OR o.live
 ), sums AS (

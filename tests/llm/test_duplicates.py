@@ -1,10 +1,12 @@
 """Near copies, passages, neighbours and token counts against plain Python."""
 
 import collections
+import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from skyledger.llm import bits, clusters, near_copies, neighbours, passages, shared, token_counts
@@ -56,7 +58,7 @@ def test_near_copies_equal_brute_force(table):
     texts = corpus()
     docs = table([(k, t, "en", "s", 0) for k, t in enumerate(texts)], DOCS).withColumn("item", F.lit(1))
     got = {r["doc_id"]: r for r in near_copies.classes(docs).collect()}
-    want = plain_classes(texts)
+    want = weighted_classes(texts)
     differing = [k for k, c in enumerate(want) if got[k]["class_id"] != c]
     assert not differing, differing[:10]
     assert all(got[k]["kept"] == (c == k) for k, c in enumerate(want))
@@ -103,13 +105,69 @@ def test_components(spark):
     assert got == {x: top(x) for x in linked}
 
 
-def test_weights_follow_document_frequency(spark, table):
-    docs = table([(k, f"common words in all of these {k} x{k} y{k} z{k}", "en", "s", 0) for k in range(50)], DOCS)
-    f = near_copies.document_frequencies(docs)
-    assert f.sum() == near_copies.DEPTH * sum(len(shingle_set(r["text"])) for r in docs.collect())
-    ids = near_copies.shingles(*near_copies.words.flat(__import__("pyarrow").array(["common words in all of these"])))[1]
-    step = near_copies.Sampler(f, 50).levels(ids, np.ones(len(ids)))
-    assert (step <= near_copies.Sampler(np.zeros_like(f), 50).levels(ids, np.ones(len(ids)))).all() and len(ids) == 2
+def weighted_classes(texts, similar=0.8):
+    """Least index of the class of each text: equal, or linked by weighted similarity, weights from exact frequencies."""
+    counts = [collections.Counter() for _ in texts]
+    for c, t in zip(counts, texts, strict=True):
+        w = WORD.findall((t or "").lower())
+        n = min(5, len(w))
+        c.update(tuple(w[k : k + n]) for k in range(len(w) - n + 1) if n)
+    held = collections.Counter(s for c in counts for s in c)
+    total = sum(t is not None for t in texts)
+
+    def weight(shingle, n):
+        rarity = min(1, math.log(total / held[shingle]) / math.log(256))
+        return math.exp(round((math.log(n) + math.log(1 + near_copies.SPREAD * rarity)) * near_copies.STEPS) / near_copies.STEPS)
+
+    sets, parent = [{s: weight(s, n) for s, n in c.items()} for c in counts], list(range(len(texts)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def near(x, y):
+        low = sum(min(w, y[s]) for s, w in x.items() if s in y)
+        return low and low >= similar * (sum(x.values()) + sum(y.values()) - low)
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] and (texts[a] == texts[b] or near(sets[a], sets[b])):
+                x, y = sorted((top(a), top(b)))
+                parent[y] = x
+    return [top(k) for k in range(len(texts))]
+
+
+def test_near_copies_by_weight_equal_brute_force(table):
+    rnd = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts = []
+    for group in range(25):  # common boilerplate and rare words, repeated lines, edits near the limit
+        base = [rnd.choice(vocabulary) for _ in range(40)]
+        boiler = [f"common{k}" for k in range(rnd.choice((0, 60, 120)))]
+        for _ in range(5):
+            own = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                own[rnd.randrange(40)] = rnd.choice(vocabulary)
+            texts.append(" ".join(boiler + own * rnd.choice((1, 1, 2))))
+    want = weighted_classes(texts)
+    got = {r["doc_id"]: r["class_id"] for r in near_copies.classes(table([(k, t, "en", "s", 0) for k, t in enumerate(texts)], DOCS)).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+    assert len(set(want)) > 10 and want != plain_classes(texts)
+
+
+def test_weights_follow_the_share_of_texts(table):
+    def steps(copies, width):
+        rows = [f"common words in all of these {k} x{k} y{k} z{k}" for k in range(50 * copies)] + ["half of all texts hold this line here"] * 50 * copies
+        docs = table([(k, t, "en", "s", 0) for k, t in enumerate(rows)], DOCS)
+        f = near_copies.document_frequencies(docs, width)
+        assert f.sum() == near_copies.DEPTH * sum(len(shingle_set(t)) for t in rows)
+        ask = lambda t: near_copies.shingles(*near_copies.words.flat(pa.array([t])))[1]
+        return [near_copies.Sampler(f, len(rows)).levels(ask(t), np.ones(len(ask(t)))).tolist() for t in ("common words in all of", "half of all texts hold", "never seen words in here")]
+
+    small, large = steps(1, 1 << 16), steps(8, 1 << 16)
+    assert small == large and small[0] < small[2]  # eight times the corpus, the same weights
+    assert near_copies.sketch_width(10, 10_000) == near_copies.sketch_width(10**9, 10**12)
 
 
 def test_passages(spark, table):

@@ -10,7 +10,7 @@ import corpus_pipeline
 from skyledger.llm import bpe, queries
 
 from .conftest import DOCS
-from .test_duplicates import corpus, plain_classes
+from .test_duplicates import corpus, weighted_classes
 from .test_text_operators import base_spans, contaminated
 
 KIT = Tokenizer.from_file(bpe.find(bpe.TOKENIZER))
@@ -30,7 +30,7 @@ def folder(spark, tmp_path):
 def test_run_equals_brute_force(spark, folder):
     at, rows, items = folder
     kept = [r for r in rows if any(c.isalpha() for c in r[1])]
-    classes = plain_classes([r[1] for r in kept])
+    classes = weighted_classes([r[1] for r in kept])
     kept = [r for k, r in enumerate(kept) if classes[k] == k]
     kept = [r for r, c in zip(kept, contaminated([(r[0], r[1]) for r in kept], items), strict=True) if not c[-1]]
     want = {}
