@@ -10,8 +10,11 @@ covers COVER of the true neighbours inside the sample, where neighbours are fart
 table. A query with fewer than k rows in a block's radius takes the block's k nearest codes instead.
 
 For largest inner products, rows get one more component that gives all of them the greatest length;
-queries get 0 there. Queries are broadcast in groups of at most QUERIES, each against all rows where
-they lie: rows are not shuffled, and a task returns k rows a query.
+queries get 0 there. Queries are broadcast in groups of QUERY_BYTES at most, one group after another, each against
+all rows where they lie: rows are not shuffled, a task returns k rows a query, and these are cut to k in
+two levels. A group's result is written to the shared folder and its broadcast destroyed before the next one.
+
+Scores add products component by component, so equal vectors have equal scores wherever they lie.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, nor do those of another length than the commonest (the shorter, on a tie), nor rows without a
@@ -24,10 +27,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +43,9 @@ BITS, PARTS = 64, 8
 SAMPLE = 4096
 COVER = 0.985
 BLOCK = 16_384
-QUERIES = 16_384
+#: Bytes of query vectors that are broadcast at once, and groups of a query's partial results.
+QUERY_BYTES = 32 << 20
+LEVELS = 32
 ROUNDS = 30
 _ONES = np.array([bin(v).count("1") for v in range(256)])
 
@@ -111,7 +118,20 @@ class Index:
             rest = np.flatnonzero(self.ids != own)
             apart = np.bitwise_count(self.whole[rest] ^ code.view(np.uint64)).astype(np.int64)
             rows = rest[np.argsort(apart, kind="stable")[:k]]
-        return best(self.ids[rows], self.x[rows] @ q, k)
+        rough = self.x[rows] @ q
+        if len(rows) > 4 * k:  # only what surely isn't among the best goes by the quick product
+            slack = 1e-9 * (1 + self.coder.longest * float(np.sqrt(q @ q)))
+            keep = rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack
+            rows = rows[keep]
+        return best(self.ids[rows], scores(self.x[rows], q), k)
+
+
+def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of rows x with q, added in the order of components: the same for equal rows, in any block."""
+    out = np.zeros(len(x))
+    for column, value in zip(x.T, q, strict=True):
+        out += column * value
+    return out
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,20 +172,29 @@ def search(vectors: DataFrame, asked: Column, k: int = K, sample: int = SAMPLE,
     else:
         taken = rows.orderBy("vec_id").select("embedding").toArrow()
     coder = fit(_matrix(taken.column(0).combine_chunks()), float(stats[0]), k, cover)
-    queries = rows.where(asked).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    groups = -(-queries.count() // (QUERIES * 3 // 4)) or 1
-    found = None
+    queries = shared.materialize(rows.where(asked).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
+    groups = -(-shared.rows(queries) * d * 8 * 4 // (QUERY_BYTES * 3)) or 1
+    found = []
     for g in range(groups):
         own = queries.where(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)) == g).toArrow()
-        ids, q = np.asarray(own.column(0).combine_chunks(), np.int64), _matrix(own.column(1).combine_chunks()) if own.num_rows else np.zeros((0, d))
-        part = _pass(rows, coder, ids, q, k)
-        found = part if found is None else found.unionByName(part)
-    top = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id"))), 1, k).alias("near"))
+        if own.num_rows:
+            found.append(_pass(rows, coder, np.asarray(own.column(0).combine_chunks(), np.int64), _matrix(own.column(1).combine_chunks()), k))
+    shared.remove(queries)
+    if not found:
+        return spark.createDataFrame([], schema)
+    top = reduce(DataFrame.unionByName, found)
     each = top.select("query_id", F.posexplode("near").alias("at", "one"))
     return each.select("query_id", (F.col("at") + 1).alias("rank"), F.col("one.vec_id").alias("vec_id"), (-F.col("one.away")).alias("score"))
 
 
+def _cut(found: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The k best of each group: near, an array of (away, vec_id)."""
+    one = F.struct((-F.col("score")).alias("away"), "vec_id")
+    return found.groupBy(*keys).agg(F.slice(F.array_sort(F.collect_list(one)), 1, k).alias("near"))
+
+
 def _pass(rows: DataFrame, coder: Coder, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
+    """query_id, near (its k best, in order) of one group of queries, as a table."""
     sent = rows.sparkSession.sparkContext.broadcast((coder, ids, q, coder.codes(q, False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,13 +215,18 @@ def _pass(rows: DataFrame, coder: Coder, ids: np.ndarray, q: np.ndarray, k: int)
                 waiting = []
         if waiting:
             block()
+        part = TaskContext.get().partitionId() % LEVELS
         for a in range(0, len(ids), 1024):
             some = [held[i] for i in range(a, min(a + 1024, len(ids))) if i in held]
             if some:
                 size = [len(s[0]) for s in some]
-                yield pa.record_batch([pa.array(np.repeat(ids[a : a + len(some)], size)), pa.array(np.concatenate([s[0] for s in some])), pa.array(np.concatenate([s[1] for s in some]))], ["query_id", "vec_id", "score"])
+                yield pa.record_batch([pa.array(np.full(sum(size), part), pa.int32()), pa.array(np.repeat(ids[a : a + len(some)], size)), pa.array(np.concatenate([s[0] for s in some])), pa.array(np.concatenate([s[1] for s in some]))], ["part", "query_id", "vec_id", "score"])
 
-    return rows.mapInArrow(shared.lean(run), "query_id long, vec_id long, score double")
+    given = rows.mapInArrow(shared.lean(run), "part int, query_id long, vec_id long, score double")
+    parts = _cut(given, k, "query_id", "part").select("query_id", F.explode("near").alias("one"))
+    out = shared.materialize(_cut(parts.select("query_id", "one.vec_id", (-F.col("one.away")).alias("score")), k, "query_id"), "near")
+    sent.destroy()
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

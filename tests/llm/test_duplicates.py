@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.llm import bits, clusters, near_copies, neighbours, passages, shared, token_counts
@@ -260,6 +261,40 @@ def test_neighbours(table):
         assert found == sorted(found) and all(abs(s + np.dot(np.array(rows[q][1]), np.array(rows[j][1]))) < 1e-12 for s, j in found)
 
 
+@pytest.mark.parametrize("size", [8, 33, 64, 130])
+def test_equal_vectors_have_equal_scores(size):
+    rng = np.random.default_rng(size)
+    distinct = rng.normal(size=(60, size))
+    x = distinct[rng.integers(0, 60, 3000)]
+    ids = rng.permutation(len(x)).astype(np.int64)
+    coder = neighbours.fit(x[:500], float(np.sqrt((x * x).sum(1).max())))
+    for block in (slice(0, 3000), slice(3, 1801)):
+        index = neighbours.Index(coder, ids[block], x[block])
+        for q in x[:100]:
+            got, score = index.search(-1, q, coder.codes(q[None], False)[0], 20)
+            order = sorted(zip(-score, got, strict=True))
+            assert [i for _, i in order] == got.tolist()
+            by_vector = {}
+            for i, s in zip(got, score, strict=True):
+                by_vector.setdefault(x[np.flatnonzero(ids == i)[0]].tobytes(), set()).add(float(s))
+            assert all(len(s) == 1 for s in by_vector.values())
+
+
+def test_neighbours_among_hundreds_of_equal_vectors_in_groups(spark, table, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 1 << 11)  # several groups, one after another
+    rng = np.random.default_rng(6)
+    distinct = rng.normal(size=(12, 16))
+    rows = [(k, [float(v) for v in distinct[k % 12]]) for k in range(700)]
+    got = collections.defaultdict(list)
+    for r in neighbours.search(table(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    x = np.array([v for _, v in rows])
+    for q in range(0, 700, 20):
+        s = neighbours.scores(x, x[q])
+        want = sorted((-s[j], j) for j in range(700) if j != q)[:20]
+        assert got[q] == [(k + 1, j, -away) for k, (away, j) in enumerate(want)]
+
+
 def test_neighbours_of_few(table):
     vectors = table([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     got = [(r["rank"], r["vec_id"], r["score"]) for r in neighbours.search(vectors, F.col("vec_id") == 0).orderBy("rank").collect()]
