@@ -5,19 +5,25 @@ item of 13 or more words gives every window of 13 consecutive words; a shorter i
 empty one) is one window. Window hashes are looked up in the broadcast set, then each hit is
 verified word by word against the item's own bytes, so a hash collision never counts.
 
+The set is built and broadcast as arrays, some 5 bytes for each byte of benchmark text, so MAX_SET_BYTES of text
+bound what the driver and each worker hold. A larger benchmark is scanned in blocks of that size, one after another.
+
 Defined results: a null or wordless text has n_words = n_hit = n_items = 0 and is clean. A null or
 wordless item has no windows; an item without an id makes words hit but is not listed. Repeated
-items count once by id. Extra columns are ignored, an empty table gives no rows, an empty
-benchmark leaves all documents clean. Rows with equal or null doc_id each get their own result.
+items count once by id. Extra columns are kept, of whatever names; one named like a finding is replaced. An
+empty table gives no rows, an empty benchmark leaves all documents clean. Rows with equal or null doc_id each get
+their own result. Very long texts are scanned one at a time, as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,7 +32,7 @@ from . import shared, words
 
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast set may hold; a larger benchmark is scanned in blocks.
-MAX_SET_BYTES = 32 << 20
+MAX_SET_BYTES = 16 << 20
 CHUNK = 2 << 20
 SCHEMA = "n_words long, items array<string>, hit_words array<long>, hit_chars array<long>"
 FOUND = ["n_words", "items", "hit_words", "hit_chars"]
@@ -34,61 +40,86 @@ FOUND = ["n_words", "items", "hit_words", "hit_chars"]
 
 @dataclass
 class WindowSet:
-    """Distinct windows sorted by hash; window w begins at word `at[w]` of the benchmark's words."""
+    """Distinct windows sorted by hash; window w begins at word `at[w]` of the benchmark's words, and occurs in the
+    items (places in `names`) item_of[item_at[w] : item_at[w + 1]]."""
 
     hash: np.ndarray
     size: np.ndarray
     at: np.ndarray
     item_at: np.ndarray
-    items: np.ndarray
+    item_of: np.ndarray
+    names: list[str]
     starts: np.ndarray
     lengths: np.ndarray
     data: np.ndarray
     seen: np.ndarray
 
 
-def window_set(rows: list[tuple[int | None, str | None]], window: int = WINDOW) -> WindowSet:
-    data, offsets = words.flat(pa.array([t for _, t in rows], pa.large_string()))
-    starts, ends, first = words.spans(data, offsets, words.ALNUM)
-    h = words.hashes(data, starts, ends)
-    folded = words.FOLD[data]
-    found: dict[bytes, tuple[int, int, int, set]] = {}
-    for i, (item, _) in enumerate(rows):
-        a, b = int(first[i]), int(first[i + 1])
-        size = min(window, b - a)
-        values = words.windows(h[a:b], size) if size else []
-        for k, value in enumerate(values):
-            text = b" ".join(folded[starts[w] : ends[w]].tobytes() for w in range(a + k, a + k + size))
-            found.setdefault(text, (int(value), size, a + k, set()))[3].add(item)
-    order = sorted(found.values(), key=lambda x: x[0])
-    listed = [sorted(str(x) for x in o[3] if x is not None) for o in order]
-    hashed = np.array([o[0] for o in order], np.uint64)
-    seen = np.zeros(1 << 20, bool)
-    seen[hashed >> np.uint64(44)] = True
-    return WindowSet(hashed, np.array([o[1] for o in order], np.int64), np.array([o[2] for o in order], np.int64), np.cumsum([0, *map(len, listed)]), np.array([x for y in listed for x in y], object), starts, ends - starts, folded, seen)
-
-
-def _same(have: WindowSet, data, starts, lengths, p, w, size) -> np.ndarray:
-    """Which windows p of the documents have the words of windows w of the set."""
-    ok = np.ones(len(p), bool)
-    for k in range(size):
-        i = np.flatnonzero(ok)
-        a, b = p[i] + k, have.at[w[i]] + k
-        same = lengths[a] == have.lengths[b]
+def _equal(x: tuple, y: tuple, at: np.ndarray, to: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which windows of `size` words from word `at` of x are the same as those from word `to` of y, each of folded
+    bytes, words' starts and lengths."""
+    ok = np.ones(len(at), bool)
+    for k in range(int(size.max(initial=0))):
+        i = np.flatnonzero(ok & (size > k))
+        a, b = at[i] + k, to[i] + k
+        same = x[2][a] == y[2][b]
+        ok[i[~same]] = False
         i, a, b = i[same], a[same], b[same]
-        left = words.FOLD[data[words.ragged(starts[a], lengths[a])]]
-        right = have.data[words.ragged(have.starts[b], have.lengths[b])]
-        bad = np.add.reduceat(left != right, np.cumsum(lengths[a]) - lengths[a]) > 0 if len(a) else np.zeros(0, bool)
-        ok = np.zeros(len(p), bool)
-        ok[i[~bad]] = True
+        n = x[2][a].astype(np.int64)
+        for j, m in words.slices(np.r_[0, np.cumsum(n)], CHUNK):
+            left, right = (side[0][words.ragged(side[1][w[j:m]].astype(np.int64), n[j:m])] for side, w in ((x, a), (y, b)))
+            bad = np.add.reduceat(left != right, np.cumsum(n[j:m]) - n[j:m]) > 0
+            ok[i[j:m][bad]] = False
     return ok
 
 
+def window_set(ids: list[str | None], texts: pa.Array, window: int = WINDOW) -> WindowSet:
+    """The windows of the items' texts, as arrays from end to end."""
+    data, offsets = words.flat(texts)
+    starts, ends, first = words.spans(data, offsets, words.ALNUM)
+    h, data = words.hashes(data, starts, ends), words.FOLD[data]
+    starts, lengths = starts.astype(np.int32), (ends - starts).astype(np.int32)
+    n = np.diff(first)
+    names = sorted({x for x in ids if x is not None})
+    place = {x: k for k, x in enumerate(names)}
+    own = np.array([place.get(x, -1) for x in ids], np.int32)
+    whole = words.windows(h, window)
+    at = [np.flatnonzero(words.within(first, window)).astype(np.int32)]
+    value = [whole[at[0]]]
+    size = [np.full(len(at[0]), window, np.uint8 if window < 256 else np.int32)]
+    del whole
+    for k in np.unique(n[(n > 0) & (n < window)]):
+        at.append(first[:-1][n == k].astype(np.int32))
+        value.append(words.windows(h[words.ragged(first[:-1][n == k], n[n == k])], int(k))[::k])
+        size.append(np.full(len(at[-1]), k, size[0].dtype))
+    at, value, size = np.concatenate(at), np.concatenate(value), np.concatenate(size)
+    del h
+    order = np.argsort(value, kind="stable")
+    at, value, size = at[order], value[order], size[order]
+    side, head = (data, starts, lengths), np.arange(len(value), dtype=np.int32)
+    left = np.arange(len(value))
+    while len(left):  # windows that are the same as the first of their hash; of the others, again
+        new = np.r_[True, value[left[1:]] != value[left[:-1]]]
+        lead = left[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        left, lead = left[~new], lead[~new]
+        same = (size[left] == size[lead]) & _equal(side, side, at[left], at[lead], np.minimum(size[left], size[lead]).astype(np.int64))
+        head[left[same]] = lead[same]
+        left = left[~same]
+    item = own[np.searchsorted(first, at, "right") - 1]
+    keep = head == np.arange(len(head))
+    entry = (np.cumsum(keep) - 1)[head]
+    listed = np.unique(entry[item >= 0] * np.int64(max(1, len(names))) + item[item >= 0])
+    item_at = np.searchsorted(listed // max(1, len(names)), np.arange(int(keep.sum()) + 1)).astype(np.int32)
+    seen = np.zeros(1 << 20, bool)
+    seen[value >> np.uint64(44)] = True
+    return WindowSet(value[keep], size[keep], at[keep], item_at, (listed % max(1, len(names))).astype(np.int32), names, starts, lengths, data, seen)
+
+
 def _scan(have: WindowSet, data: np.ndarray, offsets: np.ndarray) -> dict[str, list]:
     """For each document: its words, the items whose windows occur, the hit ranges in words and characters."""
     starts, ends, first = words.spans(data, offsets, words.ALNUM)
     lengths, h = ends - starts, words.hashes(data, starts, ends)
-    docs = len(offsets) - 1
+    folded, docs = words.FOLD[data], len(offsets) - 1
     change = np.zeros(len(starts) + 1, np.int64)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for size in np.unique(have.size):
@@ -99,7 +130,7 @@ def _scan(have: WindowSet, data: np.ndarray, offsets: np.ndarray) -> dict[str, l
         p, w = np.repeat(maybe, hi - lo), words.ragged(lo, hi - lo)
         ok = have.size[w] == size
         p, w = p[ok], w[ok]
-        ok = _same(have, data, starts, lengths, p, w, size)
+        ok = _equal((folded, starts, lengths), (have.data, have.starts, have.lengths), p, have.at[w], np.full(len(p), size))
         p, w = p[ok], w[ok]
         np.add.at(change, p, 1)
         np.add.at(change, p + size, -1)
@@ -107,19 +138,20 @@ def _scan(have: WindowSet, data: np.ndarray, offsets: np.ndarray) -> dict[str, l
     out = {"n_words": np.diff(first), "items": [[] for _ in range(docs)], "hit_words": [[] for _ in range(docs)], "hit_chars": [[] for _ in range(docs)]}
     if not any(len(p) for p, _ in pairs):
         return out
-    named: dict[int, set] = {}
     doc, w = (np.concatenate(x) for x in zip(*pairs, strict=True))
     both = np.unique(doc * len(have.hash) + w)
-    for d, k in zip(both // len(have.hash), both % len(have.hash), strict=True):
-        named.setdefault(int(d), set()).update(have.items[have.item_at[k] : have.item_at[k + 1]])
+    doc, w = both // len(have.hash), both % len(have.hash)
+    n = (have.item_at[w + 1] - have.item_at[w]).astype(np.int64)
+    named = np.unique(np.repeat(doc, n) * max(1, len(have.names)) + have.item_of[words.ragged(have.item_at[w].astype(np.int64), n)])
+    for k in named:
+        out["items"][k // len(have.names)].append(have.names[k % len(have.names)])
     hit = np.cumsum(change[:-1]) > 0
     edge = np.zeros(len(hit) + 1, bool)
     edge[first] = True
     begin = np.flatnonzero(hit & (~np.r_[False, hit[:-1]] | edge[:-1]))
     end = np.flatnonzero(hit & (~np.r_[hit[1:], False] | edge[1:])) + 1
     owner = np.searchsorted(first, begin, "right") - 1
-    for d in named:
-        out["items"][d] = sorted(named[d])
+    for d in np.unique(doc):
         a, b = np.searchsorted(owner, (d, d + 1))
         base = int(first[d])
         out["hit_words"][d] = np.stack([begin[a:b] - base, end[a:b] - base], 1).ravel().tolist()
@@ -128,19 +160,10 @@ def _scan(have: WindowSet, data: np.ndarray, offsets: np.ndarray) -> dict[str, l
     return out
 
 
-def _merge(ranges: list[list[int]]) -> list[int]:
-    out: list[int] = []
-    for a, b in sorted((r[k], r[k + 1]) for r in ranges for k in range(0, len(r), 2)):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
-def _one_pass(docs: DataFrame, rows: list, window: int) -> DataFrame:
-    """docs with the findings of every row."""
-    sent, names = docs.sparkSession.sparkContext.broadcast(window_set(rows, window)), docs.columns
+def _one_pass(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
+    """docs with the findings of every row, and the broadcast that they need."""
+    rows = items.select(F.col("item_id").cast("string"), "text").toArrow()
+    sent, names = docs.sparkSession.sparkContext.broadcast(window_set(rows.column(0).to_pylist(), rows.column(1).combine_chunks(), window)), docs.columns
     kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +174,28 @@ def _one_pass(docs: DataFrame, rows: list, window: int) -> DataFrame:
                 found = _scan(have, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 yield pa.record_batch([*batch.slice(a, b - a).columns, *(pa.array(found[c], kind) for c, kind in zip(FOUND, kinds, strict=True))], [*names, *FOUND])
 
-    return docs.mapInArrow(shared.lean(scan), StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields]))
+    return docs.mapInArrow(shared.lean(scan), StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields])), sent
+
+
+def _in_blocks(docs: DataFrame, items: DataFrame, window: int, blocks: int) -> DataFrame:
+    """docs with the findings of all blocks of the benchmark, which are broadcast one after another: a block's
+    findings are written before the next one is sent."""
+    whole = shared.materialize(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
+    block, passes = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)), []
+    for k in range(blocks):
+        found, sent = _one_pass(whole.select("row", "text"), items.where(block == k), window)
+        passes.append(shared.materialize(found.drop("text") if not k else found.where(F.size("hit_words") > 0).drop("text"), "hits"))
+        sent.destroy()
+    hits = reduce(DataFrame.unionByName, passes)
+    pieces = F.transform(F.sequence(F.lit(0), F.expr("size(hit_words) div 2 - 1").cast("int")), lambda k: F.struct(*(F.get(c, 2 * k + j).alias(f"{c}_{j}") for c in ("hit_words", "hit_chars") for j in (0, 1))))
+    each = hits.where(F.size("hit_words") > 0).select("row", F.explode(pieces).alias("x")).select("row", "x.*")
+    joined = shared.islands(each, "row", "hit_words_0", "hit_words_1", True, "hit_chars_0", "hit_chars_1")
+    flat = lambda c: F.flatten(F.transform("ranges", lambda x: F.array(x[f"{c}_0"], x[f"{c}_1"]))).alias(c)
+    ranges = joined.select("row", flat("hit_words"), flat("hit_chars"))
+    ids = hits.select("row", F.explode("items").alias("item")).groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    found = whole.join(passes[0].select("row", "n_words"), "row").join(ranges, "row", "left").join(ids, "row", "left")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+    return found.select(*docs.columns, "n_words", none("items", "string"), none("hit_words", "bigint"), none("hit_chars", "bigint"))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_bytes: int = MAX_SET_BYTES) -> DataFrame:
@@ -162,25 +206,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_by
     hash blocks of about that size are broadcast one after another over the same documents and
     the findings of each row are merged, which gives the same rows.
     """
-    docs = docs.drop(*FOUND, "n_hit", "n_items", "contaminated", "__row")
+    docs = docs.drop(*FOUND, "n_hit", "n_items", "contaminated")
+    names = docs.columns
+    own, _ = shared.renamed(docs, "text")
     items = shared.carried(benchmark, "item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // max_set_bytes) or 1
-    if blocks == 1:
-        found = _one_pass(docs, items.collect(), window)
-    else:
-        whole = shared.materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
-        block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-        passes = [_one_pass(whole.select("__row", "text"), items.where(block == k).collect(), window).drop("text") for k in range(blocks)]
-        both = passes[0]
-        for other in passes[1:]:
-            both = both.unionByName(other)
-        listed = both.groupBy("__row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.collect_list("hit_words").alias("hit_words"), F.collect_list("hit_chars").alias("hit_chars"))
-        merge = F.udf(_merge, "array<long>")
-        found = whole.join(listed.withColumns({"hit_words": merge("hit_words"), "hit_chars": merge("hit_chars")}), "__row").drop("__row")
+    found = _one_pass(own, items, window)[0] if blocks == 1 else _in_blocks(own, items, window, blocks)
     n_hit = F.aggregate(F.sequence(F.lit(0), F.size("hit_words") - 1), F.lit(0).cast("long"), lambda s, k: s + F.when(k % 2 == 1, F.get("hit_words", k)).otherwise(-F.get("hit_words", k)))
     found = found.withColumns({"n_hit": F.when(F.size("hit_words") > 0, n_hit).otherwise(F.lit(0).cast("long")), "n_items": F.size("items").cast("long")})
-    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    found = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return found.toDF(*names, *FOUND, "n_hit", "n_items", "contaminated")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import shared
@@ -137,17 +137,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _islands(judged: DataFrame) -> DataFrame:
-    """row, ranges (flat, ascending byte positions) of spans, overlapping ones as one."""
-    flat = judged.select("row", F.col("span.byte").alias("byte"), F.col("span.last").alias("last"))
-    before = Window.partitionBy("row").orderBy("byte", "last").rowsBetween(Window.unboundedPreceding, -1)
-    fresh = F.coalesce(F.col("byte") >= F.max("last").over(before), F.lit(True))
-    upto = Window.partitionBy("row").orderBy("byte", "last").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = flat.withColumn("fresh", fresh).withColumn("island", F.sum(F.col("fresh").cast("int")).over(upto))
-    islands = numbered.groupBy("row", "island").agg(F.min("byte").alias("byte"), F.max("last").alias("last"))
-    return islands.groupBy("row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("byte", "last"))), lambda x: F.array(x["byte"], x["last"]))).alias("ranges"))
-
-
 def _without(text: Column, ranges: Column, mark: str) -> Column:
     """text with a mark for each byte range, put together once."""
     raw = text.cast("binary")
@@ -167,7 +156,9 @@ def redact(docs: DataFrame, owner: str = "source", repo: tuple[str, ...] = ("sou
     kept = shared.materialize(own, "redact")
     some = kept.where(F.size("own_spans") > 0)
     found = some.select(F.col("own_row").alias("row"), F.col(f"`{owner}`").alias("owner"), _repository(repo).alias("repo"), F.col("own_spans").alias("spans"))
-    ranges = shared.materialize(_islands(judge(found)), "ranges").select(F.col("row").alias("own_row"), "ranges")
+    judged = judge(found).select("row", F.col("span.byte").alias("byte"), F.col("span.last").alias("last"))
+    flat = F.flatten(F.transform("ranges", lambda x: F.array(x["byte"], x["last"])))
+    ranges = shared.islands(judged, "row", "byte", "last", False).select(F.col("row").alias("own_row"), flat.alias("ranges"))
     out = some.select("own_row", *(F.col(f"`{c}`") for c in columns)).join(ranges, "own_row", "left")
     changed = F.col("ranges").isNotNull()
     out = out.withColumn("text", F.when(changed, _without(F.col("text"), F.col("ranges"), mark)).otherwise(F.col("text")))

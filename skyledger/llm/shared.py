@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -117,6 +117,19 @@ def cut(text: str | Column, ranges: str | Column) -> Column:
     return F.when(F.size(ranges) > 0, F.array_join(pieces, "")).otherwise(text)
 
 
+def islands(df: DataFrame, key: str, start: str, end: str, touching: bool, *others: str) -> DataFrame:
+    """key and ranges: of df's ranges [start, end) of each key, those that overlap (or, if asked for, touch) as one, in
+    ascending order. A range is a struct start, end and the other columns, of which the first two are the start
+    and end on another scale."""
+    order = Window.partitionBy(key).orderBy(start, end)
+    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col(start) > reached if touching else F.col(start) >= reached, F.lit(True))
+    numbered = df.withColumn("fresh", fresh).withColumn("island", F.sum(F.col("fresh").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = [F.min(start).alias(start), F.max(end).alias(end), *(f(c).alias(c) for f, c in zip((F.min, F.max), others, strict=False))]
+    whole = numbered.groupBy(key, "island").agg(*ends)
+    return whole.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(start, end, *others))).alias("ranges"))
+
+
 def carried(df: DataFrame, *needed: str) -> DataFrame:
     """Only the columns an operator reads; missing ones are an error that names them."""
     missing = [c for c in needed if c not in df.columns]

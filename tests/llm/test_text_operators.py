@@ -266,3 +266,35 @@ def test_redaction_keeps_columns_of_any_name(table):
 def test_redaction_of_a_very_long_text(table):
     docs = table([(1, "a token=abcdefgh é " * 20_000, "en", "s", 0)], DOCS)
     assert secrets.redact(docs).first()["text"] == "a [SECRET] é " * 20_000
+
+
+def test_window_set_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    text = " ".join(map("w{}".format, rng.integers(0, 50_000, 400_000)))
+    texts = pa.array([text, "a b c", "", " ".join(text.split()[:600])])
+    size = len(text)
+    tracemalloc.start()
+    have = decontaminate.window_set(["7", "8", None, "9"], texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * size and sum(x.nbytes for x in (have.hash, have.size, have.at, have.item_at, have.item_of, have.starts, have.lengths, have.data)) < 8 * size
+    assert have.names == ["7", "8", "9"] and len(have.hash) == 400_000 - 12 + 1
+
+
+def test_colliding_windows_stay_apart(monkeypatch):
+    monkeypatch.setattr(words, "windows", lambda h, size: np.full(max(0, len(h) - size + 1), 5, np.uint64))
+    have = decontaminate.window_set(["1", "2", "3", "4"], pa.array(["a b", "c d", "a b", "x"]))
+    assert sorted(have.size.tolist()) == [1, 2, 2] and len(have.item_of) == 4
+    data, offsets = words.flat(pa.array(["q a b c d", "x"]))
+    found = decontaminate._scan(have, data, offsets)
+    assert found["items"] == [["1", "2", "3"], ["4"]] and found["hit_words"] == [[1, 5], [0, 1]]
+
+
+def test_decontamination_keeps_columns_of_any_name(table):
+    docs = table([(1, "zz " * 15, "en", "s", 7)], DOCS).select("*", F.lit(1).alias("row"), F.lit(2).alias("own_0"), F.lit(3).alias("n_hit"), F.lit(4).alias("__row"))
+    bench = table([(1, "zz " * 14), (2, "qq " * 14)], "item_id long, text string")
+    for bound in (1 << 20, 20):
+        got = decontaminate.scan(docs, bench, max_set_bytes=bound).first().asDict()
+        assert (got["row"], got["own_0"], got["__row"], got["n_hit"], got["items"], got["hit_chars"]) == (1, 2, 4, 15, ["1"], [0, 44])
