@@ -370,6 +370,20 @@ def decode(df: DataFrame, column: str = "ids", out: str = "decoded", tokenizer:
     return df.mapInArrow(shared.lean(run), StructType([*(f for f in df.schema.fields), *StructType().add(out, StringType()).fields]))
 
 
+def lengths(df: DataFrame, column: str = "text", out: str = "n_tokens", tokenizer: str = TOKENIZER) -> DataFrame:
+    """df with the number of token ids in place of the texts."""
+    own = [c for c in df.columns if c not in (column, out)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kit = load(tokenizer)
+        for batch in batches:
+            for a, b, _, at in chunks(kit, batch.column(len(own))):
+                yield pa.record_batch([*batch.slice(a, b - a).columns[:-1], pa.array(np.diff(at), pa.int64())], [*own, out])
+
+    given = df.select(*(F.col(f"`{c}`") for c in own), F.col(f"`{column}`"))
+    return given.mapInArrow(shared.lean(run), StructType([*given.schema.fields[:-1], *StructType.fromDDL(f"{out} long").fields]))
+
+
 def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer: str = TOKENIZER) -> DataFrame:
     """One pass over texts: the columns to keep, n_tokens, ids (little-endian unsigned 32-bit), decoded."""
     docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias("__text"))

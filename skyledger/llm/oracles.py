@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from . import token_counts
-
 BENCHMARK_DECONTAMINATION = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -68,7 +66,6 @@ FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id
 """
 
 ORACLES = {
-    "op3_token_counts": token_counts.ORACLE,
     "op4_secret_scans": SECRET_SCANS,
     "op8_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
 }

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from skyledger.llm import bits, clusters, near_copies, neighbours, passages, shared, token_counts
+from skyledger.llm import bits, bpe, clusters, near_copies, neighbours, passages, shared, token_counts
 
 from .conftest import DOCS
 
@@ -321,10 +322,59 @@ def test_rollup(spark, table):
     assert totals() == {("a", "en", "t1"): (1, 10), ("b", "en", "t1"): (1, 7), ("a", None, "t1"): (1, 0), (None, "en", None): (1, 4)}
     assert r.commit("two", rows((1, "c", "fr", "t1", "revise", 12, 0), (2, None, None, "t1", "delete", None, 9), (9, "z", "z", "t1", "delete", 1, 0), (3, "q", "en", None, "revise", 6, 0), (None, "a", None, "t1", "delete", 3, 0)))
     assert totals() == {("c", "fr", "t1"): (1, 12), ("a", None, "t1"): (1, 0), ("q", "en", None): (1, 6)}
-    assert r.commit("none", rows()) is True and r.batches() == ["none", "one", "two"]
+    assert r.commit("none", rows()) is True and r.batches() == ["one", "two", "none"]
     assert r.ledger().where("doc_id = 1").first()["tokens"] == 12
 
 
+def test_overlapping_commits_add_up(spark, table):
+    r = token_counts.Rollup(spark, shared.fresh(spark, "rollup"), buckets=3)
+    rows = lambda *x: table([(*v,) for v in x], token_counts.CHANGES)
+    totals = lambda: {t["source"]: (t["docs"], t["tokens"]) for t in r.totals().collect()}
+    assert r.commit("load", rows(*((k, "a", "en", "t", "insert", 10, 0) for k in range(20))))
+    other, write, waiting = token_counts.Rollup(spark, r.folder, 3), r._write, ["b", "c"]
+
+    def overtaken(signed, stage):
+        write(signed, stage)
+        if waiting:  # another writer commits between this one's computing and its rename
+            name = waiting.pop()
+            assert other.commit(f"other-{name}", rows((1, name, "en", "t", "revise", 7, 1), (2, name, "en", "t", "delete", 0, 0)))
+
+    r._write = overtaken
+    assert r.commit("mine", rows((1, "d", "en", "t", "revise", 5, 2), (3, "d", "en", "t", "revise", 6, 2)))
+    assert totals() == {"a": (17, 170), "d": (2, 11)}
+    assert r.batches() == ["load", "other-c", "other-b", "mine"] and r.commit("mine", rows()) is False
+    before = sorted(map(str, r.ledger().collect()))
+    assert r.compact() == 4 and sorted(map(str, r.ledger().collect())) == before
+    r.vacuum()
+    assert totals() == {"a": (17, 170), "d": (2, 11)} and r.commit("other-b", rows()) is False
+    assert r.commit("late", rows((1, None, None, "t", "delete", 0, 3))) and totals() == {"a": (17, 170), "d": (1, 6)}
+
+
+def test_token_counts_of_the_tables_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    kit = Tokenizer.from_file(bpe.find(bpe.TOKENIZER))
+    marks = collections.defaultdict(lambda: [0, 1])
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        marks[r["doc_id"]] = [max(marks[r["doc_id"]][0], r["toxic"]), min(marks[r["doc_id"]][1], r["quality"])]
+    want = collections.Counter(), collections.Counter()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        toxic, quality = marks.get(r["doc_id"], (0, 1))
+        if not toxic:
+            split = r"[ \t\n\x0b\f\r-]+" if quality == 0 else r"[ \t\n\x0b\f\r]+"
+            for name, n in (("words-1", len([w for w in re.split(split, r["text"] or "") if w])), (bpe.TOKENIZER, len(kit.encode(r["text"] or "", add_special_tokens=False).ids))):
+                want[0][r["source"], r["lang"], name] += 1
+                want[1][r["source"], r["lang"], name] += n
+    got = token_counts.query(spark, sf).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in got} == {k: (n, want[1][k]) for k, n in want[0].items()}
+
+
+def test_very_long_text_and_clashing_names_are_counted(table):
+    docs = table([(1, "a-b c " * 100_000, "en", "s", 0)], DOCS).withColumn("n_tokens", F.lit(5)).withColumn("version", F.lit(9)).withColumn("op", F.lit("x"))
+    for name, n in (("words-1", 200_000), ("words-2", 300_000), (bpe.TOKENIZER, 400_000)):
+        got = token_counts.changes(token_counts.counted(docs, name), name).collect()
+        assert [(r["n_tokens"], r["op"], r["version"]) for r in got] == [(n, "insert", 0)]
+
+
 def test_counted_by_vocabulary(table):
     docs = table([(1, "Hello, world!", "en", "s", 0), (2, None, "en", "s", 0)], DOCS)
     assert [r["n_tokens"] for r in token_counts.counted(docs, "word_bpe_49k.json").orderBy("doc_id").collect()] == [4, 0]
