@@ -9,7 +9,8 @@ priority queue with the same result. Words are told apart by a 64-bit hash.
 
 Defined results: null encodes as empty; an empty or all-blank text has no ids and decodes to "".
 The strings of special tokens in a text become their ids. Rows are independent, so repeated rows
-give repeated results; an empty table gives no rows; extra columns are kept by encode() and decode().
+give repeated results, and a very long text is encoded as a whole; an empty table gives no rows; extra columns are
+kept by encode() and decode(), and round_trip() keeps those asked for. One named like a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -386,7 +387,8 @@ def lengths(df: DataFrame, column: str = "text", out: str = "n_tokens", tokenize
 
 def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer: str = TOKENIZER) -> DataFrame:
     """One pass over texts: the columns to keep, n_tokens, ids (little-endian unsigned 32-bit), decoded."""
-    docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias("__text"))
+    keep = tuple(c for c in keep if c not in ("n_tokens", "ids", "decoded"))
+    docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kit = load(tokenizer)
@@ -396,7 +398,7 @@ def round_trip(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), tokenizer:
                 text = kit.decode(pa.array(ids), at)
                 yield pa.record_batch([*batch.slice(a, b - a).columns[:-1], pa.array(np.diff(at), pa.int64()), packed.cast(pa.binary()), text.cast(pa.string())], [*keep, "n_tokens", "ids", "decoded"])
 
-    return docs.mapInArrow(shared.lean(run), StructType([*docs.drop("__text").schema.fields, *StructType.fromDDL("n_tokens long, ids binary, decoded string").fields]))
+    return docs.mapInArrow(shared.lean(run), StructType([*docs.schema.fields[:-1], *StructType.fromDDL("n_tokens long, ids binary, decoded string").fields]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

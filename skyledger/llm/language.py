@@ -10,9 +10,10 @@ doc_id among labelled rows that are not held out, and SAMPLE_WINDOWS windows of
 parameters, and prediction covers whole texts. At most LANGUAGES languages are learnt, the commonest.
 
 Defined results: `und` with score 0 where the text is null or has no letter, and everywhere if there
-are no labelled rows to learn from. A null doc_id is neither held out nor learnt from. Rows are
-independent, so repeated rows give repeated results; an empty table gives no rows; extra columns
-are ignored by predict() and kept by keep_known().
+are no labelled rows to learn from; keep_known() then keeps every document with a letter. A null doc_id is neither
+held out nor learnt from. Rows are independent, so repeated rows give repeated results; equal probabilities go to the
+first language in order; a very long text is cut into windows from end to end. An empty table gives no rows; extra columns
+are ignored by predict() and kept by keep_known(), whatever their names.
 """
 
 from __future__ import annotations
@@ -85,6 +86,24 @@ def cut(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np
     return out.reshape(-1, length), filled, first
 
 
+def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross-entropy of windows x with labels y; only the place of a filter's maximum learns."""
+    top, responses = net.pooled(x)
+    place = responses.argmax(1)
+    hidden = np.maximum(top + net.bias, 0)
+    z = hidden @ net.out + net.out_bias
+    z = np.exp(z - z.max(1, keepdims=True))
+    z /= z.sum(1, keepdims=True)
+    z[np.arange(len(y)), y] -= 1
+    z /= len(y)
+    back = (z @ net.out.T) * (hidden > 0)
+    taken = x[np.arange(len(x))[:, None, None], place[:, :, None] + np.arange(max(WIDTHS))]
+    inputs = net.embed[taken].reshape(len(x), len(net.bias), -1)
+    out = {"out": hidden.T @ z, "out_bias": z.sum(0), "bias": back.sum(0), "filters": np.einsum("nfk,nf->kf", inputs, back), "embed": np.zeros_like(net.embed)}
+    np.add.at(out["embed"], taken.ravel(), (back[:, :, None] * net.filters.T[None]).reshape(-1, net.embed.shape[1]))
+    return out
+
+
 def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7, epochs: int = EPOCHS) -> Network:
     """Softmax cross-entropy by Adam; each filter learns from the place of its maximum."""
     rng = np.random.default_rng(seed)
@@ -102,20 +121,8 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
         order = rng.permutation(len(windows))
         rate = 0.01 * (1 - epoch / epochs) + 0.0005
         for k in range(0, len(order), BATCH):
-            x, y = windows[order[k : k + BATCH]], labels[order[k : k + BATCH]]
-            top, responses = net.pooled(x)
-            place = responses.argmax(1)
-            hidden = np.maximum(top + net.bias, 0)
-            z = hidden @ net.out + net.out_bias
-            z = np.exp(z - z.max(1, keepdims=True))
-            z /= z.sum(1, keepdims=True)
-            z[np.arange(len(y)), y] -= 1
-            z /= len(y)
-            back = (z @ net.out.T) * (hidden > 0)
-            taken = x[np.arange(len(x))[:, None, None], place[:, :, None] + np.arange(wide)]
-            inputs = net.embed[taken].reshape(len(x), total, -1)
-            grad = {"out": hidden.T @ z, "out_bias": z.sum(0), "bias": back.sum(0), "filters": np.einsum("nfk,nf->kf", inputs, back) * shape, "embed": np.zeros_like(net.embed)}
-            np.add.at(grad["embed"], taken.ravel(), (back[:, :, None] * net.filters.T[None]).reshape(-1, DIMENSIONS))
+            grad = gradients(net, windows[order[k : k + BATCH]], labels[order[k : k + BATCH]])
+            grad["filters"] *= shape
             step += 1
             for name in names:
                 first[name] += 0.1 * (grad[name] - first[name])
@@ -172,7 +179,7 @@ def predict(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
     if net is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     kept = [docs.schema[c] for c in keep]
-    docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias("__text"), letters.alias("__letters"))
+    docs = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").alias("own_text"), letters.alias("own_letters"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +207,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_known(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """docs without those whose language stays unknown (no letters) or scores below `least`; all columns stay."""
-    own = ["text" if c == "text" else f"__{k}" for k, c in enumerate(docs.columns)]  # no clash with what predict() adds
-    found = predict(docs.toDF(*own), fit(docs), *own)
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return kept.select(*(F.col(c).alias(name) for c, name in zip(own, docs.columns, strict=True)))
+    net = fit(docs)
+    if net is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    own, restored = shared.renamed(docs, "text")
+    found = predict(own, net, *own.columns)
+    return restored(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))

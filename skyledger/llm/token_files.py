@@ -1,15 +1,16 @@
 """Token-id output: Arrow files of equal-length sequences and masks, with random access without copies.
 
-Documents are dealt by ranges of doc_id, so shard k holds smaller ids than shard k + 1. A shard is
+Documents are dealt by ranges of doc_id, so shard k holds no greater ids than shard k + 1. Rows of one id, however
+many, are dealt on by a hash of their texts and their places. A shard is
 one Arrow file whose record batches have `ids` and `mask` as fixed-size lists, and one Arrow file of
 its documents (doc_id, start within the shard, n_tokens). The last sequence of a shard is padded,
 and its mask tells. Files are written into the shared folder under a name that belongs to one task
 attempt, and only those named by the attempt that succeeded are read, so lost executors and retried
 tasks leave no mixture.
 
-Defined results: a null or empty text is a document of the end id alone. Null doc_ids come first;
-equal doc_ids stay in one shard in any order. An empty table gives no shard and no rows; extra
-columns are ignored.
+Defined results: a null or empty text is a document of the end id alone, and a very long one lies in one shard.
+Null doc_ids come first; rows of equal doc_ids are documents of their own, in the order of their texts' hashes.
+An empty table gives no shard and no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,7 +123,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str = bpe.TOKENIZER, end: int
     """
     docs = shared.carried(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     total = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    dealt = docs.repartitionByRange(max(1, -(-total // shard_bytes)), "doc_id").sortWithinPartitions("doc_id")
+    placed = docs.select("doc_id", "text", F.xxhash64("text").alias("order"), F.monotonically_increasing_id().alias("place"))
+    keys = ("doc_id", "order", "place")
+    dealt = placed.repartitionByRange(max(1, -(-total // shard_bytes)), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -170,8 +173,9 @@ def read(shards: DataFrame) -> DataFrame:
                         yield pa.record_batch([part.column(0), pa.array(begin + row["start"]), part.column(2), packed.cast(pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
                 file.close()
 
-    n = shards.count()
-    return shards.repartition(max(1, n), "shard").mapInArrow(shared.lean(run), "doc_id long, start long, n_tokens long, ids binary")
+    ranked = shards.withColumn("at", (F.row_number().over(Window.orderBy("shard")) - 1).cast("int"))  # one row per shard; a task reads one
+    given = shared.dealt(ranked, max(1, shards.count()), "at").drop("at")
+    return given.mapInArrow(shared.lean(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -397,3 +397,82 @@ def test_scratch_removes_what_is_not_kept(spark):
     assert kept.count() == 4
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(gone._skyledger_path)
     assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_very_long_copies(table):
+    rnd = random.Random(4)
+    long = " ".join(f"w{rnd.randrange(9000)}" for _ in range(150_000))
+    docs = table([(1, long, "en", "s", 0), (2, long + " one more", "en", "s", 0), (3, "short", "en", "s", 0)], DOCS)
+    assert {r["doc_id"]: r["class_id"] for r in near_copies.classes(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    found = [r for r in passages.find(docs).collect() if not r["kept"]]
+    assert {r["doc_id"] for r in found} == {2} and 149_900 <= sum(r["n_words"] for r in found) <= 150_002
+
+
+def test_columns_of_any_name_are_kept(table):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = table([(2, text, "en", "s", 0), (1, text + " end", "en", "s", 0), (3, None, None, None, None)], DOCS)
+    clash = docs.select("*", *(F.lit(k).alias(c) for k, c in enumerate(("row", "__row", "root", "own_0", "ranges", "__cut", "item"))))
+    kept = near_copies.keep_one(clash)
+    assert kept.columns == clash.columns and sorted((r["doc_id"], *r[5:]) for r in kept.collect()) == [(1, *range(7)), (3, *range(7))]
+    out = {r["doc_id"]: r for r in passages.remove(clash).collect()}
+    assert passages.remove(clash).columns == clash.columns and all(tuple(r[5:]) == (*range(7),) for r in out.values())
+    assert out[1]["text"] == text + " end" and len(out[2]["text"].split()) < 12 and out[3]["text"] is None  # the least doc_id keeps it
+
+
+def paragraph_classes(texts):
+    """Brute force of the paragraph classes: all pairs of lines and all pairs of cut paragraphs."""
+    every = []
+    for t, text in enumerate(texts):
+        data, offsets = passages.words.flat(pa.array([text]))
+        p = passages.Paragraphs(data, offsets)
+        for kind, x in enumerate((p, p.lines())):
+            folded = [low.decode() for low in (bytes(passages.words.FOLD[data[a:b]]) for a, b in zip(x.starts, x.ends, strict=True))]
+            every += [(kind, t, tuple(folded[a:b])) for a, b in zip(x.begin, x.end, strict=True)]
+    names = sorted({w for _, _, w in every})
+    parent = {w: w for w in names}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = {w: {w[k : k + 5] for k in range(len(w) - 4)} for w in names}
+    for kind in (0, 1):
+        own = sorted({w for k, _, w in every if k == kind and len(w) >= passages.LEAST})
+        for i, a in enumerate(own):
+            for b in own[:i]:
+                if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    parent[top(a)] = top(b)
+    rows = collections.defaultdict(set)
+    for _, t, w in every:
+        rows[top(w)].add(t)
+    return {w: (top(w), min(rows[top(w)])) for w in names if len(rows[top(w)]) > 1}
+
+
+def test_repeating_paragraphs_equal_brute_force(spark, table):
+    rnd = random.Random(31)
+    some = lambda n: [f"v{rnd.randrange(5000)}" for _ in range(n)]
+    lines, texts = [some(rnd.randint(9, 70)) for _ in range(12)], []
+    for _ in range(50):
+        own = [some(rnd.randint(3, 40))]
+        for _ in range(rnd.randint(0, 3)):
+            line = list(rnd.choice(lines))
+            if rnd.random() < 0.6:
+                line[rnd.randrange(len(line))] = "changed"
+            own.insert(rnd.randint(0, len(own)), line)
+        texts.append("\n".join(" ".join(x) for x in own))
+    docs = table([(k, t, "en", "s", 0) for k, t in enumerate(texts)], DOCS).select(F.col("doc_id").alias("row"), "doc_id", "text")
+    with shared.Scratch():
+        found = {r["item"]: (r["root"], r["first_row"], r["first_doc"]) for r in passages.repeating(docs, passages.paragraphs(docs)).collect()}
+
+    def item(w):
+        return int(passages.Paragraphs(*passages.words.flat(pa.array([" ".join(w)]))).lines().item.view(np.int64)[0])
+
+    want = paragraph_classes(texts)
+    assert found.keys() == {item(w) for w in want} and len(want) > 30
+    assert all(found[item(w)][1:] == (first, first) for w, (_, first) in want.items())
+    groups = collections.defaultdict(set), collections.defaultdict(set)
+    for w, (root, _) in want.items():
+        groups[0][root].add(item(w))
+        groups[1][found[item(w)][0]].add(item(w))
+    assert sorted(map(sorted, groups[0].values())) == sorted(map(sorted, groups[1].values()))

@@ -298,3 +298,117 @@ def test_decontamination_keeps_columns_of_any_name(table):
     for bound in (1 << 20, 20):
         got = decontaminate.scan(docs, bench, max_set_bytes=bound).first().asDict()
         assert (got["row"], got["own_0"], got["__row"], got["n_hit"], got["items"], got["hit_chars"]) == (1, 2, 4, 15, ["1"], [0, 44])
+
+
+def small_network(seed=3, languages=3):
+    rng = np.random.default_rng(seed)
+    total, wide = sum(language.WIDTHS.values()), max(language.WIDTHS)
+    shape = lambda *n: rng.normal(0, 0.3, n)
+    return language.Network([f"l{k}" for k in range(languages)], shape(256, language.DIMENSIONS), shape(wide * language.DIMENSIONS, total), shape(total), shape(total, languages), shape(languages))
+
+
+def forward(net, window):
+    """Probabilities of one window, in plain loops."""
+    d, wide = language.DIMENSIONS, max(language.WIDTHS)
+    hidden = []
+    for f in range(net.filters.shape[1]):
+        responses = [sum(net.embed[window[p + k], j] * net.filters[k * d + j, f] for k in range(wide) for j in range(d)) for p in range(len(window) - wide + 1)]
+        hidden.append(max(0.0, max(responses) + net.bias[f]))
+    z = [sum(h * net.out[f, c] for f, h in enumerate(hidden)) + net.out_bias[c] for c in range(len(net.languages))]
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def test_language_equals_plain_loops(table):
+    net = small_network()
+    texts = ["a short text", "x" * 127, "y" * 128, "long " * 60, "é漢字 " * 40]
+    got = {r["doc_id"]: r for r in language.predict(table([(k, t, None, "s", 0) for k, t in enumerate(texts)], DOCS), net, "doc_id").collect()}
+    for k, text in enumerate(texts):
+        raw, mean, size = text.encode(), np.zeros(3), 0
+        for a in range(0, len(raw), language.LENGTH):
+            own = raw[a : a + language.LENGTH]
+            mean += np.array(forward(net, own + bytes(language.LENGTH - len(own)))) * len(own)
+            size += len(own)
+        assert got[k]["lang_pred"] == net.languages[int(np.argmax(mean))] and abs(got[k]["score"] - mean.max() / size) < 1e-9
+
+
+def test_gradients_equal_differences():
+    net = small_network(5)
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(0, 256, (6, 20)).astype(np.uint8), rng.integers(0, 3, 6)
+    loss = lambda: -np.mean(np.log(net.probabilities(x)[np.arange(6), y]))
+    for name, grad in language.gradients(net, x, y).items():
+        values = getattr(net, name).reshape(-1)
+        for at in [int(np.abs(grad).argmax()), *rng.integers(0, values.size, 12)]:
+            was = values[at]
+            sides = []
+            for step in (1e-6, -1e-6):
+                values[at] = was + step
+                sides.append(loss())
+            values[at] = was
+            assert abs((sides[0] - sides[1]) / 2e-6 - grad.reshape(-1)[at]) < 1e-5
+
+
+def test_known_languages_without_labels(table):
+    docs = table([(1, "some words", None, "s", 0), (2, "123", None, "s", 0), (3, None, None, "s", 0)], DOCS).withColumn("lang_pred", F.lit("x"))
+    assert [(r["doc_id"], r["lang_pred"]) for r in language.keep_known(docs).collect()] == [(1, "x")]
+
+
+def test_score_equals_a_dictionary_model(spark, table):
+    rnd = random.Random(18)
+    rows = [(k, " ".join(f"w{min(59, int(rnd.expovariate(0.08)))}" for _ in range(rnd.randint(0, 40))), "en", "s", 0) for k in range(120)]
+    learn = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    tokens = {i: [*re.findall("[^\x20\x09-\x0d]+", t), ""] for i, t, *_ in rows}
+    one = collections.Counter(w for i, t in tokens.items() if learn(i) for w in t)
+    two = collections.Counter(p for i, t in tokens.items() if learn(i) for p in zip(["", *t], t, strict=False))
+    ends = {"": scoring.END}
+    for w in one | collections.Counter(w for t in tokens.values() for w in t):
+        if w:
+            data, offsets = words.flat(pa.array([w]))
+            ends[w] = scoring.tokens(data, offsets)[0][0]
+    pair = lambda u, w: scoring.pairs(np.array([ends[u], ends[w]] if u else [ends[w]], np.uint64), np.array([0, 2 if u else 1]))[-1]
+    size = sum(len(t.encode()) + 1 for i, t, *_ in rows if learn(i))
+    shards = max(1, -(-size // 2000))
+
+    def levels(counts, key, lowest):  # what the filter returns, asked key by key
+        keys = np.array([key(x) for x in counts], np.uint64)
+        values = np.array(list(counts.values()))
+        built = {s: scoring.build(np.sort(keys[own]), values[own][np.argsort(keys[own])], lowest, lowest) for s in range(shards) if (own := scoring._shard(keys, shards) == s).any()}
+        held = scoring._joined(built, shards, lowest)
+        assert (held.level(keys[values >= lowest]) >= scoring.levels(values[values >= lowest], lowest)).all()
+        return lambda k: int(held.level(np.array([k], np.uint64))[0])
+
+    of_word, of_pair = levels(one, lambda w: ends[w], 1), levels(two, lambda p: pair(*p), 2)
+    count = lambda q, lowest: 0.0 if not q else lowest * 2 ** (q - 1) * (math.sqrt(2) if q > 1 else 1)
+    n, v = sum(one.values()), len(one)
+
+    def chance(u, w, prior, less):
+        c0, c1 = count(of_word(ends[w]), 1), count(of_word(ends[u]), 1)
+        c2 = min(count(of_pair(pair(u, w)), 2), c1)
+        c0, c1, c2 = (max(0, c - less) for c in (c0, c1, c2))
+        return math.log10(min(1, (c2 + prior * (c0 + 1) / (n + v + 1)) / (c1 + prior)))
+
+    total = lambda i, prior, less: sum(chance(u, w, prior, less) for u, w in zip(["", *tokens[i]], tokens[i], strict=False))
+    prior = max(scoring.PRIORS, key=lambda k: sum(total(i, k, 1) for i in tokens if learn(i)))
+    got = {r["doc_id"]: r["score"] for r in scoring.score(table(rows, DOCS), ~shared.held_out("doc_id", 7, 2), shard_bytes=2000).collect()}
+    assert all(abs(got[i] - total(i, prior, 0)) < 1e-6 for i in tokens)
+
+
+def test_edges_of_encoding_and_files(spark, table):
+    assert bpe.round_trip(table([], DOCS)).count() == 0 and bpe.encode(table([], DOCS)).count() == 0
+    docs = table([(1, "a b", "en", "s", 0)], DOCS).select("*", *(F.lit(9).alias(c) for c in ("n_tokens", "ids", "decoded", "start", "order", "place")))
+    got = bpe.round_trip(docs, ("doc_id", "n_tokens", "ids", "decoded", "place")).first()
+    assert got.asDict().keys() == {"doc_id", "place", "n_tokens", "ids", "decoded"} and got["n_tokens"] == 2
+    hot = table([(7 if k % 3 else None, f"text {k % 5}", "en", "s", 0) for k in range(300)], DOCS).select("*", *(F.lit(9).alias(c) for c in ("n_tokens", "start", "order", "place")))
+    shards = token_files.write(hot, shared.fresh(spark, "t"), length=16, shard_bytes=600)
+    rows = token_files.read(shards).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [None] * 100 + [7] * 200
+    assert sum(r["n_tokens"] for r in rows) == sum(len(encoded(f"text {k % 5}")) + 1 for k in range(300))
+    assert max(r["n_docs"] for r in shards.collect()) < 150  # rows of one id are in several shards
+
+
+def test_very_long_texts(table):
+    long, item = "w1 w2 w3 w4 w5 " * 100_000, " ".join(f"q{k}" for k in range(20))
+    docs = table([(1, long + item + " " + long, "en", "s", 0), (2, "short", "en", "s", 0)], DOCS)
+    found = {r["doc_id"]: (r["n_words"], r["n_hit"], r["contaminated"]) for r in decontaminate.scan(docs, table([(1, item)], "item_id long, text string")).collect()}
+    assert found == {1: (1_000_020, 20, False), 2: (1, 0, False)}
