@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept; its result is
 written as Parquet and read again as the next one's docs.
+
+Defined results: documents with a null text, an empty one or one without letters go in the first stage. Very long texts
+go through every stage whole. Rows that repeat a document, or are near copies of it, leave one: that of least doc_id, null ids
+last, ties by place. A null doc_id, lang or source is kept as it is. An empty table gives no rows. Further columns of
+documents are kept up to the last stage, whatever their names; that one returns its own. Without labels to
+learn from, every document with a letter passes the first stage.
 """
 
 from __future__ import annotations
