@@ -47,8 +47,8 @@ BANDS, ROWS = 6, 2
 #: Samples of a paragraph's signature, and how many of them two of 0.8 agree in with a chance above 0.9999.
 SAMPLES, AGREE = 32, 16
 CHUNK = 2 << 20
-SHARD_BYTES = 16 << 20
-FLUSH = 1_500_000
+SHARD_BYTES = 8 << 20
+FLUSH = 500_000
 #: Paragraphs whose passages are worked out together.
 TOGETHER = 1 << 18
 _TOP = np.uint64(2**64 - 1)
