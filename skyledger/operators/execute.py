@@ -20,7 +20,7 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import ranges as R
@@ -143,8 +143,10 @@ def run_ranges(rows: DataFrame, todo: DataFrame, folder: str | Path, execute: Ex
         return pd.DataFrame([row], columns=ATTEMPT_COLUMNS).astype({"debug_level": "Int32", "worker_count": "int32"})
 
     step = max(1, todo.agg(F.max(F.col("row_end") - F.col("row_start"))).first()[0] or 1)
-    given = R.rows_in(todo.select(*heads), rows.select("input_row", *(F.col(f"`{c}`") for c in columns)), step)
-    return given.repartition(max(1, workers), "node_id").groupBy("node_id").applyInPandas(one, ATTEMPT)
+    # ranges are dealt in turn, so that no worker gets many while others idle
+    turn = (F.row_number().over(Window.orderBy("row_start", "node_id")) - 1) % max(1, workers)
+    given = R.rows_in(todo.select(*heads, turn.cast("int").alias("__turn")), rows.select("input_row", *(F.col(f"`{c}`") for c in columns)), step)
+    return given.repartitionById(max(1, workers), F.col("__turn")).groupBy("__turn", "node_id").applyInPandas(one, ATTEMPT)
 
 
 def held(attempts: DataFrame) -> DataFrame:
@@ -159,6 +161,28 @@ def latest(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("node_id").agg(F.max_by(F.struct(*ATTEMPT_COLUMNS), F.struct("completed_at", "started_at")).alias("a")).select("a.*")
 
 
+def recorded(spark: SparkSession, folder: Path) -> DataFrame:
+    """The last attempt of every node below a run's folder: of its own attempts, and of older runs' markers."""
+    found = sorted(str(p.parent) for p in (folder / "attempts").glob("*/_SUCCESS"))
+    read = spark.read.schema(ATTEMPT).parquet(*found) if found else spark.createDataFrame([], ATTEMPT)
+    markers = sorted(str(p) for kind in ("done", "failed") for p in folder.rglob(f"*.{kind}"))
+    return latest(read.unionByName(read_markers(spark, markers)) if markers else read)
+
+
+def complete(attempts: DataFrame, folder: Path) -> DataFrame:
+    """Attempts whose outcome still holds: failed ones, and done ones whose expected files exist. The folder is
+    listed once."""
+    spark = attempts.sparkSession
+    files = spark.createDataFrame([], "path string")
+    if next(folder.rglob("*.csv"), None):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(str(folder)).select("path")
+    there = files.select(F.regexp_replace("path", "^file:/+", "/").alias("__there")).distinct()
+    for expected, path in (("output_exists", F.col("output_path")), ("ew_output_exists", F.regexp_replace("output_path", r"\.csv$", "_ew.csv"))):
+        held = attempts.join(there, path == F.col("__there"), "left").where((F.col("status") == "failed") | ~F.coalesce(expected, F.lit(False)) | F.col("__there").isNotNull())
+        attempts = held.drop("__there")
+    return attempts
+
+
 def read_markers(spark: SparkSession, paths: list[str], seconds: str = "simulator_seconds") -> DataFrame:
     """Attempts from the JSON markers (.done, .failed) of file-based runs, older forms included: the name
     tells the status; `failed_at` stands in for completed_at, duration_seconds for the simulator's

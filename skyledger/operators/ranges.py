@@ -6,25 +6,38 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 RANGE = "chunk long, parent_chunk long, node_id string, parent_node_id string, debug_level int, row_start long, row_end long, chunk_size long"
 SORT_ROWS = 500_000
-SPLITS = 200
+#: Comparisons a row takes in each of two steps, and sampled keys for each part.
+SPLITS, SAMPLES = 200, 16
+
+
+def _points(df: DataFrame, keys: tuple[str, ...], rows: int, parts: int) -> list[tuple]:
+    """Keys that divide the rows into parts of about one size, in ascending order, from a share of the rows by hash."""
+    share = max(1, rows // (parts * SAMPLES))
+    sample = [tuple(r) for r in df.select(*keys).where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).orderBy(*keys).collect()]
+    return list(dict.fromkeys(sample[len(sample) * k // parts] for k in range(1, parts))) if sample else []
 
 
 def number_rows(df: DataFrame, *keys: str, out: str = "input_row") -> DataFrame:
     """df with 0-based row numbers in the order of keys (which identify a row). Large frames are dealt by
-    split points of the first key; each part is numbered by itself, from the count of the parts before
-    it, so that no task sorts everything. Results don't depend on how rows are partitioned."""
+    split points of all keys, found in two steps of at most SPLITS comparisons; each part is numbered by itself, from
+    the count of the parts before it, so that no task sorts everything, however frequent one value of a key is.
+    Results don't depend on how rows are partitioned."""
     n = df.count()
-    parts = min(SPLITS, -(-n // SORT_ROWS)) or 1
-    part: Column = F.lit(0)
-    if parts > 1:
-        sample = df.select(keys[0]).where(F.xxhash64(*keys) % max(1, n // (parts * 200)) == 0)
-        points = [r[0] for r in sample.where(F.col(keys[0]).isNotNull()).orderBy(keys[0]).limit(parts * 400).collect()]
-        points = sorted(set(points[:: max(1, len(points) // parts)]))
-        part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, points)), lambda p: p <= F.col(keys[0]))), F.lit(0))
-    dealt = df.withColumn("__part", part)
+    parts = -(-n // SORT_ROWS) or 1
+    points = _points(df, keys, n, min(parts, SPLITS * SPLITS)) if parts > 1 else []
+    groups = [points[k : k + SPLITS] for k in range(0, len(points), SPLITS)]
+    dealt, key = df.withColumn("__part", F.lit(0)), F.struct(*keys)
+    if points:
+        kind = df.select(*keys).schema
+        literal = lambda point: F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(point, kind, strict=True)))
+        before = lambda some: F.size(F.filter(some, lambda p: p <= key))
+        inner = df.sparkSession.createDataFrame([(k, g) for k, g in enumerate([[], *groups])], StructType([StructField("__group", IntegerType()), StructField("__points", ArrayType(kind))]))
+        dealt = df.withColumn("__group", before(F.array(*(literal(g[0]) for g in groups)))).join(F.broadcast(inner), "__group")
+        dealt = dealt.withColumn("__part", F.col("__group") * (SPLITS + 1) + before(F.col("__points"))).drop("__group", "__points")
     counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = F.row_number().over(Window.partitionBy("__part").orderBy(*keys)).cast("bigint") - 1

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
+import shutil
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -61,7 +63,10 @@ def run_cycle(spark: SparkSession, c: Cycle, say: Callable[[str], None] = print)
     state = State(c.state_folder, c.database, c.comets)
     current = Q.diff(objects_of(spark, c), state.baseline(spark)).persist()
     counts = {r["status"]: r["n"] for r in Q.status_counts(current).collect()}
-    pointings = read_sqlite(spark, c.database).persist()  # one snapshot for the watermark, the count and the rows
+    # one snapshot for the watermark, the count and the rows: a table that outlives executors, not a cache
+    held = Path(c.work).resolve() / f"pointings-{uuid.uuid4().hex}"
+    read_sqlite(spark, c.database).write.parquet(str(held))
+    pointings = spark.read.parquet(str(held))
     most, total = Q.extent(pointings, MJD).first()
     fresh = Q.since(pointings, MJD, state.watermark, c.lookback)
     n_fresh = fresh.count()
@@ -86,5 +91,5 @@ def run_cycle(spark: SparkSession, c: Cycle, say: Callable[[str], None] = print)
     else:
         say("  a diagnostic run; the state stays as it was")
     current.unpersist()
-    pointings.unpersist()
+    shutil.rmtree(held, ignore_errors=True)
     return done

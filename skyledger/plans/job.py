@@ -68,25 +68,15 @@ class Run:
         self.plan = R.plan(self.spark, self.count, options.chunk_size)
 
     def attempts(self) -> DataFrame:
-        """The last attempt of every node."""
-        found = sorted(str(p.parent) for p in (self.folder / "attempts").glob("*/_SUCCESS"))
-        read = self.spark.read.schema(E.ATTEMPT).parquet(*found) if found else self.spark.createDataFrame([], E.ATTEMPT)
-        return E.latest(read)
-
-    def _complete(self, attempts: DataFrame) -> DataFrame:
-        """Attempts whose outcome still holds: failed ones, and done ones whose expected files exist."""
-        def there(output: str, detections: bool, ephemeris: bool) -> bool:
-            return (not detections or Path(output).exists()) and (not ephemeris or Path(output.removesuffix(".csv") + "_ew.csv").exists())
-
-        check = F.udf(there, "boolean")
-        return attempts.where((F.col("status") == "failed") | check("output_path", "output_exists", "ew_output_exists"))
+        """The last attempt of every node, older runs' markers included."""
+        return E.recorded(self.spark, self.folder)
 
     def execute(self, ranges: DataFrame) -> DataFrame:
         """Attempts of all ranges: those that earlier runs left, and new ones of the others. What is executed
         is written before it is read, so nothing is executed twice."""
         held = None
         if self.o.resume:
-            held = self._complete(self.attempts()).join(ranges.select("node_id"), "node_id", "left_semi").select(*E.ATTEMPT_COLUMNS)
+            held = E.complete(self.attempts(), self.folder).join(ranges.select("node_id"), "node_id", "left_semi").select(*E.ATTEMPT_COLUMNS)
             held = E.held(held)
             held = None if held.isEmpty() else held
         todo = ranges if held is None else ranges.join(held.select("node_id"), "node_id", "left_anti")

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from typing import TextIO
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ IGNORE_COLUMNS = ["ObjID", "Principal_desig", "Provisional_packed_desig", "Desig
 WHOLE_BYTES, WHOLE_GZ_BYTES = 16 << 20, 1 << 20
 
 
-def elements(stream: TextIO, block: int = 1 << 20) -> Iterator[object]:
-    """The elements of a JSON array in a text stream, one after another, without holding the array."""
+def elements(stream: TextIO, block: int = 1 << 20) -> Iterator[tuple[object, str]]:
+    """The elements of a JSON array in a text stream with the text of each, one after another, without holding the array."""
     decode, text, at, more = json.JSONDecoder().raw_decode, stream.read(block).lstrip(), 0, True
     if not text.startswith("["):
         raise ValueError("a catalog is a JSON array")
@@ -48,25 +50,26 @@ def elements(stream: TextIO, block: int = 1 << 20) -> Iterator[object]:
             more = bool(extra)
             text, at = text[at:] + extra, 0
             continue
-        yield value
+        yield value, text[at:end]
         at = end
 
 
 def split_catalog(path: str | Path, folder: str | Path, rows: int = 50_000) -> Path:
     """A catalog as JSON lines {"catalog_row": .., "obj": ..} in files of so many objects, so that Spark
-    reads it in parallel. Streams in blocks; numbers keep their spelling."""
+    reads it in parallel. Streams in blocks; objects keep the catalog's own text, so numbers keep their spelling."""
     path, folder = Path(path), Path(folder)
     folder.mkdir(parents=True, exist_ok=True)
     out, n = None, 0
     with gzip.open(path, "rt", encoding="utf-8") if path.suffix == ".gz" else path.open(encoding="utf-8") as stream:
-        for row, value in enumerate(elements(stream)):
+        for row, (value, spelled) in enumerate(elements(stream)):
             if not isinstance(value, dict):
                 continue
             if n % rows == 0:
                 if out:
                     out.close()
                 out = (folder / f"objects-{n // rows:06d}.json").open("w", encoding="utf-8")
-            out.write(json.dumps({"catalog_row": row, "obj": value}) + "\n")
+            own = spelled.replace("\r", " ").replace("\n", " ")  # line breaks only stand between tokens
+            out.write(f'{{"catalog_row": {row}, "obj": {own}}}\n')
             n += 1
     (out or (folder / "objects-000000.json").open("w")).close()
     return folder
@@ -121,27 +124,42 @@ def ignore_ids(spark: SparkSession, path: str | None = None, ids: Iterable[str]
     return found.where("object_id is not null and object_id <> ''").distinct()
 
 
-def columns_of(spark: SparkSession, path: str | Path) -> list[str]:
+def columns_of(path: str | Path) -> list[str]:
     """The columns of an output file; none if it is missing or empty."""
     p = Path(path)
-    if not p.exists() or p.is_file() and not p.stat().st_size:
+    if p.is_dir():  # a folder of Parquet files
+        p = next((f for f in sorted(p.glob("*.parquet")) if f.stat().st_size), p / "none")
+    if not p.exists() or not p.stat().st_size:
         return []
     if p.suffix == ".parquet":
-        return spark.read.parquet(str(p)).columns
+        return pq.read_schema(p).names
     with p.open(encoding="utf-8", newline="") as f:
         return next(csv.reader(f), [])
 
 
+def headers(spark: SparkSession, paths: Iterable[str | Path]) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    """Output files by suffix and columns, in their order; missing and empty ones are left out. Files are opened by
+    tasks, so executors must reach them."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array([columns_of(p) for p in batch.column(0).to_pylist()], pa.list_(pa.string()))], ["path", "names"])
+
+    paths = list(map(str, paths))
+    asked = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string")
+    found = {r["path"]: tuple(r["names"]) for r in asked.repartition(max(1, min(len(paths), 200))).mapInArrow(probe, "path string, names array<string>").collect()} if paths else {}
+    out: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for path in paths:
+        if found[path]:
+            out.setdefault((Path(path).suffix, found[path]), []).append(path)
+    return out
+
+
 def read_outputs(spark: SparkSession, paths: Iterable[str | Path], schema: dict[str, str] | None = None) -> DataFrame | None:
     """Union by name of output files, CSV or Parquet; missing and empty files are skipped, absent columns
     are null. Columns are text unless `schema` names their type, so ids such as 00123 stay as they are."""
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    for path in paths:
-        names = columns_of(spark, path)
-        if names:
-            groups.setdefault((Path(path).suffix, tuple(names)), []).append(str(path))
     out = None
-    for (suffix, names), files in groups.items():
+    for (suffix, names), files in headers(spark, paths).items():
         if suffix == ".parquet":
             df = spark.read.parquet(*files)
         else:

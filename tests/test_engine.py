@@ -1,5 +1,6 @@
 import csv
 import json
+import shutil
 import sqlite3
 import sys
 from pathlib import Path
@@ -16,7 +17,7 @@ from skyledger.operators import ranges as R
 from skyledger.operators import relational as Q
 from skyledger.plans import cli, maintenance
 from skyledger.plans.cycle import Cycle, run_cycle
-from skyledger.plans.job import Options, run_job
+from skyledger.plans.job import Options, Run, run_job
 from skyledger.plans.state import State, snapshot
 from skyledger.sources import catalog as C
 from skyledger.sources.sqlite import read_sqlite, write_sqlite
@@ -296,14 +297,101 @@ def test_tidy(spark, tmp_path):
     assert "missing_chunks=1" in maintenance.tidy(spark, tmp_path)[0]
     run_job(rows, "new", "2024-01-01", options(tmp_path, fake, only_chunks={0, 1}))
     said = maintenance.tidy(spark, tmp_path)
-    assert said[0].startswith("would combine") and not list((tmp_path / "results").glob("*.parquet"))
+    assert said[0].startswith("combine ") and said[0].endswith(": planned") and not list((tmp_path / "results").glob("*.parquet"))
     maintenance.tidy(spark, tmp_path, apply=True)
     assert combined(spark, tmp_path) == ["A", "B", "C"]
     (tmp_path / "results" / "x-simulator.log").write_text("")
-    assert any("moved" in s for s in maintenance.tidy(spark, tmp_path, apply=True))
+    assert any(s.startswith("file ") and s.endswith(": filed") for s in maintenance.tidy(spark, tmp_path, apply=True))
     assert (tmp_path / "results" / "logs" / "x-simulator.log").exists()
 
 
+def test_published_outputs_restore_a_runs_own(spark, tmp_path):
+    run_job(rows_of(spark, "ABC"), "new", "2024-01-01", options(tmp_path, Fake(tmp_path / "calls")))
+    results = tmp_path / "results"
+    own = next(results.rglob("chunk_runs/*/2024-01-01_job_new.parquet"))
+    shutil.rmtree(own)
+    said = maintenance.tidy(spark, tmp_path, apply=True)
+    assert any(s.startswith("restore ") and s.endswith((": linked", ": copied")) for s in said)
+    assert sorted(r["ObjID"] for r in spark.read.parquet(str(own)).collect()) == ["A", "B", "C"]
+    assert sum(s.endswith(": already_visible") for s in maintenance.tidy(spark, tmp_path, apply=True)) == 2
+
+
+def older_run(root, job="new", chunks=2, done=2, ephemeris=True):
+    """A run as earlier versions left it: CSV chunk files with markers, named by the manifest."""
+    run, work = root / "results" / f"2024-05-06_job_{job}_0123456789ab", root / "work" / f"2024-05-06_job_{job}_0123456789ab"
+    run.mkdir(parents=True)
+    work.mkdir(parents=True)
+    listed = []
+    for k in range(chunks):
+        path = work / f"chunk_{k:05d}.csv"
+        listed.append({"index": k, "output_path": str(path.relative_to(root))})
+        if k < done:
+            path.write_text(f"ObjID,x\nobject{k},{k}\n")
+            path.with_suffix(".done").write_text(json.dumps({"output_exists": True, "ew_output_exists": ephemeris}))
+            if ephemeris:
+                path.with_name(f"chunk_{k:05d}_ew.csv").write_text(f"ObjID,y\nobject{k},{k}\n")
+    (run / "manifest.json").write_text(json.dumps({"job_name": job, "chunks": listed}))
+    return run, work
+
+
+def test_older_runs_become_csv(spark, tmp_path):
+    run, work = older_run(tmp_path)
+    maintenance.tidy(spark, tmp_path)
+    assert run.exists() and not list(run.glob("*.csv"))  # nothing is done without being asked for
+    maintenance.tidy(spark, tmp_path, apply=True)
+    filed = tmp_path / "results" / "chunk_runs" / run.name
+    for folder in (tmp_path / "results", filed):
+        assert (folder / "2024-05-06_job_new.csv").read_text() == "ObjID,x\nobject0,0\nobject1,1\n"
+        assert (folder / "2024-05-06_job_new_ew.csv").read_text() == "ObjID,y\nobject0,0\nobject1,1\n"
+    assert (tmp_path / "work" / "chunk_runs" / work.name).exists() and not run.exists()
+
+
+def test_older_runs_with_open_chunks(spark, tmp_path):
+    run, _ = older_run(tmp_path, done=1)
+    said = maintenance.tidy(spark, tmp_path, apply=True, archive=False)
+    assert said == [f"keep {run}: incomplete, missing_chunks=1"]
+    for name in ("2024-05-06_job_new.csv", "2024-05-06_job_new_ew.csv"):
+        (run / name).write_text("ObjID\n")
+    audits = [("", False), ("status,missing_rows\n", False), ("status,missing_rows\nok,many\n", False), ("status,missing_rows\nok,1\n", False), ("status,missing_rows\nmissing,0\n", False), ("status,missing_rows\nok,0\nok,\n", True)]
+    for text, fine in audits:  # a malformed audit is one that didn't pass
+        (run / "output_audit.csv").write_text(text)
+        assert maintenance.audit_ok(run) is fine
+        assert ("missing_chunks" in maintenance.tidy(spark, tmp_path, archive=False)[0]) is not fine
+    maintenance.tidy(spark, tmp_path, apply=True, archive=False)
+    assert (tmp_path / "results" / "2024-05-06_job_new.csv").samefile(run / "2024-05-06_job_new.csv")
+
+
+def test_chunks_without_output_count_as_complete(spark, tmp_path):
+    run, _ = older_run(tmp_path, ephemeris=False)
+    (tmp_path / "results" / "broken").mkdir()
+    (tmp_path / "results" / "broken" / "manifest.json").write_text("{")
+    said = maintenance.tidy(spark, tmp_path, apply=True, archive=False)
+    assert any("broken" in s and s.startswith("keep") for s in said)
+    assert (tmp_path / "results" / "2024-05-06_job_new.csv").exists() and (run / "2024-05-06_job_new_ew.csv").read_text() == ""
+
+
+def test_maintenance_command(spark, tmp_path, capsys):
+    run, _ = older_run(tmp_path)
+    maintenance.main([str(tmp_path)])
+    assert "planned" in capsys.readouterr().out and run.exists()
+    maintenance.main([str(tmp_path), "--apply", "--no-archive"])
+    assert run.exists() and (tmp_path / "results" / "2024-05-06_job_new.csv").exists()
+
+
+def test_runs_resume_from_older_markers(spark, tmp_path):
+    fake, rows = Fake(tmp_path / "calls"), rows_of(spark, "ABC")
+    own = options(tmp_path, fake)
+    run = Run(rows, "new", "2024-01-01", own)
+    first = run.plan.orderBy("chunk").first()
+    out = run.folder / "old" / f"{first['node_id']}.csv"
+    out.parent.mkdir(parents=True)
+    out.write_text("ObjID,fieldMJD_TAI\nA,1.0\nB,2.0\n")
+    marker = {"chunk": 0, "row_start": 0, "row_end": 2, "output_path": str(out), "output_exists": True, "ew_output_exists": False}
+    out.with_suffix(".done").write_text(json.dumps(marker))
+    assert run_job(rows, "new", "2024-01-01", own) is True
+    assert fake.calls() == 1 and combined(spark, tmp_path) == ["A", "B", "C"]
+
+
 def test_cli(tmp_path, capsys):
     assert cli.main([]) == 2
     assert cli.main(["--download_orbits"], fetch=lambda *a: tmp_path / "c.json") == 0
@@ -339,7 +427,8 @@ def test_large_catalogs_are_split(spark, tmp_path, monkeypatch):
     objects[5] = 7
     with gzip.open(tmp_path / "c.json.gz", "wt") as f:
         json.dump(objects, f)
-    assert list(C.elements(io.StringIO(json.dumps([1, 23, "a]", {"b": [2]}, None])), block=3)) == [1, 23, "a]", {"b": [2]}, None]
+    values = [1, 23, "a]", {"b": [2]}, None]
+    assert list(C.elements(io.StringIO(json.dumps(values)), block=3)) == [(v, json.dumps(v)) for v in values]
     whole = C.read_catalog(spark, str(tmp_path / "c.json.gz"))
     monkeypatch.setattr(C, "WHOLE_GZ_BYTES", 10)
     monkeypatch.setattr(C, "split_catalog", lambda path, folder, f=C.split_catalog: f(path, folder, 100))
@@ -358,3 +447,55 @@ def test_old_markers(spark, tmp_path):
     assert (a["status"], a["simulator_seconds"], a["parent_chunk"], a["output_exists"], a["resumed"]) == ("done", 2.5, 1, True, True)
     assert (b["status"], b["completed_at"], b["timed_out"], b["debug_level"]) == ("failed", "u", True, None)
     assert (c["status"], c["error"]) == ("failed", "")
+
+
+def test_numbers_keep_their_spelling_on_both_paths(spark, tmp_path, monkeypatch):
+    from skyledger.operators import relational as Q
+
+    text = '[{"Principal_desig": "A",\n "e": 0.12345678901234567890, "i": 1.50},\r\n {"Principal_desig": "B", "e": 1e-7, "Node": 12345678901234567890123}]'
+    (tmp_path / "c.json").write_text(text)
+    rows = lambda df: [(r["catalog_row"], r["element_hash"], r["j"]) for r in Q.identified(df).select("catalog_row", "element_hash", F.to_json("obj").alias("j")).orderBy("catalog_row").collect()]
+    whole = rows(C.read_catalog(spark, str(tmp_path / "c.json")))
+    monkeypatch.setattr(C, "WHOLE_BYTES", 10)
+    assert rows(C.read_catalog(spark, str(tmp_path / "c.json"), tmp_path / "work")) == whole
+
+
+def test_numbering_with_one_frequent_key(spark, monkeypatch):
+    monkeypatch.setattr(R, "SORT_ROWS", 40)
+    monkeypatch.setattr(R, "SPLITS", 5)  # two steps
+    rows = spark.range(900).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("k"), (F.col("id") * 37 % 900).alias("n"))
+    points = R._points(rows, ("k", "n"), 900, 22)
+    assert len(points) > 15 and sum(p[0] == "hot" for p in points) > 10  # the frequent key itself is divided
+    got = R.number_rows(rows, "k", "n").orderBy("input_row").collect()
+    want = sorted(((r["k"], r["n"]) for r in rows.collect()), key=lambda x: (x[0] is not None, x[0] or "", x[1]))
+    assert [(r["k"], r["n"]) for r in got] == want and [r["input_row"] for r in got] == [*range(900)]
+
+
+def test_ranges_are_dealt_in_turn(spark, tmp_path):
+    fake = Fake(tmp_path / "calls")
+    todo = R.plan(spark, 12, 2)
+    attempts = E.run_ranges(rows_of(spark, "ABCDEFGHIJKL"), todo, tmp_path / "run", fake, ["ObjID", "a"], ["ObjID", "H_r"], workers=3)
+    per_task = attempts.select(F.spark_partition_id().alias("p"), "chunk").collect()
+    dealt = {}
+    for r in per_task:
+        dealt.setdefault(r["p"], []).append(r["chunk"])
+    assert sorted(map(len, dealt.values())) == [2, 2, 2] and all(b - a == 3 for a, b in map(sorted, dealt.values()))
+
+
+def test_windowed_counts_of_a_stream(spark, tmp_path):
+    from skyledger.streaming.pointings import windowed_counts
+
+    schema = "ts timestamp, kind string"
+    times = ["2024-01-01 00:01:00", "2024-01-01 00:04:00", "2024-01-01 00:07:00", "2024-01-01 02:00:00"]
+    spark.createDataFrame([(t, "a") for t in times], "ts string, kind string").select(F.col("ts").cast("timestamp"), "kind").coalesce(1).write.parquet(str(tmp_path / "in"))
+    late = spark.createDataFrame([("2024-01-01 00:02:00", "a")], "ts string, kind string").select(F.col("ts").cast("timestamp"), "kind")
+
+    def run():
+        stream = windowed_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "ts", "5 minutes", "10 minutes", "kind")
+        stream.writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    late.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))  # two hours late: left out
+    run()
+    got = spark.read.parquet(str(tmp_path / "out")).select(F.date_format("window.start", "HH:mm").alias("t"), "kind", "n").collect()
+    assert sorted(map(tuple, got)) == [("00:00", "a", 2), ("00:05", "a", 1)]

@@ -67,14 +67,14 @@ def test_baseline_takes_the_last(spark):
 
 
 def test_ignore_lists(spark, tmp_path):
-    (tmp_path / "i.txt").write_text("B\n# comment\nC,D # x\n\n")
-    (tmp_path / "i.csv").write_text("x,ObjID\n1, B \n2,\n3,C\n")
+    (tmp_path / "leave.txt").write_text("# satellites first\nK07Tf8X , 2007 TX8\n\nJ99R36Q# lost, never seen again\n , \n2007 TX8\n")
+    (tmp_path / "leave.csv").write_text("why,Principal_desig,ObjID\nlost,1999 RQ36,  J99R36Q \ntwice,1999 RQ36,J99R36Q\nempty,x,\n")
     ids = lambda *a: {r[0] for r in C.ignore_ids(spark, *a).collect()}
-    assert ids(str(tmp_path / "i.txt"), ["E", " "]) == {"B", "C", "D", "E"}
-    assert ids(str(tmp_path / "i.csv")) == {"B", "C"}
-    rows = spark.createDataFrame([("A",), ("B",), ("E",), (None,)], "object_id string")
-    left = Q.drop_ignored(rows, C.ignore_ids(spark, str(tmp_path / "i.txt"), ["E"]))
-    assert {r[0] for r in left.collect()} == {"A", None}
+    assert ids(str(tmp_path / "leave.txt"), ["Bennu", "", "\t"]) == {"K07Tf8X", "2007 TX8", "J99R36Q", "Bennu"}
+    assert ids(str(tmp_path / "leave.csv")) == {"J99R36Q"}  # the id column that comes first in order, not in the file
+    rows = spark.createDataFrame([("Ceres",), ("2007 TX8",), ("Bennu",), (None,)], "object_id string")
+    left = Q.drop_ignored(rows, C.ignore_ids(spark, str(tmp_path / "leave.txt"), ["Bennu"]))
+    assert {r[0] for r in left.collect()} == {"Ceres", None}
 
 
 def test_dates(spark):
@@ -111,11 +111,20 @@ def test_path_fingerprint(tmp_path):
 def test_download(tmp_path):
     import gzip
 
-    got = C.download_catalog("2024-01-01", tmp_path, fetch=lambda url: gzip.compress(b'{"orbit": "data"}\n'))
-    assert got.read_text() == '{"orbit": "data"}\n'
+    catalog = json.dumps([{"Principal_desig": "2007 TX8", "a": 2.25}])
+    asked = []
 
-    def refuse(url):
-        raise RuntimeError("404")
+    def served(url):
+        asked.append(url)
+        return gzip.compress(catalog.encode())
 
-    with pytest.raises(RuntimeError):
-        C.download_catalog("2024-01-01", tmp_path, fetch=refuse)
+    for comets in (False, True):
+        at = C.download_catalog("2031-12-05", tmp_path / "new", comets, fetch=served)
+        assert json.loads(at.read_text()) == json.loads(catalog) and at.name.startswith("2031-12-05")
+    assert asked == [C.ASTEROID_URL, C.COMET_URL]
+
+    def broken(url):
+        raise OSError("connection reset")
+
+    with pytest.raises(OSError, match="reset"):
+        C.download_catalog("2031-12-05", tmp_path, fetch=broken)
