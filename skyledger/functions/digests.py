@@ -8,8 +8,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .values import hash_of  # noqa: F401  (part of this module's interface)
-
 LEAF_ROWS = 10_000
 
 

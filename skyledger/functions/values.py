@@ -63,11 +63,6 @@ def truthy_text(v: Column) -> Column:
     return F.when(is_text(v), F.nullif(t, F.lit(""))).when(~F.coalesce(t.try_cast("double") == 0, F.lit(False)) & (t != "false"), t)
 
 
-def first_id(*columns: str | Column) -> Column:
-    """The first of several text columns that is neither null nor empty."""
-    return F.coalesce(*(F.nullif(F.col(c) if isinstance(c, str) else c, F.lit("")) for c in columns))
-
-
 def object_id(obj: str | Column = "obj") -> Column:
     return F.coalesce(*(truthy_text(field(obj, name)) for name in ID_FIELDS))
 
@@ -91,11 +86,6 @@ def mjd_of_jd(jd: Column) -> Column:
     return jd - F.lit(MJD_ZERO_JD)
 
 
-def mjd_of_day(date: Column) -> Column:
-    """Whole days of a date or timestamp."""
-    return (F.unix_date(date.cast("date")) + UNIX_EPOCH_MJD).cast("bigint")
-
-
 def mjd_of_calendar(year: Column, month: Column, day: Column) -> Column:
     """Whole-day MJD of a proleptic Gregorian date; the fraction of the day is dropped. Null where it isn't a date."""
     text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
@@ -105,8 +95,3 @@ def mjd_of_calendar(year: Column, month: Column, day: Column) -> Column:
 
 def mjd_of_calendar_fraction(year: Column, month: Column, day: Column) -> Column:
     return mjd_of_calendar(year, month, day) + (day - day.cast("int"))
-
-
-def mjd_of_timestamp(ts: Column) -> Column:
-    """MJD with its fraction, of a timestamp without zone or in UTC."""
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(86_400_000_000.0) + F.lit(float(UNIX_EPOCH_MJD))

@@ -75,11 +75,6 @@ def totals(source: DataFrame, combined: DataFrame, keys: list[str]) -> DataFrame
     )
 
 
-def first_by(df: DataFrame, key: str, value: str) -> DataFrame:
-    """For each key its least value; null keys are left out."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
-
-
 def catalog_lookup(rows: DataFrame, row: str = "catalog_row") -> DataFrame:
     """object_id and catalog_row, by any id column: the first column in order decides, then the first row."""
     columns = [c for c in ID_COLUMNS if c in rows.columns]

@@ -7,7 +7,7 @@ import shutil
 from collections.abc import Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.sources import catalog as C
@@ -34,14 +34,20 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def in_time_order(df: DataFrame) -> DataFrame:
-    """Sorted by time, nulls and nan last, ties by object id; unsorted without a time column."""
+def time_order(df: DataFrame) -> list[Column]:
+    """What df is sorted by: time, nulls and nan last, then object id; nothing without a time column."""
     if SORT_COLUMN not in df.columns:
-        return df
+        return []
     key = F.col(f"`{SORT_COLUMN}`")
     missing = key.isNull() | (F.isnan(key) if dict(df.dtypes)[SORT_COLUMN] in ("double", "float") else F.lit(False))
     own = first_present(df.columns, ID_COLUMNS)
-    return df.orderBy(missing, key, *([F.col(f"`{own}`").asc_nulls_last()] if own else []))
+    return [missing, key, *([F.col(f"`{own}`").isNull(), F.col(f"`{own}`")] if own else [])]
+
+
+def in_time_order(df: DataFrame) -> DataFrame:
+    """Sorted by time, nulls and nan last, ties by object id; unsorted without a time column."""
+    order = time_order(df)
+    return df.orderBy(*order) if order else df
 
 
 def combine(spark: SparkSession, paths: Iterable[str | Path], output: str | Path, one_file: bool = False) -> DataFrame | None:

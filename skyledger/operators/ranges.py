@@ -15,17 +15,19 @@ SPLITS, SAMPLES = 200, 16
 
 
 def _points(df: DataFrame, keys: tuple[str, ...], rows: int, parts: int) -> list[tuple]:
-    """Keys that divide the rows into parts of about one size, in ascending order, from a share of the rows by hash."""
+    """Keys (columns of df) that divide the rows into parts of about one size, in ascending order, from a share of the rows by hash."""
     share = max(1, rows // (parts * SAMPLES))
     sample = [tuple(r) for r in df.select(*keys).where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).orderBy(*keys).collect()]
     return list(dict.fromkeys(sample[len(sample) * k // parts] for k in range(1, parts))) if sample else []
 
 
-def number_rows(df: DataFrame, *keys: str, out: str = "input_row") -> DataFrame:
-    """df with 0-based row numbers in the order of keys (which identify a row). Large frames are dealt by
+def number_rows(df: DataFrame, *order: str | Column, out: str = "input_row") -> DataFrame:
+    """df with 0-based row numbers in the order of columns or expressions (which identify a row). Large frames are dealt by
     split points of all keys, found in two steps of at most SPLITS comparisons; each part is numbered by itself, from
     the count of the parts before it, so that no task sorts everything, however frequent one value of a key is.
     Results don't depend on how rows are partitioned."""
+    keys = tuple(f"__key{k}" for k in range(len(order)))
+    df = df.withColumns({k: F.col(x) if isinstance(x, str) else x for k, x in zip(keys, order, strict=True)})
     n = df.count()
     parts = -(-n // SORT_ROWS) or 1
     points = _points(df, keys, n, min(parts, SPLITS * SPLITS)) if parts > 1 else []
@@ -41,7 +43,7 @@ def number_rows(df: DataFrame, *keys: str, out: str = "input_row") -> DataFrame:
     counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = F.row_number().over(Window.partitionBy("__part").orderBy(*keys)).cast("bigint") - 1
-    return dealt.withColumn("__own", own).join(F.broadcast(before), "__part").withColumn(out, F.col("__own") + F.col("__before")).drop("__part", "__own", "__before")
+    return dealt.withColumn("__own", own).join(F.broadcast(before), "__part").withColumn(out, F.col("__own") + F.col("__before")).drop("__part", "__own", "__before", *keys)
 
 
 def chunk_of(row: str | Column, size: int) -> Column:
@@ -62,11 +64,6 @@ def plan(spark: SparkSession, rows: int, size: int) -> DataFrame:
     return at.select("chunk", F.col("chunk").alias("parent_chunk"), stem(F.col("chunk"), F.col("row_start"), F.col("row_end")).alias("node_id"), F.lit("").alias("parent_node_id"), F.lit(None).cast("int").alias("debug_level"), "row_start", "row_end", F.lit(size).cast("bigint").alias("chunk_size"))
 
 
-def manifest(numbered: DataFrame, size: int, row: str = "input_row") -> DataFrame:
-    """chunk, row_start, row_end, row_count of the chunks that numbered rows fall in."""
-    return numbered.groupBy(chunk_of(row, size).alias("chunk")).agg(F.min(row).cast("bigint").alias("row_start"), (F.max(row) + 1).cast("bigint").alias("row_end"), F.count("*").alias("row_count"))
-
-
 def parse_selection(spec: str | None) -> set[int] | None:
     """The numbers of a list such as 1,3-5,8; None for none."""
     if spec is None:

@@ -26,11 +26,6 @@ def write_csv(df: DataFrame, path: str | Path) -> Path:
     return path
 
 
-def timing_by(df: DataFrame, keys: list[str], status: Column, seconds: Column) -> DataFrame:
-    """Counts by outcome, and mean, exact median and largest time, by keys; null keys are groups."""
-    return df.groupBy(*keys).agg(F.count("*").alias("total_ranges"), F.count_if(status == "done").alias("completed"), F.count_if(status == "failed").alias("failed"), F.avg(seconds).alias("mean_seconds"), F.median(seconds).alias("median_seconds"), F.max(seconds).alias("max_seconds"), F.sum(seconds).alias("total_seconds"))
-
-
 def timing_summary(attempts: DataFrame, wall_seconds: float = 0.0) -> DataFrame:
     """By debug level and row count: ranges, outcomes, simulator and total times."""
     s = F.col("simulator_seconds")

@@ -4,29 +4,35 @@ ORACLES = {
     "q01_pointings_since_watermark": r"""SELECT event_id, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-21 00:00:00'""",
     "q02_pointings_extent": r"""SELECT CAST(COALESCE(MAX(event_id),0) AS BIGINT) AS max_id, COUNT(*) AS n_rows FROM events""",
     "q03_canonical_id": r"""SELECT doc_id, COALESCE(NULLIF(source,''), NULLIF(lang,''), CAST(doc_id AS VARCHAR)) AS object_id FROM documents""",
-    "q04_element_hash": r"""SELECT o_orderkey, md5(concat_ws('|', COALESCE(CAST(o_custkey AS VARCHAR),''), COALESCE(o_orderstatus,''), COALESCE(CAST(CAST(ROUND(o_totalprice*100) AS BIGINT) AS VARCHAR),''))) AS element_hash FROM orders""",
-    "q05_keep_filter": r"""SELECT p_partkey, p_brand FROM part WHERE COALESCE(p_retailprice > 1080, FALSE) OR COALESCE(p_size <= 6, FALSE) OR COALESCE(TRY_CAST(NULLIF(regexp_extract(p_brand,'[0-9]+(?:\.[0-9]+)?',0),'') AS DOUBLE) >= 20, FALSE)""",
+    "q04_element_hash": r"""SELECT o_orderkey, md5(concat_ws('|', COALESCE(CAST(o_custkey AS VARCHAR),'None'), COALESCE(o_orderstatus,'None'), COALESCE(CAST(CAST(ROUND(o_totalprice*100) AS BIGINT) AS VARCHAR),'None'))) AS element_hash FROM orders""",
+    "q05_keep_filter": r"""SELECT p_partkey, p_brand FROM part WHERE COALESCE(p_retailprice / 36 > 30, FALSE) OR COALESCE(p_size <= 6, FALSE) OR COALESCE(TRY_CAST(NULLIF(regexp_extract(p_brand,'[0-9]+(?:\.[0-9]+)?',0),'') AS DOUBLE) >= 3, FALSE)""",
     "q06_ignore_anti": r"""SELECT c.c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = c.c_custkey)""",
-    "q07_diff_status": r"""WITH cur AS (SELECT o_orderkey AS id, md5(concat_ws('|', CAST(o_custkey AS VARCHAR), o_orderstatus)) AS h FROM orders), base AS (SELECT id, CASE WHEN id % 7 = 0 THEN 'stale' ELSE h END AS h FROM cur WHERE id % 10 <> 0) SELECT CASE WHEN b.id IS NULL THEN 'new' WHEN b.h <> c.h THEN 'updated' ELSE 'unchanged' END AS status, COUNT(*) AS n FROM cur c LEFT JOIN base b ON b.id = c.id GROUP BY 1""",
+    "q07_diff_status": r"""WITH cur AS (SELECT o_orderkey AS id, md5(concat_ws('|', COALESCE(CAST(o_custkey AS VARCHAR),'None'), COALESCE(o_orderstatus,'None'))) AS h FROM orders), base AS (SELECT id, CASE WHEN id % 7 = 0 THEN 'stale' ELSE h END AS h FROM cur WHERE id % 10 <> 0) SELECT CASE WHEN b.id IS NULL THEN 'new' WHEN b.h <> c.h THEN 'updated' ELSE 'unchanged' END AS status, COUNT(*) AS n FROM cur c LEFT JOIN base b ON b.id = c.id GROUP BY 1""",
     "q08_work_routing": r"""WITH obj AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'new' WHEN c_custkey % 7 = 0 THEN 'updated' ELSE 'unchanged' END AS status FROM customer), pt AS (SELECT event_id, user_id, ts FROM events) SELECT o.status AS job, COUNT(*) AS n_pairs, COUNT(DISTINCT o.id) AS n_objects FROM obj o JOIN pt p ON p.user_id = o.id AND (o.status IN ('new','updated') OR p.ts > TIMESTAMP '2024-01-21 00:00:00') GROUP BY 1""",
-    "q09_orbit_projection": r"""SELECT s_name AS "ObjID", ROUND(s_acctbal + 2461000.5 - 2400000.5, 4) AS "epochMJD_TDB", 'KEP' AS "FORMAT", CAST(0.5 AS DOUBLE) AS "g-r" FROM supplier""",
+    "q09_orbit_projection": r"""SELECT s_name AS "ObjID", ROUND(s_acctbal + 2461000.5 - 2400000.5, 4) AS "epochMJD_TDB", 'KEP' AS "FORMAT", CAST(s_nationkey AS DOUBLE) AS "H_r", CAST(0.5 AS DOUBLE) AS "g-r" FROM supplier""",
     "q10_calendar_mjd": r"""SELECT o_orderkey, CAST(date_diff('day', DATE '1858-11-17', o_orderdate) AS BIGINT) AS epoch_mjd FROM orders""",
-    "q11_fractional_mjd": r"""SELECT event_id, ROUND(CAST(epoch_us(ts) AS DOUBLE)/86400000000.0 + 40587.0, 6) AS mjd FROM events""",
+    "q11_fractional_mjd": r"""WITH e AS (SELECT event_id, CAST(date_diff('day', DATE '1858-11-17', CAST(ts AS DATE)) AS DOUBLE) AS whole, CAST(day(ts) AS DOUBLE) + CAST(epoch_us(ts) % 86400000000 AS DOUBLE) / CAST(86400000000.0 AS DOUBLE) AS d FROM events) SELECT event_id, whole + (d - floor(d)) AS mjd FROM e""",
     "q12_chunk_assignment": r"""SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS input_row, CAST((ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1) // 5000 AS BIGINT) AS chunk FROM orders""",
-    "q13_chunk_manifest": r"""WITH r AS (SELECT ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT CAST(i // 4000 AS BIGINT) AS chunk, CAST(MIN(i) AS BIGINT) AS row_start, CAST(MAX(i)+1 AS BIGINT) AS row_end, COUNT(*) AS row_count FROM r GROUP BY 1""",
+    "q13_chunk_manifest": r"""WITH r AS (SELECT UNNEST(range(0, (SELECT COUNT(*) FROM orders), 4000)) AS lo), c AS (SELECT lo // 4000 AS chunk, lo, LEAST(lo + 4000, (SELECT COUNT(*) FROM orders)) AS hi FROM r) SELECT CAST(chunk AS BIGINT) AS chunk, printf('chunk_%05d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(lo AS BIGINT), CAST(hi - 1 AS BIGINT)) AS node_id, CAST(lo AS BIGINT) AS row_start, CAST(hi AS BIGINT) AS row_end, CAST(hi - lo AS BIGINT) AS row_count FROM c""",
     "q14_selected_chunks": r"""WITH r AS (SELECT o_orderkey, CAST((ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1) // 1000 AS BIGINT) AS chunk FROM orders) SELECT o_orderkey, chunk FROM r WHERE chunk IN (1,3,4,5,8)""",
     "q15_failed_range_rows": r"""WITH r AS (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT i // 1000 AS chunk, MIN(i) AS lo, MAX(i)+1 AS hi, MAX(CASE WHEN o_orderkey % 4999 = 17 THEN 1 ELSE 0 END) AS bad FROM r GROUP BY 1) SELECT CAST(c.chunk AS BIGINT) AS chunk, CAST(c.lo AS BIGINT) AS chunk_row_start, CAST(c.hi AS BIGINT) AS chunk_row_end, r.o_orderkey FROM c JOIN r ON r.i >= c.lo AND r.i < c.hi WHERE c.bad = 1""",
-    "q16_debug_subchunks": r"""WITH c AS (SELECT UNNEST([0,1000,2000]) AS lo) SELECT CAST(lo AS BIGINT) AS parent_start, CAST(s AS BIGINT) AS row_start, CAST(LEAST(s+300, lo+1000) AS BIGINT) AS row_end FROM (SELECT lo, UNNEST(range(lo, lo+1000, 300)) AS s FROM c)""",
+    "q16_debug_subchunks": r"""WITH n AS (SELECT COUNT(*) AS n FROM orders), p AS (SELECT lo, LEAST(lo + 1000, n) AS hi FROM (SELECT UNNEST(range(0, n, 1000)) AS lo, n FROM n)), d AS (SELECT lo, hi, UNNEST(range(lo, hi, 300)) AS s FROM p) SELECT printf('chunk_%05d_debug_%04d_rows_%07d_%07d', CAST(lo // 1000 AS BIGINT), CAST((s - lo) // 300 AS BIGINT), CAST(s AS BIGINT), CAST(LEAST(s + 300, hi) - 1 AS BIGINT)) AS node_id, printf('chunk_%05d_rows_%07d_%07d', CAST(lo // 1000 AS BIGINT), CAST(lo AS BIGINT), CAST(hi - 1 AS BIGINT)) AS parent, CAST(lo AS BIGINT) AS parent_start, CAST(s AS BIGINT) AS row_start, CAST(LEAST(s + 300, hi) AS BIGINT) AS row_end FROM d""",
     "q17_isolated_rows": r"""SELECT o_orderkey AS failing_id, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS ordinal FROM orders WHERE o_orderkey % 4999 = 17""",
     "q18_leaf_anti_join": r"""WITH n AS (SELECT p_partkey AS node, CASE WHEN p_partkey = 0 THEN NULL ELSE (p_partkey - 1) // 2 END AS parent FROM part) SELECT CAST(a.node AS BIGINT) AS leaf FROM n a WHERE NOT EXISTS (SELECT 1 FROM n b WHERE b.parent = a.node)""",
-    "q19_combine_union_by_name": r"""SELECT o_orderkey AS k, o_custkey AS cust, CAST(NULL AS BIGINT) AS supp FROM orders WHERE o_orderkey < 100 UNION ALL SELECT l_orderkey, CAST(NULL AS BIGINT), l_suppkey FROM lineitem WHERE l_orderkey < 100""",
+    "q19_combine_union_by_name": r"""SELECT o_orderkey AS k, o_custkey AS cust, CAST(NULL AS BIGINT) AS supp FROM orders UNION ALL SELECT l_orderkey, CAST(NULL AS BIGINT), l_suppkey FROM lineitem""",
     "q20_key_counts": r"""SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count FROM lineitem GROUP BY 1,2""",
     "q21_audit_missing_pairs": r"""WITH s AS (SELECT l_orderkey k, l_linenumber t, COUNT(*) n FROM lineitem GROUP BY 1,2), c AS (SELECT l_orderkey k, l_linenumber t, COUNT(*) n FROM lineitem WHERE NOT (l_suppkey % 13 = 0) GROUP BY 1,2) SELECT s.k AS object_id, s.t AS line, s.n AS source_count, COALESCE(c.n,0) AS combined_count, s.n - COALESCE(c.n,0) AS missing_count FROM s LEFT JOIN c ON s.k IS NOT DISTINCT FROM c.k AND s.t IS NOT DISTINCT FROM c.t WHERE s.n > COALESCE(c.n,0)""",
     "q22_audit_summary": r"""WITH m AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem GROUP BY 1), c AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem WHERE l_suppkey % 13 <> 0 GROUP BY 1) SELECT 'detections' AS output_name, CAST(SUM(m.n) AS BIGINT) AS source_rows, CAST(SUM(COALESCE(c.n,0)) AS BIGINT) AS combined_rows, COUNT(*) AS source_pairs, COUNT(c.k) AS combined_pairs, CAST(SUM(GREATEST(m.n-COALESCE(c.n,0),0)) AS BIGINT) AS missing_rows FROM m LEFT JOIN c ON m.k = c.k""",
-    "q23_lookup_first": r"""SELECT o_custkey AS object_id, CAST(MIN(o_orderkey) AS BIGINT) AS catalog_row FROM orders GROUP BY 1""",
-    "q24_timing_summary": r"""SELECT event_type, COUNT(*) AS total_ranges, COUNT(*) FILTER (WHERE value < 50) AS completed, COUNT(*) FILTER (WHERE value >= 50) AS failed, ROUND(AVG(value),6) AS mean_seconds, ROUND(MEDIAN(value),6) AS median_seconds, MAX(value) AS max_seconds, ROUND(SUM(value),4) AS total_seconds FROM events GROUP BY 1""",
+    "q23_lookup_first": r"""WITH i AS (SELECT CASE WHEN o_custkey % 3 > 0 THEN CAST(o_custkey AS VARCHAR) END AS object_id, 0 AS rank, o_orderkey AS catalog_row FROM orders UNION ALL SELECT CAST(o_orderkey % 2000 AS VARCHAR), 1, o_orderkey FROM orders) SELECT object_id, catalog_row FROM i WHERE object_id IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY object_id ORDER BY rank, catalog_row) = 1""",
+    "q24_timing_summary": r"""SELECT CAST(NULLIF(event_id % 4, 0) AS INTEGER) AS debug_level, user_id % 5 AS row_count, COUNT(*) AS total_ranges, COUNT(*) FILTER (WHERE value < 50) AS completed, COUNT(*) FILTER (WHERE NOT (value < 50)) AS failed, COUNT(*) FILTER (WHERE event_id % 2 = 0) AS resumed, ROUND(AVG(value),4) AS mean_simulator_seconds, ROUND(MEDIAN(value),4) AS median_simulator_seconds, ROUND(MAX(value),4) AS max_simulator_seconds, ROUND(SUM(value + 1),4) AS total_duration_seconds, ROUND(SUM(CAST(0.25 AS DOUBLE)),4) AS total_input_write_seconds, CAST(0 AS DOUBLE) AS wall_time_seconds FROM events GROUP BY 1, 2""",
     "q25_json_field": r"""SELECT event_id, TRY_CAST(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events""",
-    "q26_baseline_last_wins": r"""SELECT o_custkey AS object_id, CAST(MAX(o_orderkey) AS BIGINT) AS last_row FROM orders GROUP BY 1""",
+    "q26_baseline_last_wins": r"""SELECT o_custkey AS object_id, arg_max(o_orderpriority, o_orderkey) AS element_hash FROM orders GROUP BY 1""",
     "q27_semi_select": r"""SELECT n.n_nationkey, n.n_name FROM nation n WHERE EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey = n.n_nationkey)""",
-    "q28_missing_dates_drop": r"""SELECT c.c_custkey FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P' WHERE o.o_orderdate IS NOT NULL GROUP BY 1""",
+    "q28_missing_dates_drop": r"""SELECT CAST(o_orderkey AS VARCHAR) AS "ObjID", CAST(date_diff('day', DATE '1858-11-17', CAST(o_orderdate AS DATE)) AS DOUBLE) AS "epochMJD_TDB", CAST(date_diff('day', DATE '1858-11-17', CAST(o_orderdate AS DATE)) AS DOUBLE) + CAST(o_orderkey % 8 AS DOUBLE) / 8 AS "t_p_MJD_TDB", CAST(o_custkey AS DOUBLE) AS e, 'COM' AS "FORMAT" FROM orders WHERE o_orderstatus = 'P'""",
+    "q29_group_failures": r"""WITH n AS (SELECT p_partkey AS k, CASE WHEN p_partkey > 0 THEN (p_partkey - 1) // 2 END AS parent, p_partkey % 3 = 0 AS failed FROM part), c AS (SELECT parent, bool_and(NOT failed) AS passed FROM n WHERE parent IS NOT NULL GROUP BY 1) SELECT CAST(n.k AS VARCHAR) AS node_id FROM n JOIN c ON c.parent = n.k WHERE n.failed AND c.passed""",
+    "q30_salvage": r"""WITH r AS (SELECT o_orderkey % 4999 = 17 AS bad, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT i // 1000 AS chunk, MIN(i) AS lo, MAX(i) + 1 AS hi, bool_or(bad) AS failed FROM r GROUP BY 1), d AS (SELECT c.chunk, (r.i - c.lo) // 250 AS k, MIN(r.i) AS lo, MAX(r.i) + 1 AS hi, bool_or(r.bad) AS failed FROM c JOIN r ON r.i // 1000 = c.chunk WHERE c.failed GROUP BY 1, 2) SELECT CAST(lo AS BIGINT) AS row_start, CAST(hi AS BIGINT) AS row_end, CAST(NULL AS INTEGER) AS debug_level, 'done' AS status FROM c WHERE NOT failed UNION ALL SELECT CAST(lo AS BIGINT), CAST(hi AS BIGINT), CAST(1 AS INTEGER), 'done' FROM d WHERE NOT failed""",
+    "q31_time_order": r"""WITH e AS (SELECT CASE WHEN event_id % 10 > 0 THEN value END AS t, CAST(event_id AS VARCHAR) AS id FROM events) SELECT t AS "fieldMJD_TAI", id AS "ObjID", CAST(ROW_NUMBER() OVER (ORDER BY t IS NULL, t, id) - 1 AS BIGINT) AS place FROM e""",
+    "q32_halves": r"""WITH n AS (SELECT COUNT(*) AS n FROM lineitem), p AS (SELECT lo // 777 AS chunk, lo, LEAST(lo + 777, n) AS hi FROM (SELECT UNNEST(range(0, n, 777)) AS lo, n FROM n)), h AS (SELECT chunk, lo AS plo, hi AS phi, lo AS a, lo + (hi - lo) // 2 AS b FROM p WHERE hi - lo > 1 UNION ALL SELECT chunk, lo, hi, lo + (hi - lo) // 2, hi FROM p WHERE hi - lo > 1) SELECT printf('chunk_%05d_isolate_%02d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(2 AS BIGINT), CAST(a AS BIGINT), CAST(b - 1 AS BIGINT)) AS node_id, printf('chunk_%05d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(plo AS BIGINT), CAST(phi - 1 AS BIGINT)) AS parent_node_id, CAST(a AS BIGINT) AS row_start, CAST(b AS BIGINT) AS row_end FROM h""",
+    "q33_removed": r"""SELECT CAST(o_custkey AS VARCHAR) AS object_id FROM (SELECT DISTINCT o_custkey FROM orders) o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey) UNION ALL SELECT CAST(n_nationkey AS VARCHAR) FROM nation n WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey = n.n_nationkey)""",
+    "q34_audit_surplus": r"""WITH m AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem GROUP BY 1), c AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem WHERE l_suppkey % 13 <> 0 GROUP BY 1) SELECT m.k AS object_id, m.n AS source_count, COALESCE(c.n, 0) AS combined_count, m.n - COALESCE(c.n, 0) AS missing_count FROM m LEFT JOIN c ON c.k = m.k WHERE m.n > COALESCE(c.n, 0)""",
 }
