@@ -33,6 +33,6 @@ ORACLES = {
     "q30_salvage": r"""WITH r AS (SELECT o_orderkey % 4999 = 17 AS bad, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT i // 1000 AS chunk, MIN(i) AS lo, MAX(i) + 1 AS hi, bool_or(bad) AS failed FROM r GROUP BY 1), d AS (SELECT c.chunk, (r.i - c.lo) // 250 AS k, MIN(r.i) AS lo, MAX(r.i) + 1 AS hi, bool_or(r.bad) AS failed FROM c JOIN r ON r.i // 1000 = c.chunk WHERE c.failed GROUP BY 1, 2) SELECT CAST(lo AS BIGINT) AS row_start, CAST(hi AS BIGINT) AS row_end, CAST(NULL AS INTEGER) AS debug_level, 'done' AS status FROM c WHERE NOT failed UNION ALL SELECT CAST(lo AS BIGINT), CAST(hi AS BIGINT), CAST(1 AS INTEGER), 'done' FROM d WHERE NOT failed""",
     "q31_time_order": r"""WITH e AS (SELECT CASE WHEN event_id % 10 > 0 THEN value END AS t, CAST(event_id AS VARCHAR) AS id FROM events) SELECT t AS "fieldMJD_TAI", id AS "ObjID", CAST(ROW_NUMBER() OVER (ORDER BY t IS NULL, t, id) - 1 AS BIGINT) AS place FROM e""",
     "q32_halves": r"""WITH n AS (SELECT COUNT(*) AS n FROM lineitem), p AS (SELECT lo // 777 AS chunk, lo, LEAST(lo + 777, n) AS hi FROM (SELECT UNNEST(range(0, n, 777)) AS lo, n FROM n)), h AS (SELECT chunk, lo AS plo, hi AS phi, lo AS a, lo + (hi - lo) // 2 AS b FROM p WHERE hi - lo > 1 UNION ALL SELECT chunk, lo, hi, lo + (hi - lo) // 2, hi FROM p WHERE hi - lo > 1) SELECT printf('chunk_%05d_isolate_%02d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(2 AS BIGINT), CAST(a AS BIGINT), CAST(b - 1 AS BIGINT)) AS node_id, printf('chunk_%05d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(plo AS BIGINT), CAST(phi - 1 AS BIGINT)) AS parent_node_id, CAST(a AS BIGINT) AS row_start, CAST(b AS BIGINT) AS row_end FROM h""",
-    "q33_removed": r"""SELECT CAST(o_custkey AS VARCHAR) AS object_id FROM (SELECT DISTINCT o_custkey FROM orders) o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey) UNION ALL SELECT CAST(n_nationkey AS VARCHAR) FROM nation n WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey = n.n_nationkey)""",
+    "q33_removed": r"""SELECT c_custkey AS object_id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
     "q34_audit_surplus": r"""WITH m AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem GROUP BY 1), c AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem WHERE l_suppkey % 13 <> 0 GROUP BY 1) SELECT m.k AS object_id, m.n AS source_count, COALESCE(c.n, 0) AS combined_count, m.n - COALESCE(c.n, 0) AS missing_count FROM m LEFT JOIN c ON c.k = m.k WHERE m.n > COALESCE(c.n, 0)""",
 }
