@@ -51,7 +51,6 @@ def _found(text: Column, pattern: str, kind: int, value: Callable[[Column], Colu
     def place(matches: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
         steps = F.zip_with(gaps, matches, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.length(m).alias("size"), F.octet_length(gap).alias("gap_bytes"), F.octet_length(m).alias("bytes"), m.alias("m")))
-        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte"), F.array().cast(kinds).alias("out"))
 
         def step(acc: Column, x: Column) -> Column:
             begin, byte = acc["at"] + x["gap"], acc["byte"] + x["gap_bytes"]
@@ -59,7 +58,26 @@ def _found(text: Column, pattern: str, kind: int, value: Callable[[Column], Colu
             one = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value(x["m"]).alias("value"), byte.alias("byte"), last.alias("last"))
             return F.struct(end.alias("at"), last.alias("byte"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-        return F.aggregate(steps, start, step, lambda acc: acc["out"])
+        def moved(acc: Column, x: Column) -> Column:
+            return F.struct((acc["at"] + x["gap"] + x["size"]).alias("at"), (acc["byte"] + x["gap_bytes"] + x["bytes"]).alias("byte"))
+
+        def added(acc: Column, x: Column) -> Column:
+            return F.struct((acc["at"] + x["at"]).alias("at"), (acc["byte"] + x["byte"]).alias("byte"))
+
+        def spread(steps: Column) -> Column:
+            """Arrays only grow one by one within runs of about the root of their number, so many matches take little more than few."""
+            zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("byte"))
+            run = F.ceil(F.sqrt(F.size(steps))).cast("int")
+            numbers = F.sequence(F.lit(0), F.ceil(F.size(steps) / run).cast("int") - 1)
+            totals = F.transform(numbers, lambda k: F.aggregate(F.slice(steps, k * run + 1, run), zero, moved))
+
+            def one_run(totals: Column, k: Column) -> Column:
+                begin = F.aggregate(F.slice(totals, F.lit(1), k), zero, added, lambda acc: F.struct(acc["at"], acc["byte"], F.array().cast(kinds).alias("out")))
+                return F.aggregate(F.slice(steps, k * run + 1, run), begin, step, lambda acc: acc["out"])
+
+            return _let(totals, lambda t: F.flatten(F.transform(numbers, lambda k: one_run(t, k))))
+
+        return _let(steps, spread)
 
     return F.coalesce(_let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, place(m)).otherwise(none)), F.array().cast(kinds))
 
