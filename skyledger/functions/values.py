@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ UNIX_EPOCH_MJD, MJD_ZERO_JD = 40587, 2400000.5
 _NUMBER = r"^[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def field(obj: str | Column, name: str) -> Column:
     """A member of a variant object; SQL NULL if it isn't there, variant null if it is null."""
     obj = F.col(obj) if isinstance(obj, str) else obj

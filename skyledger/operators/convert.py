@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ EPOCH_FIELDS = ["Epoch_year", "Epoch_month", "Epoch_day", "Year_of_perihelion",
 
 
 def _number(name: str, obj: str) -> Column:
-    return V.usable_double(V.lenient_double(V.text_of(V.field(obj, name))))
+    return V.let(V.let(V.text_of(V.field(obj, name)), V.lenient_double), V.usable_double)
 
 
 def constants(format_name: str) -> dict[str, Column]:
@@ -37,12 +40,18 @@ def asteroid_inputs(objects: DataFrame, obj: str = "obj") -> DataFrame:
 def comet_inputs(objects: DataFrame, obj: str = "obj") -> DataFrame:
     """objects with the COM orbit and physical columns, without those that lack a date field. The epoch is
     a whole day, the perihelion keeps its fraction. The simulator's id is the designation and name."""
-    dated = objects.withColumns({f"__{c}": _number(c, obj) for c in EPOCH_FIELDS}).dropna(subset=[f"__{c}" for c in EPOCH_FIELDS])
+    numbers = F.struct(*(_number(c, obj).alias(c) for c in EPOCH_FIELDS))
+
+    def dates(n: Column) -> Column:
+        epoch, perihelion = ([n[c] for c in EPOCH_FIELDS[k : k + 3]] for k in (0, 3))
+        whole = F.struct(V.mjd_of_calendar(*epoch).alias("epoch"), V.mjd_of_calendar_fraction(*perihelion).alias("perihelion"))
+        return F.when(reduce(and_, (n[c].isNotNull() for c in EPOCH_FIELDS)), whole)
+
+    dated = objects.withColumn("__dates", V.let(numbers, dates)).where(F.col("__dates").isNotNull())
     names = {"q": "Perihelion_dist", "e": "e", "inc": "i", "argPeri": "Peri", "node": "Node", "H_r": "H"}
-    epoch, perihelion = ([F.col(f"__{c}") for c in EPOCH_FIELDS[k : k + 3]] for k in (0, 3))
     columns = {new: _number(old, obj) for new, old in names.items()}
-    columns |= {"ObjID": V.text_of(V.field(obj, "Designation_and_name")), "epochMJD_TDB": V.mjd_of_calendar(*epoch), "t_p_MJD_TDB": V.mjd_of_calendar_fraction(*perihelion), **constants("COM")}
-    return dated.withColumns(columns).drop(*(f"__{c}" for c in EPOCH_FIELDS))
+    columns |= {"ObjID": V.text_of(V.field(obj, "Designation_and_name")), "epochMJD_TDB": F.col("__dates.epoch"), "t_p_MJD_TDB": F.col("__dates.perihelion"), **constants("COM")}
+    return dated.withColumns(columns).drop("__dates")
 
 
 def job_inputs(objects: DataFrame, status: str, comets: bool = False) -> DataFrame:
