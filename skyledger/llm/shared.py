@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
 import re
 import shutil
@@ -39,12 +40,26 @@ def fresh(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what runs within when that has ended. The setting is put back."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def materialize(df: DataFrame, what: str, *facts: Column) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends here, and the rows
     outlive any executor. The number of rows, and more aggregates of them if asked for (facts), are
-    noted while they are written, see rows() and noted()."""
+    noted while they are written, see rows() and noted(). What was shuffled for it is deleted at once, as
+    nothing reads that again."""
     at, seen = fresh(df.sparkSession, what), Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *facts).write.parquet(at)
+    with _cleaned(df.sparkSession):
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *facts).write.parquet(at)
     trim()  # the driver's Python may just have let go of a model or a set of bits
     out = df.sparkSession.read.schema(df.schema).parquet(at)
     out._skyledger_path, out._skyledger_facts = at, seen.get

@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -476,3 +477,21 @@ def test_repeating_paragraphs_equal_brute_force(spark, table):
         groups[0][root].add(item(w))
         groups[1][found[item(w)][0]].add(item(w))
     assert sorted(map(sorted, groups[0].values())) == sorted(map(sorted, groups[1].values()))
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    held = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = set(re.findall(r"shuffle_\d+", held()))
+    out = shared.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        left = set(re.findall(r"shuffle_\d+", held())) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and shared.rows(out) == out.count() == 7
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "false")
+    shared.materialize(spark.range(3), "a")
+    assert spark.conf.get(key) == "false"
+    spark.conf.unset(key)
