@@ -412,3 +412,8 @@ def test_very_long_texts(table):
     docs = table([(1, long + item + " " + long, "en", "s", 0), (2, "short", "en", "s", 0)], DOCS)
     found = {r["doc_id"]: (r["n_words"], r["n_hit"], r["contaminated"]) for r in decontaminate.scan(docs, table([(1, item)], "item_id long, text string")).collect()}
     assert found == {1: (1_000_020, 20, False), 2: (1, 0, False)}
+
+
+def test_packed_keys():
+    for keys in (np.zeros(0, np.uint64), np.array([0, 1, 2**63, 2**64 - 1], np.uint64), np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, np.uint64))):
+        assert (scoring.unpacked(scoring.packed(keys)) == keys).all()
