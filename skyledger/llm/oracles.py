@@ -65,7 +65,49 @@ SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_a
 FROM d LEFT JOIN sums ON sums.doc_id = d.doc_id
 """
 
+FILL_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, COALESCE(text, '') AS text, regexp_extract_all(COALESCE(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS x FROM documents
+), h AS (
+  SELECT *, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || x[9:16] AS BIGINT) % (len(u) + 1) AS b, CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d
+), p AS (
+  SELECT doc_id, text, CAST(n AS BIGINT) AS n, array_to_string(u[:LEAST(a, b)], '') AS pre, array_to_string(u[LEAST(a, b) + 1:GREATEST(a, b)], '') AS mid, array_to_string(u[GREATEST(a, b) + 1:], '') AS suf,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, MAX(CAST(quality = 1 AS INT)) AS good, MAX(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN d.doc_id > MIN(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), x AS (
+  SELECT UNNEST(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x
+), s AS (
+  SELECT part, good, toxic, fails, filter_order, step, filter_order[step] AS letter, COALESCE((SELECT MIN(k) FROM UNNEST([1, 2, 3, 4, 5]) t(k) WHERE contains(fails, filter_order[k])), 6) AS hit
+  FROM (SELECT part, good, toxic, fails, COUNT(*) AS copies FROM f GROUP BY ALL) g, o, (SELECT UNNEST([1, 2, 3, 4, 5]) AS step) k, UNNEST(range(copies)) r
+), c AS (
+  SELECT part, filter_order, step, letter, COUNT(*) FILTER (WHERE hit > step) AS kept, COUNT(*) FILTER (WHERE hit = step) AS removed, COUNT(*) FILTER (WHERE hit < step AND contains(fails, letter)) AS redundant,
+    COUNT(*) FILTER (WHERE fails = letter) AS unique_fails, COUNT(*) FILTER (WHERE hit = step AND good = 1) AS good_lost, COUNT(*) FILTER (WHERE hit = step AND toxic = 1) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(SUM(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM c
+"""
+
 ORACLES = {
     "op4_secret_scans": SECRET_SCANS,
     "op8_benchmark_decontamination": BENCHMARK_DECONTAMINATION,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_filter_audit": FILTER_AUDIT,
 }
