@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, fill_middle, filter_audit, language, near_copies, neighbours, oracles, passages, scoring, secrets, token_counts, token_files
+from . import bpe, decontaminate, fill_middle, filter_audit, language, near_copies, neighbours, oracles, passages, quality, scoring, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.query,
     "op9_lm_scoring": scoring.query,
     "op10_nearest_neighbours": neighbours.query,
+    "op11_quality": quality.query,
     "op12_fill_middle": fill_middle.query,
     "op13_filter_audit": filter_audit.query,
 }
