@@ -6,7 +6,7 @@ decides where the document goes, and conditional counts are combined before they
 numbers take part: texts are read once, and left out after the flags.
 
 Equal texts are told by their SHA-256. Keys that many rows share (a text copied into a third of all rows, one id
-in most rows) are looked up in a broadcast table: at most HOT keys can have one in HOT of all rows. Others are joined by a shuffle.
+in most rows) are looked up in a broadcast table: at most 1,000 keys can have one in 1,000 of all rows. Others are joined by a shuffle.
 
 Defined results: a null text counts as empty, a null source as the empty string. A null doc_id has no labels, is no smaller id, and
 nothing is smaller than it. Equal doc_ids aren't smaller than each other, so repeated rows of one id are no duplicates. Labels
@@ -21,13 +21,14 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyledger.operators.skew import looked_up
+
 from . import shared
 
 LETTERS = "ABCDE"
 SPACES = r"[\x20\x09-\x0D]+"
 #: The filters' limits.
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 2
-HOT = 1000
 
 
 def text_flags(text: Column) -> dict[str, Column]:
@@ -46,17 +47,6 @@ def bit(letter: str) -> int:
     return 1 << LETTERS.index(letter)
 
 
-def looked_up(left: DataFrame, right: DataFrame, key: str, total: int, hot: int = HOT) -> DataFrame:
-    """left with right's columns (null where there is none), of which right has one row for each key. left is read
-    several times. Keys of at least one in `hot` rows of left, at most `hot` of them, don't take part in the shuffle."""
-    known = left.where(F.col(key).isNotNull())
-    heavy = known.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") * hot >= total).select(key)
-    some = F.broadcast(heavy.join(right, key, "left"))
-    rest = known.join(F.broadcast(heavy), key, "left_anti").join(right, key, "left")
-    none = left.where(F.col(key).isNull()).select("*", *(F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns if c != key))
-    return known.join(some, key).unionByName(rest).unionByName(none)
-
-
 def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """part, flags (bits of the filters that a document fails), good and toxic of every document; written, as it is read twice."""
     text = F.coalesce("text", F.lit(""))
