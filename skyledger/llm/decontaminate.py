@@ -6,7 +6,9 @@ empty one) is one window. Window hashes are looked up in the broadcast set, then
 verified word by word against the item's own bytes, so a hash collision never counts.
 
 The set is built and broadcast as arrays, some 5 bytes for each byte of benchmark text, so MAX_SET_BYTES of text
-bound what the driver and each worker hold. A larger benchmark is scanned in blocks of that size, one after another.
+bound what the driver and each worker hold. A larger benchmark is scanned in blocks of at most that size, one after another:
+equal items count once, longer items than half a block are cut into parts that share all but one word of a window, and parts
+are packed by size. Only a single window is never cut, so words of many megabytes can exceed the bound.
 
 Defined results: a null or wordless text has n_words = n_hit = n_items = 0 and is clean. A null or
 wordless item has no windows; an item without an id makes words hit but is not listed. Repeated
@@ -24,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -162,7 +164,7 @@ def _scan(have: WindowSet, data: np.ndarray, offsets: np.ndarray) -> dict[str, l
 
 def _one_pass(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
     """docs with the findings of every row, and the broadcast that they need."""
-    rows = items.select(F.col("item_id").cast("string"), "text").toArrow()
+    rows = items.select("item_id", "text").toArrow()
     sent, names = docs.sparkSession.sparkContext.broadcast(window_set(rows.column(0).to_pylist(), rows.column(1).combine_chunks(), window)), docs.columns
     kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
@@ -177,13 +179,57 @@ def _one_pass(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame
     return docs.mapInArrow(shared.lean(scan), StructType([*docs.schema.fields, *StructType.fromDDL(SCHEMA).fields])), sent
 
 
-def _in_blocks(docs: DataFrame, items: DataFrame, window: int, blocks: int) -> DataFrame:
+def parts(items: DataFrame, window: int, most: int) -> DataFrame:
+    """items (item_id, text), those of more than `most` bytes as several rows whose windows are together the item's."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data, offsets = words.flat(pa.array([text.as_py()], pa.string()))
+                starts, ends, _ = words.spans(data, offsets, words.ALNUM)
+                a = 0
+                while True:
+                    last = int(np.searchsorted(ends, starts[a] + most, "right")) if len(starts) else 0
+                    last = min(len(starts), max(last, a + window))  # at least one window
+                    ids.append(item)
+                    texts.append(data[starts[a] : ends[last - 1]].tobytes().decode() if last else "")
+                    if last == len(starts):
+                        break
+                    a = last - window + 1
+            yield pa.record_batch([pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["item_id", "text"])
+
+    large = F.octet_length("text") > most
+    return items.where(~large).unionByName(items.where(large).mapInArrow(shared.lean(split), "item_id string, text string"))
+
+
+def packed(items: DataFrame, window: int, most: int) -> tuple[DataFrame, int]:
+    """items (item_id, text, block), and how many blocks there are, from 0 on; a block has at most `most` bytes."""
+    half = max(1, most // 2)
+    cut = parts(items, window, half).withColumn("bytes", F.octet_length("text").cast("long"))
+    total = cut.agg(F.sum("bytes")).first()[0] or 0
+    dealt = cut.withColumn("bin", F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-total // half) or 1)))
+    before = F.sum("bytes").over(Window.partitionBy("bin").orderBy(F.xxhash64("text", "item_id"), "item_id", "text").rowsBetween(Window.unboundedPreceding, -1))
+    groups = shared.materialize(dealt.withColumn("part", (F.coalesce(before, F.lit(0)) / half).cast("long")), "benchmark")
+    sizes = groups.groupBy("bin", "part").agg(F.sum("bytes").alias("bytes")).orderBy("bin", "part").collect()  # some three for each block
+    blocks, held, at = [], 0, -1
+    for r in sizes:
+        if at < 0 or held + r["bytes"] > most:
+            at, held = at + 1, 0
+        held += r["bytes"]
+        blocks.append((r["bin"], r["part"], at))
+    numbered = items.sparkSession.createDataFrame(blocks, "bin long, part long, block int")
+    return groups.join(F.broadcast(numbered), ["bin", "part"]).select("item_id", "text", "block"), at + 1
+
+
+def _in_blocks(docs: DataFrame, items: DataFrame, window: int, most: int) -> DataFrame:
     """docs with the findings of all blocks of the benchmark, which are broadcast one after another: a block's
     findings are written before the next one is sent."""
     whole = shared.materialize(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    block, passes = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)), []
+    items, blocks = packed(items, window, most)
+    passes = []
     for k in range(blocks):
-        found, sent = _one_pass(whole.select("row", "text"), items.where(block == k), window)
+        found, sent = _one_pass(whole.select("row", "text"), items.where(F.col("block") == k), window)
         passes.append(shared.materialize(found.drop("text") if not k else found.where(F.size("hit_words") > 0).drop("text"), "hits"))
         sent.destroy()
     hits = reduce(DataFrame.unionByName, passes)
@@ -202,17 +248,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_by
     """docs (any columns besides text; of one name, the finding stays) with n_words, items (ids with occurring windows, sorted as text),
     hit_words and hit_chars (flat start, end pairs; ends exclusive), n_hit, n_items, contaminated.
 
-    The benchmark's size is measured first. Within max_set_bytes it is broadcast whole; beyond it,
+    The benchmark's size, equal items counted once, is measured first. Within max_set_bytes it is broadcast whole; beyond it,
     hash blocks of about that size are broadcast one after another over the same documents and
     the findings of each row are merged, which gives the same rows.
     """
     docs = docs.drop(*FOUND, "n_hit", "n_items", "contaminated")
     names = docs.columns
     own, _ = shared.renamed(docs, "text")
-    items = shared.carried(benchmark, "item_id", "text").where("text is not null")
+    items = shared.carried(benchmark, "item_id", "text").where("text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // max_set_bytes) or 1
-    found = _one_pass(own, items, window)[0] if blocks == 1 else _in_blocks(own, items, window, blocks)
+    found = _one_pass(own, items, window)[0] if total <= max_set_bytes else _in_blocks(own, items, window, max_set_bytes)
     n_hit = F.aggregate(F.sequence(F.lit(0), F.size("hit_words") - 1), F.lit(0).cast("long"), lambda s, k: s + F.when(k % 2 == 1, F.get("hit_words", k)).otherwise(-F.get("hit_words", k)))
     found = found.withColumns({"n_hit": F.when(F.size("hit_words") > 0, n_hit).otherwise(F.lit(0).cast("long")), "n_items": F.size("items").cast("long")})
     found = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

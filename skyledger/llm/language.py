@@ -6,8 +6,9 @@ probabilities are the means over its windows, weighted by their bytes. Nothing b
 enters a prediction.
 
 Training takes at most SAMPLE_ROWS documents a language and SAMPLE_TOTAL in all, chosen by a hash of
-doc_id among labelled rows that are not held out, and SAMPLE_WINDOWS windows of each; the bounds are
-parameters, and prediction covers whole texts. At most LANGUAGES languages are learnt, the commonest.
+doc_id and text among labelled rows that are not held out, and SAMPLE_WINDOWS windows of each; the bounds are
+parameters, and prediction covers whole texts. Equal labelled rows count as one. All labels are learnt; only where there are
+more labels than SAMPLE_TOTAL, so that a sample can't hold one document of each, the rarest are left out.
 
 Defined results: `und` with score 0 where the text is null or has no letter, and everywhere if there
 are no labelled rows to learn from; keep_known() then keeps every document with a letter. A null doc_id is neither
@@ -34,8 +35,6 @@ DIMENSIONS = 6
 SAMPLE_ROWS = 1500
 SAMPLE_TOTAL = 20_000
 SAMPLE_WINDOWS = 4
-#: Languages that a network knows at most: the commonest labels.
-LANGUAGES = 1000
 EPOCHS = 8
 BATCH = 256
 BLOCK = 512
@@ -134,13 +133,13 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL, windows: int = SAMPLE_WINDOWS) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Training windows, their labels, and the languages; bounded by the parameters, the same on every run."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}") & ~shared.held_out("doc_id", PARTS, HELD))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    usable = usable.withColumn("place", F.xxhash64("doc_id", "text"))
+    counts = {r[0]: r[1] for r in usable.select("lang", "place").distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(total).collect()}
     if not counts:
         return np.zeros((0, LENGTH), np.uint8), np.zeros(0, np.int64), []
     most = max(1, min(rows, total // len(counts)))
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.3 * most / n + 30 / n))))
-    place = F.xxhash64("doc_id", "text")
-    chosen = usable.withColumn("place", place).where((F.shiftrightunsigned("place", 11) / float(1 << 53)) < F.get(F.array(share[F.col("lang")]), 0))
+    shares = docs.sparkSession.createDataFrame([(lang, 1.3 * most / n + 30 / n) for lang, n in counts.items()], "lang string, share double")
+    chosen = usable.join(F.broadcast(shares), "lang").where((F.shiftrightunsigned("place", 11) / float(1 << 53)) < F.col("share"))
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,14 +151,17 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, total: int = SAMPLE_TOTAL,
                 cuts.append([np.r_[text[s : s + LENGTH], np.zeros(max(0, LENGTH - n), np.uint8)].tobytes() for s in starts])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(cuts, pa.list_(pa.binary()))], ["place", "lang", "cuts"])
 
-    found = chosen.select("place", "lang", "text").mapInArrow(shared.lean(take), "place long, lang string, cuts array<binary>").collect()
-    languages, taken = sorted(counts), dict.fromkeys(counts, 0)
+    windowed = chosen.select("place", "lang", "text").mapInArrow(shared.lean(take), "place long, lang string, cuts array<binary>")
+    found = windowed.dropDuplicates(["place", "lang"]).collect()
+    taken = dict.fromkeys(counts, 0)
+    languages = sorted({r["lang"] for r in found})
+    number = {lang: k for k, lang in enumerate(languages)}
     x, y = [], []
     for r in sorted(found, key=lambda r: (r["place"], r["lang"])):
         if taken[r["lang"]] < most:
             taken[r["lang"]] += 1
             x += map(bytes, r["cuts"])
-            y += [languages.index(r["lang"])] * len(r["cuts"])
+            y += [number[r["lang"]]] * len(r["cuts"])
     return np.frombuffer(b"".join(x), np.uint8).reshape(-1, LENGTH), np.array(y), languages
 
 

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by multi-index hashing over learned binary codes.
 
-A rotation learned on a bounded sample (principal directions, then alternating sign and Procrustes
+A rotation learned on a bounded sample (the first SAMPLE distinct rows by a hash of id and vector; principal directions, then alternating sign and Procrustes
 steps) turns each vector into a code of 64 bits. Codes are split into 8 substrings, and each block of
 rows indexes all its rows by every substring. A code within Hamming radius r = 8 p + a of a query's
 is within p of it in one of the first a + 1 substrings or within p - 1 in one of the others, so probing
@@ -165,12 +165,7 @@ def search(vectors: DataFrame, asked: Column, k: int = K, sample: int = SAMPLE,
     stats = rows.agg(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))), F.count("*")).first()
     if not stats[1]:
         return spark.createDataFrame([], schema)
-    place = F.xxhash64("vec_id")
-    if stats[1] > sample:  # a share by hash that surely holds enough, then the first by hash
-        share = rows.where(F.shiftrightunsigned(place, 11) / float(1 << 53) < 1.5 * sample / stats[1])
-        taken = share.orderBy(place, "vec_id").limit(sample).select("embedding").toArrow()
-    else:
-        taken = rows.orderBy("vec_id").select("embedding").toArrow()
+    taken = shared.drawn(rows, sample, "vec_id", "embedding").orderBy("place").select("embedding").toArrow()
     coder = fit(_matrix(taken.column(0).combine_chunks()), float(stats[0]), k, cover)
     queries = shared.materialize(rows.where(asked).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
     groups = -(-shared.rows(queries) * d * 8 * 4 // (QUERY_BYTES * 3)) or 1

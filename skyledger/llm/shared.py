@@ -123,6 +123,14 @@ def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
+def drawn(df: DataFrame, most: int, *keys: str) -> DataFrame:
+    """df's rows of the first `most` distinct values of the keys, in the order of a hash of these, one row for each, with that
+    hash as `place`. Equal rows count as one, so at most `most` rows are left however many repeat, and none only if df is empty."""
+    placed = df.withColumn("place", F.xxhash64(*keys))
+    last = placed.select("place").distinct().orderBy("place").limit(most).agg(F.max("place")).first()[0]
+    return placed.where(F.col("place") <= F.lit(last)).dropDuplicates(["place"])
+
+
 def cut(text: str | Column, ranges: str | Column) -> Column:
     """A text without the character ranges [start, end) of a flat, ascending array start, end, start, end, .."""
     text, ranges = (F.col(x) if isinstance(x, str) else x for x in (text, ranges))
