@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import dataclasses
-import shutil
-import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -18,7 +16,8 @@ from skyledger.operators import ranges as R
 from skyledger.operators import relational as Q
 from skyledger.operators.convert import ORBIT_COLUMNS, job_inputs
 from skyledger.sources import catalog as C
-from skyledger.sources.sqlite import read_sqlite, write_sqlite
+from skyledger.sources import storage
+from skyledger.sources.sqlite import extent, read_sqlite, write_sqlite
 
 from .job import Options, run_job
 from .state import State, snapshot
@@ -61,14 +60,14 @@ def run_cycle(spark: SparkSession, c: Cycle, say: Callable[[str], None] = print)
     results = Path(c.options.results)
     kept = snapshot(c.catalog, results, time)
     state = State(c.state_folder, c.database, c.comets)
-    current = Q.diff(objects_of(spark, c), state.baseline(spark)).persist()
+    current = state.diff(objects_of(spark, c)).persist()
     counts = {r["status"]: r["n"] for r in Q.status_counts(current).collect()}
-    # one snapshot for the watermark, the count and the rows: a table that outlives executors, not a cache
-    held = Path(c.work).resolve() / f"pointings-{uuid.uuid4().hex}"
-    read_sqlite(spark, c.database).write.parquet(str(held))
-    pointings = spark.read.parquet(str(held))
-    most, total = Q.extent(pointings, MJD).first()
-    fresh = Q.since(pointings, MJD, state.watermark, c.lookback)
+    most, total = extent(c.database, MJD)
+    most = most or 0.0
+    # the increment alone is read: SQLite carries out both bounds. Written once, so that what is counted is what is simulated
+    at = storage.fresh(spark, "pointings")
+    Q.since(read_sqlite(spark, c.database), MJD, state.watermark, c.lookback).where(F.col(MJD) <= most).write.parquet(at)
+    fresh = spark.read.parquet(at)
     n_fresh = fresh.count()
     say(f"[{time}] objects {counts}; pointings: {n_fresh} new of {total}")
     facts = {"mode": "comets" if c.comets else "asteroids", "db": path_fingerprint(c.database), "config": path_fingerprint(c.config), "db_max_mjd": most, "db_row_count": total}
@@ -87,9 +86,9 @@ def run_cycle(spark: SparkSession, c: Cycle, say: Callable[[str], None] = print)
             done = run_job(rows, status, time, own, say) and done
         rows.unpersist()
     if done:
-        state.save(float(most), Q.new_baseline(current))
+        state.save(float(most), current)
     else:
         say("  a diagnostic run; the state stays as it was")
     current.unpersist()
-    shutil.rmtree(held, ignore_errors=True)
+    storage.remove(spark, at)
     return done

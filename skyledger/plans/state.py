@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-import contextlib
 import gzip
 import hashlib
 import json
 import os
-import shutil
 import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.functions.digests import safe_token
+from skyledger.operators import relational as Q
+from skyledger.sources import baseline as B
+from skyledger.sources import storage
 from skyledger.sources.catalog import copy_stream, read_json
 
 BASELINE = "object_id string, element_hash string"
@@ -55,37 +56,54 @@ def snapshot(catalog: str | Path, folder: str | Path, time: str) -> Path:
 
 
 class State:
-    """Watermark and baseline of one pointing database and mode. The baseline is a Parquet folder of its own
-    for each version; the state file names the version, and replacing it changes both at once."""
+    """Watermark and baseline of one pointing database and mode. The baseline is a bucketed table, of which the state file
+    names the folder and each bucket's version, so replacing that file changes watermark and baseline at once. States
+    that name a plain Parquet folder, as older ones do, are read too; their next baseline is bucketed."""
 
     def __init__(self, folder: str | Path, database: str | Path, comets: bool):
         mode, path = "comets" if comets else "asteroids", Path(database).expanduser().resolve()
         digest = hashlib.sha256(f"{path}|{mode}".encode()).hexdigest()[:12]
-        self.folder = Path(folder)
+        self.folder = Path(folder).resolve()
         self.name = f"{safe_token(path.stem, 'pointings')}_{mode}_{digest}"
         self.file = self.folder / f"state_{self.name}.json"
 
-    def _held(self) -> dict:
+    def _read(self) -> dict:
         return read_json(self.file)
 
     @property
     def watermark(self) -> float:
-        return float(self._held().get("last_mjd", 0.0))
+        return float(self._read().get("last_mjd", 0.0))
 
     @property
     def has_baseline(self) -> bool:
-        return bool(self._held().get("baseline"))
+        return bool(self._read().get("baseline"))
 
-    def baseline(self, spark: SparkSession) -> DataFrame:
-        held = self._held().get("baseline")
-        return spark.read.schema(BASELINE).parquet(str(self.folder / held)) if held else spark.createDataFrame([], BASELINE)
+    @property
+    def buckets(self) -> B.Held | None:
+        """The bucketed baseline, if there is one."""
+        held = self._read()
+        return B.Held((self.folder / held["baseline"]).as_uri(), tuple(held["buckets"])) if held.get("baseline") and held.get("buckets") else None
 
-    def save(self, watermark: float, baseline: DataFrame) -> None:
-        before = self._held()
+    def baseline(self, spark: SparkSession) -> DataFrame:
+        if self.buckets:
+            return B.read(spark, self.buckets)
+        plain = self._read().get("baseline")
+        return spark.read.schema(BASELINE).parquet((self.folder / plain).as_uri()) if plain else spark.createDataFrame([], BASELINE)
+
+    def diff(self, current: DataFrame) -> DataFrame:
+        """current (object_id, element_hash, ..) with status new, updated or unchanged."""
+        if self.buckets or not self.has_baseline:
+            return B.diff(current, self.buckets)
+        return Q.diff(current, self.baseline(current.sparkSession))
+
+    def save(self, watermark: float, current: DataFrame) -> None:
+        """A new watermark and the baseline after a catalog (object_id, element_hash, catalog_row). Files that the state before this one
+        no longer named are deleted; those that it names stay until the next call, for whoever still reads them."""
+        spark, before, held = current.sparkSession, self._read(), self.buckets
         version = int(before.get("version", 0)) + 1
-        at = f"element_hashes_{self.name}_v{version}"
-        baseline.select("object_id", "element_hash").write.mode("overwrite").parquet(str(self.folder / at))
-        write_json(self.file, {"last_mjd": watermark, "baseline": at, "version": version})
-        if before.get("baseline"):
-            with contextlib.suppress(OSError):
-                shutil.rmtree(self.folder / before["baseline"])
+        now = B.save(current, held, (self.folder / f"baseline_{self.name}_v{version}").as_uri(), version)
+        if held:
+            B.forget(spark, held)
+        write_json(self.file, {"last_mjd": watermark, "baseline": Path(now.at).name, "buckets": list(now.versions), "version": version})
+        if before.get("baseline") and before["baseline"] != Path(now.at).name:
+            storage.remove(spark, (self.folder / before["baseline"]).as_uri())
