@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The catalog fields that identify an object, in order, and those whose change means new elements.
@@ -15,12 +15,21 @@ DISTANT_AU, CERTAIN_CODE, LONG_ARC_DAYS = 30.0, 6, 3.0
 #: Modified Julian Date of 1970-01-01, and the Julian Date that MJD counts from.
 UNIX_EPOCH_MJD, MJD_ZERO_JD = 40587, 2400000.5
 
+#: White space, as the catalogs' texts are stripped of it.
+BLANKS = " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _NUMBER = r"^[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with value worked out once."""
-    return F.get(F.transform(F.array(value), use), 0)
+def typed(df: DataFrame, obj: str, texts: Iterable[str], variants: Iterable[str] = (), out: str = "__fields") -> DataFrame:
+    """df with members of a variant object in one struct, found in one pass over each object: as texts, or as they are. Missing and
+    null texts are null. The struct is a generated row, which filters on it don't work out again."""
+    members = ", ".join(f"`{name}`: {kind}" for names, kind in ((texts, "string"), (variants, "variant")) for name in names)
+    return generated(df, F.try_variant_get(F.col(obj), F.lit("$"), f"struct<{members}>"), out)
+
+
+def generated(df: DataFrame, value: Column, out: str) -> DataFrame:
+    """df with a column that is worked out once a row, however many filters and columns use it."""
+    return df.select("*", F.explode(F.array(value)).alias(out))
 
 
 def field(obj: str | Column, name: str) -> Column:
@@ -38,17 +47,22 @@ def text_of(v: Column) -> Column:
     return v.cast("string")
 
 
+def bare(text: Column) -> Column:
+    """A text without white space at its ends."""
+    return F.trim(text, F.lit(BLANKS))
+
+
 def missing(text: Column) -> Column:
     """Null, blank, or any spelling of nan."""
-    return text.isNull() | (F.trim(text) == "") | (F.lower(F.trim(text)) == "nan")
+    return text.isNull() | F.lower(bare(text)).isin("", "nan")
 
 
 def lenient_double(text: Column) -> Column:
     """The number that a text spells, or null; infinities count, nan doesn't."""
-    bare = F.trim(text)
-    small = F.lower(F.regexp_replace(bare, "^[+]", ""))
+    own = bare(text)
+    small = F.lower(F.regexp_replace(own, "^[+]", ""))
     return (
-        F.when(bare.rlike(_NUMBER), F.regexp_replace(bare, "_", "").try_cast("double"))
+        F.when(own.rlike(_NUMBER), F.replace(own, F.lit("_"), F.lit("")).try_cast("double"))
         .when(small.isin("inf", "infinity"), F.lit(float("inf")))
         .when(small.isin("-inf", "-infinity"), F.lit(float("-inf")))
     )
@@ -94,11 +108,12 @@ def mjd_of_jd(jd: Column) -> Column:
 
 
 def mjd_of_calendar(year: Column, month: Column, day: Column) -> Column:
-    """Whole-day MJD of a proleptic Gregorian date; the fraction of the day is dropped. Null where it isn't a date."""
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    ok = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(ok, F.unix_date(F.try_to_date(text, "yyyy-MM-dd")) + UNIX_EPOCH_MJD).cast("double")
+    """Whole-day MJD of a proleptic Gregorian date of the years 0 to 9999; the fraction of the day is dropped. Null where it isn't a date."""
+    y, m, d = (c.try_cast("int") for c in (year, month, day))
+    last = F.dayofmonth(F.last_day(F.make_date(y, m, F.lit(1))))
+    days = F.when((d <= 28) | (d <= last), F.unix_date(F.make_date(y, m, F.least(d, last))) + UNIX_EPOCH_MJD)
+    return F.when(y.between(0, 9999) & m.between(1, 12) & d.between(1, 31), days).cast("double")
 
 
 def mjd_of_calendar_fraction(year: Column, month: Column, day: Column) -> Column:
-    return mjd_of_calendar(year, month, day) + (day - day.cast("int"))
+    return mjd_of_calendar(year, month, day) + (day - day.try_cast("int"))

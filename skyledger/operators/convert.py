@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -21,8 +22,9 @@ PHYSICAL_COLUMNS = ["ObjID", "H_r", "g-r"]
 EPOCH_FIELDS = ["Epoch_year", "Epoch_month", "Epoch_day", "Year_of_perihelion", "Month_of_perihelion", "Day_of_perihelion"]
 
 
-def _number(name: str, obj: str) -> Column:
-    return V.let(V.let(V.text_of(V.field(obj, name)), V.lenient_double), V.usable_double)
+def _numbers(names: Iterable[str], fields: str) -> dict[str, Column]:
+    """The numbers that fields of a struct of texts spell."""
+    return {c: V.usable_double(V.lenient_double(F.col(f"{fields}.{c}"))) for c in names}
 
 
 def constants(format_name: str) -> dict[str, Column]:
@@ -32,26 +34,26 @@ def constants(format_name: str) -> dict[str, Column]:
 def asteroid_inputs(objects: DataFrame, obj: str = "obj") -> DataFrame:
     """objects with the KEP orbit and physical columns; the simulator's id is the principal designation."""
     names = {"a": "a", "e": "e", "inc": "i", "node": "Node", "argPeri": "Peri", "ma": "M", "H_r": "H"}
-    columns = {new: _number(old, obj) for new, old in names.items()}
-    columns |= {"ObjID": V.text_of(V.field(obj, "Principal_desig")), "epochMJD_TDB": V.mjd_of_jd(_number("Epoch", obj)), **constants("KEP")}
-    return objects.withColumns(columns)
+    own = "Principal_desig"
+    known = V.typed(objects, obj, [*names.values(), "Epoch", own])
+    number = _numbers([*names.values(), "Epoch"], "__fields")
+    columns = {new: number[old] for new, old in names.items()}
+    columns |= {"ObjID": F.col(f"__fields.{own}"), "epochMJD_TDB": V.mjd_of_jd(number["Epoch"]), **constants("KEP")}
+    return known.withColumns(columns).drop("__fields")
 
 
 def comet_inputs(objects: DataFrame, obj: str = "obj") -> DataFrame:
     """objects with the COM orbit and physical columns, without those that lack a date field. The epoch is
     a whole day, the perihelion keeps its fraction. The simulator's id is the designation and name."""
-    numbers = F.struct(*(_number(c, obj).alias(c) for c in EPOCH_FIELDS))
-
-    def dates(n: Column) -> Column:
-        epoch, perihelion = ([n[c] for c in EPOCH_FIELDS[k : k + 3]] for k in (0, 3))
-        whole = F.struct(V.mjd_of_calendar(*epoch).alias("epoch"), V.mjd_of_calendar_fraction(*perihelion).alias("perihelion"))
-        return F.when(reduce(and_, (n[c].isNotNull() for c in EPOCH_FIELDS)), whole)
-
-    dated = objects.withColumn("__dates", V.let(numbers, dates)).where(F.col("__dates").isNotNull())
     names = {"q": "Perihelion_dist", "e": "e", "inc": "i", "argPeri": "Peri", "node": "Node", "H_r": "H"}
-    columns = {new: _number(old, obj) for new, old in names.items()}
-    columns |= {"ObjID": V.text_of(V.field(obj, "Designation_and_name")), "epochMJD_TDB": F.col("__dates.epoch"), "t_p_MJD_TDB": F.col("__dates.perihelion"), **constants("COM")}
-    return dated.withColumns(columns).drop("__dates")
+    own = "Designation_and_name"
+    known = V.typed(objects, obj, [*names.values(), *EPOCH_FIELDS, own])
+    dates = V.generated(known, F.struct(*(v.alias(c) for c, v in _numbers(EPOCH_FIELDS, "__fields").items())), "__dates")
+    epoch, perihelion = ([F.col(f"__dates.{c}") for c in EPOCH_FIELDS[k : k + 3]] for k in (0, 3))
+    dated = dates.where(reduce(and_, (c.isNotNull() for c in (*epoch, *perihelion))))
+    columns = {new: n for new, n in zip(names, _numbers(names.values(), "__fields").values(), strict=True)}
+    columns |= {"ObjID": F.col(f"__fields.{own}"), "epochMJD_TDB": V.mjd_of_calendar(*epoch), "t_p_MJD_TDB": V.mjd_of_calendar_fraction(*perihelion), **constants("COM")}
+    return dated.withColumns(columns).drop("__fields", "__dates")
 
 
 def job_inputs(objects: DataFrame, status: str, comets: bool = False) -> DataFrame:

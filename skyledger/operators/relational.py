@@ -10,12 +10,11 @@ from skyledger.functions import values as V
 STATUSES = ("new", "updated", "unchanged")
 
 
-def arc_long_enough(obj: str | Column = "obj", days: float = V.LONG_ARC_DAYS) -> Column:
-    """Arc years are given, or the arc length is a range of years or at least so many days."""
-    years, length = V.text_of(V.field(obj, "Arc_years")), V.field(obj, "Arc_length")
+def arc_long_enough(years: Column, length: Column, days: float = V.LONG_ARC_DAYS) -> Column:
+    """Arc years (a text) are given, or the arc length (a variant) is a range of years or at least so many days."""
     text = V.text_of(length)
     spelled = V.usable_double(F.when(V.is_text(length), V.first_number(text)).otherwise(V.lenient_double(text)))
-    span = ~V.missing(text) & F.trim(text).rlike(r"^[0-9]{4}\s*-\s*[0-9]{4}$")
+    span = ~V.missing(text) & V.bare(text).rlike(r"^[0-9]{4}\s*-\s*[0-9]{4}$")
     return ~V.missing(years) | F.coalesce(span, F.lit(False)) | F.coalesce(~V.missing(text) & (spelled >= days), F.lit(False))
 
 
@@ -28,8 +27,9 @@ def keep_objects(catalog: DataFrame, comets: bool = False, obj: str = "obj") ->
     """The objects that are worth simulating; comets all are."""
     if comets:
         return catalog
-    number = lambda name: V.lenient_double(V.text_of(V.field(obj, name)))
-    return catalog.where(worth_keeping(number("a"), number("U"), arc_long_enough(obj)))
+    known, f = V.typed(catalog, obj, ["a", "U", "Arc_years"], ["Arc_length"]), "__fields"
+    long_arc = arc_long_enough(F.col(f"{f}.Arc_years"), F.col(f"{f}.Arc_length"))
+    return known.where(worth_keeping(V.lenient_double(F.col(f"{f}.a")), V.lenient_double(F.col(f"{f}.U")), long_arc)).drop(f)
 
 
 def drop_ignored(objects: DataFrame, ignored: DataFrame, *columns: str) -> DataFrame:
