@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from skyledger.sources import storage
+
+from .skew import looked_up
+
 RANGE = "chunk long, parent_chunk long, node_id string, parent_node_id string, debug_level int, row_start long, row_end long, chunk_size long"
 SORT_ROWS = 500_000
 #: Comparisons a row takes in each of two steps, and sampled keys for each part.
@@ -15,19 +19,16 @@ SPLITS, SAMPLES = 200, 16
 
 
 def _points(df: DataFrame, keys: tuple[str, ...], rows: int, parts: int) -> list[tuple]:
-    """Keys (columns of df) that divide the rows into parts of about one size, in ascending order, from a share of the rows by hash."""
+    """Keys (columns of df) that divide the rows into parts of about one size, in ascending order, from a share of the distinct keys by
+    hash: some SAMPLES for each part, however often one repeats. If there are few distinct keys the share may be empty, and is one part."""
     share = max(1, rows // (parts * SAMPLES))
-    sample = [tuple(r) for r in df.select(*keys).where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).orderBy(*keys).collect()]
+    sample = [tuple(r) for r in df.select(*keys).where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).distinct().orderBy(*keys).collect()]
     return list(dict.fromkeys(sample[len(sample) * k // parts] for k in range(1, parts))) if sample else []
 
 
-def number_rows(df: DataFrame, *order: str | Column, out: str = "input_row") -> DataFrame:
-    """df with 0-based row numbers in the order of columns or expressions (which identify a row). Large frames are dealt by
-    split points of all keys, found in two steps of at most SPLITS comparisons; each part is numbered by itself, from
-    the count of the parts before it, so that no task sorts everything, however frequent one value of a key is.
-    Results don't depend on how rows are partitioned."""
-    keys = tuple(f"__key{k}" for k in range(len(order)))
-    df = df.withColumns({k: F.col(x) if isinstance(x, str) else x for k, x in zip(keys, order, strict=True)})
+def _dealt(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """df with __part: rows of lower parts come before those of higher ones in the order of the keys. Split points are found in
+    two steps of at most SPLITS comparisons."""
     n = df.count()
     parts = -(-n // SORT_ROWS) or 1
     points = _points(df, keys, n, min(parts, SPLITS * SPLITS)) if parts > 1 else []
@@ -40,10 +41,38 @@ def number_rows(df: DataFrame, *order: str | Column, out: str = "input_row") ->
         inner = df.sparkSession.createDataFrame([(k, g) for k, g in enumerate([[], *groups])], StructType([StructField("__group", IntegerType()), StructField("__points", ArrayType(kind))]))
         dealt = df.withColumn("__group", before(F.array(*(literal(g[0]) for g in groups)))).join(F.broadcast(inner), "__group")
         dealt = dealt.withColumn("__part", F.col("__group") * (SPLITS + 1) + before(F.col("__points"))).drop("__group", "__points")
-    counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    own = F.row_number().over(Window.partitionBy("__part").orderBy(*keys)).cast("bigint") - 1
-    return dealt.withColumn("__own", own).join(F.broadcast(before), "__part").withColumn(out, F.col("__own") + F.col("__before")).drop("__part", "__own", "__before", *keys)
+    return dealt
+
+
+def running(df: DataFrame, weight: Column, *order: str | Column, out: str) -> DataFrame:
+    """df with the sum of the weights (whole numbers) of all rows before each one, in the order of columns or expressions (which
+    identify a row). Large frames are dealt by split points of all keys; each part is summed by itself, from
+    the sums of the parts before it, so that no task sorts everything, however frequent one value of a key is.
+    Results don't depend on how rows are partitioned."""
+    keys = tuple(f"__key{k}" for k in range(len(order)))
+    df = df.withColumns({**{k: F.col(x) if isinstance(x, str) else x for k, x in zip(keys, order, strict=True)}, "__weight": weight.cast("bigint")})
+    dealt = _dealt(df, keys)
+    earlier = lambda what, window: F.coalesce(F.sum(what).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = dealt.groupBy("__part").agg(F.sum("__weight").alias("__n")).select("__part", earlier("__n", Window.orderBy("__part")).alias("__before"))
+    own = earlier("__weight", Window.partitionBy("__part").orderBy(*keys))
+    return dealt.withColumn("__own", own).join(F.broadcast(before), "__part").withColumn(out, F.col("__own") + F.col("__before")).drop("__part", "__own", "__before", "__weight", *keys)
+
+
+def number_rows(df: DataFrame, *order: str | Column, out: str = "input_row") -> DataFrame:
+    """df with 0-based row numbers in the order of columns or expressions (which identify a row)."""
+    return running(df, F.lit(1), *order, out=out)
+
+
+def median(df: DataFrame, value: str, *groups: str) -> DataFrame:
+    """groups and the exact median of a number's values that aren't null (null without any), under the value's name. Distinct values are
+    counted, put in order together and found by their rank, so no task holds a whole group."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__times"))
+    placed = storage.written(running(counted, F.col("__times"), *groups, value, out="__from").withColumn("__group", F.struct(F.lit(0), *groups)), "ranks")
+    whole = placed.groupBy("__group").agg(F.min("__from").alias("__first"), F.sum("__times").alias("__all"))
+    known = looked_up(placed, whole, "__group", placed.count())
+    holds = lambda rank: (F.col("__from") <= F.expr(rank)) & (F.expr(rank) < F.col("__from") + F.col("__times"))
+    halves = holds("__first + (__all - 1) div 2").cast("int") + holds("__first + __all div 2").cast("int")
+    return known.withColumn("__halves", halves).where("__halves > 0").groupBy(*groups).agg(F.sum(F.col(value) * F.col("__halves") * 0.5).alias(value))
 
 
 def chunk_of(row: str | Column, size: int) -> Column:

@@ -35,4 +35,9 @@ ORACLES = {
     "q32_halves": r"""WITH n AS (SELECT COUNT(*) AS n FROM lineitem), p AS (SELECT lo // 777 AS chunk, lo, LEAST(lo + 777, n) AS hi FROM (SELECT UNNEST(range(0, n, 777)) AS lo, n FROM n)), h AS (SELECT chunk, lo AS plo, hi AS phi, lo AS a, lo + (hi - lo) // 2 AS b FROM p WHERE hi - lo > 1 UNION ALL SELECT chunk, lo, hi, lo + (hi - lo) // 2, hi FROM p WHERE hi - lo > 1) SELECT printf('chunk_%05d_isolate_%02d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(2 AS BIGINT), CAST(a AS BIGINT), CAST(b - 1 AS BIGINT)) AS node_id, printf('chunk_%05d_rows_%07d_%07d', CAST(chunk AS BIGINT), CAST(plo AS BIGINT), CAST(phi - 1 AS BIGINT)) AS parent_node_id, CAST(a AS BIGINT) AS row_start, CAST(b AS BIGINT) AS row_end FROM h""",
     "q33_removed": r"""SELECT c_custkey AS object_id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
     "q34_audit_surplus": r"""WITH m AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem GROUP BY 1), c AS (SELECT l_orderkey k, COUNT(*) n FROM lineitem WHERE l_suppkey % 13 <> 0 GROUP BY 1) SELECT m.k AS object_id, m.n AS source_count, COALESCE(c.n, 0) AS combined_count, m.n - COALESCE(c.n, 0) AS missing_count FROM m LEFT JOIN c ON c.k = m.k WHERE m.n > COALESCE(c.n, 0)""",
+    "q35_bucketed_diff": r"""WITH o AS (SELECT o_orderkey AS id, concat_ws('|', o_custkey, COALESCE(o_orderstatus, '')) AS h FROM orders), v AS (SELECT 1 AS v, id, CASE WHEN id % 7 = 0 THEN 'stale' ELSE h END AS h FROM o WHERE id % 10 <> 0 UNION ALL SELECT 2, id, h FROM o UNION ALL SELECT 3, id, CASE WHEN id % 100 = 7 THEN 'moved' ELSE h END FROM o WHERE id % 100 <> 11) SELECT CAST(a.v AS INTEGER) AS cycle, CASE WHEN b.id IS NULL THEN 'new' WHEN a.h <> b.h THEN 'updated' ELSE 'unchanged' END AS status, COUNT(*) AS n FROM v a LEFT JOIN v b ON b.id = a.id AND b.v = a.v - 1 GROUP BY 1, 2 UNION ALL SELECT 3, 'baseline', COUNT(*) FROM v WHERE v = 3""",
+    "q36_digest_ranges": r"""WITH r AS (SELECT o_orderkey AS k, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i, COUNT(*) OVER () AS n, o_custkey FROM orders), d AS (SELECT i, i - ROW_NUMBER() OVER (ORDER BY i) AS g FROM r WHERE i >= n - 3 OR (k % 997 = 5 OR k % 1499 < 4) AND o_custkey <> -1) SELECT CAST(MIN(i) AS BIGINT) AS row_start, CAST(MAX(i) + 1 AS BIGINT) AS row_end FROM d GROUP BY g""",
+    "q37_tree_lineage": r"""WITH RECURSIVE n AS (SELECT p_partkey AS node, CASE WHEN p_partkey >= 3 THEN (p_partkey - 3) // 2 END AS parent FROM part), k AS (SELECT n.node, CASE WHEN p.node IS NOT NULL THEN n.parent END AS parent FROM n LEFT JOIN n p ON p.node = n.parent), t AS (SELECT node, node AS root, 0 AS depth, CAST(node AS VARCHAR) AS path FROM k WHERE parent IS NULL UNION ALL SELECT k.node, t.root, t.depth + 1, t.path || '/' || k.node FROM k JOIN t ON k.parent = t.node) SELECT CAST(node AS BIGINT) AS node, CAST(root AS BIGINT) AS root, CAST(depth AS INTEGER) AS depth, path FROM t""",
+    "q38_streamed_diff": r"""WITH o AS (SELECT o_orderkey AS id, concat_ws('|', o_custkey, COALESCE(o_orderstatus, '')) AS h FROM orders), v AS (SELECT 1 AS v, id, CASE WHEN id % 7 = 0 THEN 'stale' ELSE h END AS h FROM o WHERE id % 10 <> 0 UNION ALL SELECT 2, id, h FROM o UNION ALL SELECT 3, id, CASE WHEN id % 100 = 7 THEN 'moved' ELSE h END FROM o WHERE id % 100 <> 11) SELECT CAST(a.v AS BIGINT) AS version, CASE WHEN b.id IS NULL THEN 'new' WHEN a.h <> b.h THEN 'updated' ELSE 'unchanged' END AS status, COUNT(*) AS n FROM v a LEFT JOIN v b ON b.id = a.id AND b.v = a.v - 1 GROUP BY 1, 2""",
+    "q39_user_sessions": r"""WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events), m AS (SELECT *, CASE WHEN t - LAG(t) OVER (PARTITION BY user_id ORDER BY t) <= 14400000000 THEN 0 ELSE 1 END AS fresh FROM e), s AS (SELECT user_id, t, SUM(fresh) OVER (PARTITION BY user_id ORDER BY t) AS s FROM m) SELECT user_id, MIN(t) AS start_micros, MAX(t) + 14400000000 AS end_micros, COUNT(*) AS n_events FROM s GROUP BY user_id, s HAVING MAX(t) + 14400000000 <= (SELECT MAX(t) FROM e) // 1000 * 1000 - 21600000000""",
 }
