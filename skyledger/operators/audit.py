@@ -7,6 +7,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.sources import storage
+
 from .combine import ID_COLUMNS, TIME_COLUMNS, first_present
 
 SUMMARY = ["output_name", "combined_path", "source_file_count", "id_column", "timestamp_column", "key_columns", "source_rows", "combined_rows", "source_pairs", "combined_pairs", "missing_pairs", "missing_rows", "status"]
@@ -56,6 +58,12 @@ def compare(source: DataFrame, combined: DataFrame, keys: list[str]) -> DataFram
     return joined.select(*keys, "source_count", F.coalesce("__n", F.lit(0)).cast("bigint").alias("combined_count"))
 
 
+def compare_both(source: DataFrame, combined: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, source_count and combined_count (0 if absent) of every key of either side, by one grouping of both together; null keys meet null keys."""
+    sides = [df.select(*keys, F.lit(k).alias("__side")) for k, df in enumerate((source, combined))]
+    return sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.count_if(F.col("__side") == 0).alias("source_count"), F.count_if(F.col("__side") == 1).alias("combined_count"))
+
+
 def shortfall(source: DataFrame, combined: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that the combined data has fewer rows of than the sources, with missing_count."""
     return compare(source, combined, keys).where("source_count > combined_count").withColumn("missing_count", F.col("source_count") - F.col("combined_count"))
@@ -93,13 +101,16 @@ def audit(source: DataFrame | None, combined: DataFrame | None, name: str, path:
     source, combined = (f if f is not None else nothing for f in (source, combined))
     for k in keys:
         source, combined = (f if k in f.columns else f.withColumn(k, F.lit(None)) for f in (source, combined))
-    t = totals(source, combined, keys).first()
-    summary.source_rows, summary.source_pairs = t["source_rows"], t["source_pairs"]
-    summary.combined_rows, summary.combined_pairs = combined.count(), key_counts(combined, keys).count()
-    summary.missing_pairs, summary.missing_rows = t["missing_pairs"], t["missing_rows"]
-    summary.status = "missing" if t["missing_pairs"] else "ok"
-    if not t["missing_pairs"]:
+    both = storage.written(compare_both(source, combined, keys), "audit")  # the outputs are grouped once
+    source_n, combined_n = F.col("source_count"), F.col("combined_count")
+    less = F.greatest(source_n - combined_n, F.lit(0))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    summary.source_rows, summary.source_pairs, summary.combined_rows, summary.combined_pairs, summary.missing_pairs, summary.missing_rows = both.agg(
+        count(source_n), F.count_if(source_n > 0), count(combined_n), F.count_if(combined_n > 0), F.count_if(less > 0), count(less)
+    ).first()
+    summary.status = "missing" if summary.missing_pairs else "ok"
+    if not summary.missing_pairs:
         return summary, None
-    less = shortfall(source, combined, keys)
+    less = both.where(source_n > combined_n).withColumn("missing_count", source_n - combined_n)
     lost = less.select(F.lit(name).alias("output_name"), F.col(own).cast("string").alias("object_id"), (F.col(time).cast("string") if time else F.lit("")).alias("timestamp"), F.lit(own).alias("id_column"), F.lit(time).alias("timestamp_column"), *keys, "source_count", "combined_count", "missing_count")
     return summary, lost.join(catalog_lookup(rows), "object_id", "left").select("output_name", "object_id", *(c for c in lost.columns if c not in ("output_name", "object_id")), "catalog_row")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.sources import catalog as C
+from skyledger.sources import storage
 
 #: Columns that an output's object id and time may have, in order of preference.
 ID_COLUMNS = ["ObjID", "objectId", "objectID", "ssObjectId", "ssObjectID", "Principal_desig", "Provisional_packed_desig", "Designation_and_name"]
@@ -55,9 +56,32 @@ def combine(spark: SparkSession, paths: Iterable[str | Path], output: str | Path
     df = C.read_outputs(spark, paths, OUTPUT_SCHEMA)
     if df is None:
         return None
-    df = in_time_order(df)
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").parquet(str(output))
-    return spark.read.parquet(str(output))
+    clustered, at = in_time_order(df), storage.uri(output)
+    (clustered.coalesce(1) if one_file else clustered).write.mode("overwrite").parquet(at)
+    if SORT_COLUMN in df.columns:
+        note_files(spark, at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+FILES = "name string, first double, last double, rows long"
+
+
+def note_files(spark: SparkSession, output: str) -> None:
+    """Writes, beside the files of a combined output, the range of times in each. Readers that don't know it skip a
+    folder of that name."""
+    held = spark.read.parquet(output).groupBy(F.col("_metadata.file_name").alias("name"))
+    held.agg(F.min(SORT_COLUMN).alias("first"), F.max(F.when(~F.isnan(SORT_COLUMN), F.col(SORT_COLUMN))).alias("last"), F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite").parquet(f"{output}/_files")
+
+
+def between(spark: SparkSession, output: str | Path, low: float, high: float) -> DataFrame:
+    """Rows of a combined output with times from low to below high. Files are clustered by time, so only those whose
+    range meets that are opened; of outputs without noted ranges, all."""
+    at, wanted = storage.uri(output), (F.col(SORT_COLUMN) >= low) & (F.col(SORT_COLUMN) < high)
+    if "_files" not in storage.listed(spark, at):
+        return spark.read.parquet(at).where(wanted)
+    names = spark.read.schema(FILES).parquet(f"{at}/_files").where((F.col("first") < high) & (F.col("last") >= low)).select("name").collect()
+    whole = spark.read.parquet(at)
+    return spark.read.schema(whole.schema).parquet(*(f"{at}/{r['name']}" for r in names)).where(wanted) if names else whole.where(F.lit(False))
 
 
 def combine_csv(paths: Iterable[str | Path], output: str | Path) -> int:

@@ -8,6 +8,7 @@ retries what the cluster itself loses.
 from __future__ import annotations
 
 import contextlib
+import heapq
 import os
 import shlex
 import signal
@@ -20,9 +21,11 @@ from datetime import UTC, datetime
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.sources import storage
+
 from . import ranges as R
 
 GRACE_SECONDS = 10
@@ -117,8 +120,33 @@ def attempt(head: dict, status: str, error: str = "", started: str = "", input_s
     }
 
 
+def expected_seconds(todo: DataFrame, earlier: DataFrame) -> DataFrame:
+    """todo with `expected`: the simulator's seconds that a range will take, by the rate of its parent's or its own last attempt, else by that of all
+    attempts, else its rows."""
+    rate = F.sum("simulator_seconds") / F.nullif(F.sum("row_count"), F.lit(0))
+    known = earlier.groupBy(F.col("node_id").alias("__node")).agg(rate.alias("__rate"))
+    whole = earlier.agg(rate).first()[0]
+    of = lambda column, out: known.select(F.col("__node").alias(column), F.col("__rate").alias(out))
+    met = todo.join(of("node_id", "__own"), "node_id", "left").join(of("parent_node_id", "__parent"), "parent_node_id", "left")
+    seconds = F.coalesce("__own", "__parent", F.lit(float(whole) if whole else 1.0)) * (F.col("row_end") - F.col("row_start"))
+    return met.withColumn("expected", seconds).drop("__own", "__parent")
+
+
+def dealt(todo: DataFrame, workers: int) -> DataFrame:
+    """todo with its worker (__turn) and its place in that worker's work: ranges go, longest first, to the worker with the least to do so
+    far. A range stands for thousands of rows, so their list is small."""
+    cost = F.col("expected") if "expected" in todo.columns else F.col("row_end") - F.col("row_start")
+    ranges = todo.select("node_id", "row_start", cost.cast("double").alias("cost")).collect()
+    load, out = [(0.0, k) for k in range(max(1, workers))], []
+    for place, r in enumerate(sorted(ranges, key=lambda r: (-r["cost"], r["row_start"], r["node_id"]))):
+        seconds, worker = heapq.heappop(load)
+        out.append((r["node_id"], worker, place))
+        heapq.heappush(load, (seconds + r["cost"], worker))
+    return todo.join(F.broadcast(todo.sparkSession.createDataFrame(out, "node_id string, __turn int, __place int")), "node_id")
+
+
 def run_ranges(rows: DataFrame, todo: DataFrame, folder: str | Path, execute: Executor, orbit_columns: list[str], physical_columns: list[str], database: str = "", config: str = "", timeout: float | None = None, workers: int = 1) -> DataFrame:
-    """Executes the ranges `todo` over numbered rows, at most `workers` at once; attempts, lazily."""
+    """Executes the ranges `todo` over numbered rows, at most `workers` at once, those expected to take longest first; attempts, lazily."""
     root = Path(folder)
     heads = ["chunk", "parent_chunk", "node_id", "parent_node_id", "debug_level", "row_start", "row_end", "chunk_size"]
     columns = list(dict.fromkeys([*orbit_columns, *physical_columns]))
@@ -143,10 +171,8 @@ def run_ranges(rows: DataFrame, todo: DataFrame, folder: str | Path, execute: Ex
         return pd.DataFrame([row], columns=ATTEMPT_COLUMNS).astype({"debug_level": "Int32", "worker_count": "int32"})
 
     step = max(1, todo.agg(F.max(F.col("row_end") - F.col("row_start"))).first()[0] or 1)
-    # ranges are dealt in turn, so that no worker gets many while others idle
-    turn = (F.row_number().over(Window.orderBy("row_start", "node_id")) - 1) % max(1, workers)
-    given = R.rows_in(todo.select(*heads, turn.cast("int").alias("__turn")), rows.select("input_row", *(F.col(f"`{c}`") for c in columns)), step)
-    return given.repartitionById(max(1, workers), F.col("__turn")).groupBy("__turn", "node_id").applyInPandas(one, ATTEMPT)
+    given = R.rows_in(dealt(todo, workers).select(*heads, "__turn", "__place"), rows.select("input_row", *(F.col(f"`{c}`") for c in columns)), step)
+    return given.repartitionById(max(1, workers), F.col("__turn")).groupBy("__turn", "__place", "node_id").applyInPandas(one, ATTEMPT)
 
 
 def held(attempts: DataFrame) -> DataFrame:
@@ -163,7 +189,7 @@ def latest(attempts: DataFrame) -> DataFrame:
 
 def recorded(spark: SparkSession, folder: Path) -> DataFrame:
     """The last attempt of every node below a run's folder: of its own attempts, and of older runs' markers."""
-    found = sorted(str(p.parent) for p in (folder / "attempts").glob("*/_SUCCESS"))
+    found = sorted(storage.uri(p.parent) for p in (folder / "attempts").glob("*/_SUCCESS"))
     read = spark.read.schema(ATTEMPT).parquet(*found) if found else spark.createDataFrame([], ATTEMPT)
     markers = sorted(str(p) for kind in ("done", "failed") for p in folder.rglob(f"*.{kind}"))
     return latest(read.unionByName(read_markers(spark, markers)) if markers else read)
@@ -175,7 +201,7 @@ def complete(attempts: DataFrame, folder: Path) -> DataFrame:
     spark = attempts.sparkSession
     files = spark.createDataFrame([], "path string")
     if next(folder.rglob("*.csv"), None):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(str(folder)).select("path")
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(storage.uri(folder)).select("path")
     there = files.select(F.regexp_replace("path", "^file:/+", "/").alias("__there")).distinct()
     for expected, path in (("output_exists", F.col("output_path")), ("ew_output_exists", F.regexp_replace("output_path", r"\.csv$", "_ew.csv"))):
         held = attempts.join(there, path == F.col("__there"), "left").where((F.col("status") == "failed") | ~F.coalesce(expected, F.lit(False)) | F.col("__there").isNotNull())
@@ -189,7 +215,7 @@ def read_markers(spark: SparkSession, paths: list[str], seconds: str = "simulato
     seconds; what is missing has its default, and malformed markers only their status."""
     kinds = {c.split()[0]: c.split()[1] for c in ATTEMPT.split(", ")}
     fields = ", ".join(f"{c}: string" for c in dict.fromkeys([*kinds, "failed_at", seconds]))
-    text = spark.read.text(paths, wholetext=True).select(F.from_json("value", f"struct<{fields}>").alias("m"), F.col("_metadata.file_name").alias("f"))
+    text = spark.read.text([storage.uri(p) for p in paths], wholetext=True).select(F.from_json("value", f"struct<{fields}>").alias("m"), F.col("_metadata.file_name").alias("f"))
     done = F.col("f").endswith(".done")
     m = lambda c: F.col(f"m.{c}")
     node = F.regexp_replace("f", r"\.(done|failed)$", "")

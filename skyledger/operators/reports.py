@@ -3,26 +3,46 @@
 from __future__ import annotations
 
 import csv
+import shutil
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.sources import storage
+
 from . import isolate as I
 from . import ranges as R
 
+#: Bytes of a report that is one file.
+SMALL = 64 << 20
 PREFIXED = ["parent_chunk", "node_id", "parent_node_id", "debug_level", "row_start", "row_end", "row_count", "status", "error", "duration_seconds", "simulator_seconds", "resumed"]
 
 
 def write_csv(df: DataFrame, path: str | Path) -> Path:
-    """One CSV file with a header even if there are no rows, streamed partition by partition."""
-    path = Path(path)
+    """A report as CSV with a header even if there are no rows. Tasks write it; up to SMALL bytes their files are joined into one, beyond, the
+    report is a folder of that name, of files with a header each, which reads the same."""
+    path, spark = Path(path), df.sparkSession
     path.parent.mkdir(parents=True, exist_ok=True)
-    with path.open("w", newline="") as f:
-        out = csv.writer(f)
-        out.writerow(df.columns)
-        for row in df.toLocalIterator():
-            out.writerow(["" if x is None else x for x in row])
+    kinds = dict(df.dtypes)
+    text = df.select(*(F.initcap(F.col(f"`{c}`").cast("string")).alias(c) if kinds[c] == "boolean" else F.col(f"`{c}`").cast("string").alias(c) if kinds[c] == "void" else F.col(f"`{c}`") for c in df.columns))
+    parts = path.with_name(f".{path.name}-{uuid.uuid4().hex}")
+    text.write.options(header=True, escape='"', emptyValue="").csv(storage.uri(parts))
+    files = sorted(f for f in parts.glob("part-*") if f.stat().st_size)
+    if path.is_dir():
+        shutil.rmtree(path)
+    if sum(f.stat().st_size for f in files) > SMALL:
+        path.unlink(missing_ok=True)
+        parts.rename(path)
+        return path
+    with path.open("w", newline="") as out:
+        csv.writer(out, lineterminator="\n").writerow(df.columns)
+        for f in files:
+            with f.open(newline="") as part:
+                next(csv.reader(part))  # the header; what follows is taken over as it is
+                shutil.copyfileobj(part, out)
+    shutil.rmtree(parts)
     return path
 
 

@@ -20,10 +20,13 @@ from skyledger.operators import isolate as I
 from skyledger.operators import ranges as R
 from skyledger.operators import reports
 from skyledger.operators.convert import ORBIT_COLUMNS, PHYSICAL_COLUMNS
+from skyledger.sources import storage
 
 from .state import write_json
 
 RUNS = "chunk_runs"
+#: Failures that a message names; the report has all.
+MOST_ERRORS = 100
 
 
 @dataclass
@@ -74,18 +77,19 @@ class Run:
     def execute(self, ranges: DataFrame) -> DataFrame:
         """Attempts of all ranges: those that earlier runs left, and new ones of the others. What is executed
         is written before it is read, so nothing is executed twice."""
-        held = None
+        held, earlier = None, self.attempts() if (self.folder / "attempts").is_dir() else None
         if self.o.resume:
-            held = E.complete(self.attempts(), self.folder).join(ranges.select("node_id"), "node_id", "left_semi").select(*E.ATTEMPT_COLUMNS)
+            held = E.complete(self.attempts() if earlier is None else earlier, self.folder).join(ranges.select("node_id"), "node_id", "left_semi").select(*E.ATTEMPT_COLUMNS)
             held = E.held(held)
             held = None if held.isEmpty() else held
         todo = ranges if held is None else ranges.join(held.select("node_id"), "node_id", "left_anti")
         out = None
         if not todo.isEmpty():
-            at = self.folder / "attempts" / uuid.uuid4().hex
+            at = storage.uri(self.folder / "attempts" / uuid.uuid4().hex)
+            todo = todo if earlier is None else E.expected_seconds(todo, earlier)
             new = E.run_ranges(self.rows, todo, self.folder, self.o.execute, self.o.orbit_columns, self.o.physical_columns, self.o.database, self.o.config, self.o.timeout, self.o.workers)
-            new.write.parquet(str(at))
-            out = self.spark.read.schema(E.ATTEMPT).parquet(str(at))
+            new.write.parquet(at)
+            out = self.spark.read.schema(E.ATTEMPT).parquet(at)
         if held is not None:
             held = held.withColumns({"resumed": F.lit(True), "worker_count": F.lit(self.o.workers)})
             out = held if out is None else out.unionByName(held)
@@ -178,8 +182,9 @@ def run_job(rows: DataFrame, job: str, time: str, options: Options, say: Callabl
             run.finish(used)
             say(f"  {job}: combined without {I.failing_rows(tree).count()} failing rows")
             return True
-        errors = ", ".join(f"chunk {r['chunk']:05d}: {r['error']}" for r in failed.orderBy("chunk").collect())
-        raise RuntimeError(f"chunks of {job} failed: {errors}")
+        first = failed.orderBy("chunk").limit(MOST_ERRORS + 1).collect()
+        errors = ", ".join(f"chunk {r['chunk']:05d}: {r['error']}" for r in first[:MOST_ERRORS])
+        raise RuntimeError(f"chunks of {job} failed: {errors}" + (f", and more: see {run.folder / 'failures.csv'}" if len(first) > MOST_ERRORS else ""))
     if options.only_chunks is not None:
         say(f"  {job}: selected chunks are done; nothing is combined")
         return False

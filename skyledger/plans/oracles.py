@@ -40,4 +40,7 @@ ORACLES = {
     "q37_tree_lineage": r"""WITH RECURSIVE n AS (SELECT p_partkey AS node, CASE WHEN p_partkey >= 3 THEN (p_partkey - 3) // 2 END AS parent FROM part), k AS (SELECT n.node, CASE WHEN p.node IS NOT NULL THEN n.parent END AS parent FROM n LEFT JOIN n p ON p.node = n.parent), t AS (SELECT node, node AS root, 0 AS depth, CAST(node AS VARCHAR) AS path FROM k WHERE parent IS NULL UNION ALL SELECT k.node, t.root, t.depth + 1, t.path || '/' || k.node FROM k JOIN t ON k.parent = t.node) SELECT CAST(node AS BIGINT) AS node, CAST(root AS BIGINT) AS root, CAST(depth AS INTEGER) AS depth, path FROM t""",
     "q38_streamed_diff": r"""WITH o AS (SELECT o_orderkey AS id, concat_ws('|', o_custkey, COALESCE(o_orderstatus, '')) AS h FROM orders), v AS (SELECT 1 AS v, id, CASE WHEN id % 7 = 0 THEN 'stale' ELSE h END AS h FROM o WHERE id % 10 <> 0 UNION ALL SELECT 2, id, h FROM o UNION ALL SELECT 3, id, CASE WHEN id % 100 = 7 THEN 'moved' ELSE h END FROM o WHERE id % 100 <> 11) SELECT CAST(a.v AS BIGINT) AS version, CASE WHEN b.id IS NULL THEN 'new' WHEN a.h <> b.h THEN 'updated' ELSE 'unchanged' END AS status, COUNT(*) AS n FROM v a LEFT JOIN v b ON b.id = a.id AND b.v = a.v - 1 GROUP BY 1, 2""",
     "q39_user_sessions": r"""WITH e AS (SELECT user_id, epoch_us(ts) AS t FROM events), m AS (SELECT *, CASE WHEN t - LAG(t) OVER (PARTITION BY user_id ORDER BY t) <= 14400000000 THEN 0 ELSE 1 END AS fresh FROM e), s AS (SELECT user_id, t, SUM(fresh) OVER (PARTITION BY user_id ORDER BY t) AS s FROM m) SELECT user_id, MIN(t) AS start_micros, MAX(t) + 14400000000 AS end_micros, COUNT(*) AS n_events FROM s GROUP BY user_id, s HAVING MAX(t) + 14400000000 <= (SELECT MAX(t) FROM e) // 1000 * 1000 - 21600000000""",
+    "q40_combined_slices": r"""SELECT printf('%07d', o_orderkey) AS object_id, CASE WHEN o_orderkey % 5 IN (0, 4) THEN o_custkey END AS o_custkey, CASE WHEN o_orderkey % 5 IN (1, 2, 3) THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 IN (0, 1, 4) THEN CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS VARCHAR) END AS cents FROM orders""",
+    "q41_one_day": r"""SELECT CAST(event_id AS VARCHAR) AS "ObjID", CAST(user_id AS VARCHAR) AS user_id FROM events WHERE epoch_us(ts) / CAST(86400000000 AS DOUBLE) + 40587 >= 60320 AND epoch_us(ts) / CAST(86400000000 AS DOUBLE) + 40587 < 60321""",
+    "q42_resumed_execution": r"""WITH r AS (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT CAST(i // 2000 AS BIGINT) AS chunk, CAST(MIN(i) AS BIGINT) AS row_start, CAST(MAX(i) + 1 AS BIGINT) AS row_end, bool_or(o_orderkey % 4999 = 17) AS bad FROM r GROUP BY 1) SELECT chunk, printf('chunk_%05d_rows_%07d_%07d', chunk, row_start, row_end - 1) AS node_id, row_start, row_end, CASE WHEN bad THEN 'failed' ELSE 'done' END AS status, chunk % 2 = 0 AS resumed, NOT bad AS output_exists FROM c""",
 }

@@ -82,13 +82,13 @@ class State:
     def buckets(self) -> B.Held | None:
         """The bucketed baseline, if there is one."""
         held = self._read()
-        return B.Held((self.folder / held["baseline"]).as_uri(), tuple(held["buckets"])) if held.get("baseline") and held.get("buckets") else None
+        return B.Held(storage.uri(self.folder / held["baseline"]), tuple(held["buckets"])) if held.get("baseline") and held.get("buckets") else None
 
     def baseline(self, spark: SparkSession) -> DataFrame:
         if self.buckets:
             return B.read(spark, self.buckets)
         plain = self._read().get("baseline")
-        return spark.read.schema(BASELINE).parquet((self.folder / plain).as_uri()) if plain else spark.createDataFrame([], BASELINE)
+        return spark.read.schema(BASELINE).parquet(storage.uri(self.folder / plain)) if plain else spark.createDataFrame([], BASELINE)
 
     def diff(self, current: DataFrame) -> DataFrame:
         """current (object_id, element_hash, ..) with status new, updated or unchanged."""
@@ -101,9 +101,9 @@ class State:
         no longer named are deleted; those that it names stay until the next call, for whoever still reads them."""
         spark, before, held = current.sparkSession, self._read(), self.buckets
         version = int(before.get("version", 0)) + 1
-        now = B.save(current, held, (self.folder / f"baseline_{self.name}_v{version}").as_uri(), version)
+        now = B.save(current, held, storage.uri(self.folder / f"baseline_{self.name}_v{version}"), version)
         if held:
             B.forget(spark, held)
         write_json(self.file, {"last_mjd": watermark, "baseline": Path(now.at).name, "buckets": list(now.versions), "version": version})
         if before.get("baseline") and before["baseline"] != Path(now.at).name:
-            storage.remove(spark, (self.folder / before["baseline"]).as_uri())
+            storage.remove(spark, storage.uri(self.folder / before["baseline"]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -25,6 +26,12 @@ def resolved(spark: SparkSession, at: str) -> str:
     return re.sub("^file:/+", "file:///", files.makeQualified(path).toString()).rstrip("/")
 
 
+def uri(at: str | os.PathLike) -> str:
+    """A path of a mount that driver and executors share, with its scheme: Spark, whatever its default file system is, then
+    means the same files as the driver and the simulators do."""
+    return at if "://" in str(at) else f"file://{os.path.abspath(at)}"
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether driver and executors are one process."""
     return bool(re.match(r"local(\[|$)", spark.sparkContext.master))
