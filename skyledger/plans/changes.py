@@ -96,7 +96,7 @@ def user_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("user_id", F.unix_micros("session_start").alias("start_micros"), F.unix_micros("session_end").alias("end_micros"), "n_events")
 
 
-def _folder(spark: SparkSession, what: str) -> Path:
+def folder_of(spark: SparkSession, what: str) -> Path:
     """A new folder on the shared mount, by its path: simulators and probes of single files know no other."""
     at = urlparse(storage.fresh(spark, what))
     if at.scheme != "file":
@@ -108,7 +108,7 @@ def _folder(spark: SparkSession, what: str) -> Path:
 
 def combined_slices(spark: SparkSession, sf: str) -> DataFrame:
     """Orders written in slices of different columns, orders of columns and formats, and read again as one table by two scans."""
-    key, folder = F.col("o_orderkey"), _folder(spark, "slices")
+    key, folder = F.col("o_orderkey"), folder_of(spark, "slices")
     orders = _t(spark, sf, "orders").select(key, F.format_string("%07d", key).alias("ObjID"), "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
     slices = [("csv", ["ObjID", "o_custkey", "cents"]), ("csv", ["cents", "objid", "o_orderstatus"]), ("parquet", ["ObjID", "o_orderstatus"]), ("csv", ["o_orderstatus", "ObjID"]), ("parquet", ["cents", "ObjID", "o_custkey"])]
     files = []
@@ -124,7 +124,7 @@ def combined_slices(spark: SparkSession, sf: str) -> DataFrame:
 def one_day(spark: SparkSession, sf: str) -> DataFrame:
     """Events as detections, combined in order of time, and one day of them read back from the files that hold it."""
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
-    mjd, folder = micros / F.lit(86_400_000_000.0) + F.lit(float(V.UNIX_EPOCH_MJD)), _folder(spark, "detections")
+    mjd, folder = micros / F.lit(86_400_000_000.0) + F.lit(float(V.UNIX_EPOCH_MJD)), folder_of(spark, "detections")
     rows = _t(spark, sf, "events").select(F.col("event_id").cast("string").alias("ObjID"), mjd.alias(K.SORT_COLUMN), F.col("user_id").cast("string").alias("user_id"))
     rows.write.parquet(storage.uri(folder / "chunks"))
     K.combine(spark, sorted((folder / "chunks").glob("part-*")), folder / "all.parquet")
@@ -146,7 +146,7 @@ def resumed_execution(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     rows = _t(spark, sf, "orders").select(key.cast("string").alias("ObjID"), F.col("o_custkey").cast("double").alias("a"), F.lit(15.0).alias("H_r"), key.alias("o_orderkey"))
     rows = storage.written(R.number_rows(rows, "o_orderkey"), "rows")
-    run = Run(rows, "new", "2024-01-01", Options(E.FunctionExecutor(simulate), _folder(spark, "run"), chunk_size=CHUNK, workers=spark.sparkContext.defaultParallelism, orbit_columns=["ObjID", "a"], physical_columns=["ObjID", "H_r"]))
+    run = Run(rows, "new", "2024-01-01", Options(E.FunctionExecutor(simulate), folder_of(spark, "run"), chunk_size=CHUNK, workers=spark.sparkContext.defaultParallelism, orbit_columns=["ObjID", "a"], physical_columns=["ObjID", "H_r"]))
     run.execute(run.plan.where("chunk % 2 = 0"))
     return run.execute(run.plan).select("chunk", "node_id", "row_start", "row_end", "status", "resumed", "output_exists")
 

@@ -43,4 +43,9 @@ ORACLES = {
     "q40_combined_slices": r"""SELECT printf('%07d', o_orderkey) AS object_id, CASE WHEN o_orderkey % 5 IN (0, 4) THEN o_custkey END AS o_custkey, CASE WHEN o_orderkey % 5 IN (1, 2, 3) THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 5 IN (0, 1, 4) THEN CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS VARCHAR) END AS cents FROM orders""",
     "q41_one_day": r"""SELECT CAST(event_id AS VARCHAR) AS "ObjID", CAST(user_id AS VARCHAR) AS user_id FROM events WHERE epoch_us(ts) / CAST(86400000000 AS DOUBLE) + 40587 >= 60320 AND epoch_us(ts) / CAST(86400000000 AS DOUBLE) + 40587 < 60321""",
     "q42_resumed_execution": r"""WITH r AS (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT CAST(i // 2000 AS BIGINT) AS chunk, CAST(MIN(i) AS BIGINT) AS row_start, CAST(MAX(i) + 1 AS BIGINT) AS row_end, bool_or(o_orderkey % 4999 = 17) AS bad FROM r GROUP BY 1) SELECT chunk, printf('chunk_%05d_rows_%07d_%07d', chunk, row_start, row_end - 1) AS node_id, row_start, row_end, CASE WHEN bad THEN 'failed' ELSE 'done' END AS status, chunk % 2 = 0 AS resumed, NOT bad AS output_exists FROM c""",
+    "q43_catalog_scan": r"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) AS BIGINT) AS catalog_row, CAST(o_orderkey AS VARCHAR) AS object_id, md5(concat_ws('|', o_custkey, '', '', CASE WHEN o_orderkey % 3 > 0 THEN COALESCE(o_orderstatus, '') ELSE '' END, '', '', '', '', '', '', '')) AS element_hash FROM orders""",
+    "q44_ignored_ids": r"""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier) AND c_custkey NOT IN (SELECT n_nationkey + d FROM nation, (VALUES (300), (301)) v(d)) AND c_custkey <> 777""",
+    "q45_missing_pairs": r"""SELECT 'detections' AS output_name, CAST(l_orderkey AS VARCHAR) AS object_id, 'ObjID' AS id_column, 'fieldMJD_TAI' AS timestamp_column, COUNT(*) AS source_count, COUNT(*) FILTER (WHERE l_suppkey % 13 <> 0) AS combined_count, COUNT(*) FILTER (WHERE l_suppkey % 13 = 0) AS missing_count, CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey END AS catalog_row, CAST(l_linenumber AS BIGINT) AS time FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) FILTER (WHERE l_suppkey % 13 = 0) > 0""",
+    "q46_failing_catalog_rows": r"""WITH r AS (SELECT o_orderkey, o_custkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS i FROM orders), c AS (SELECT CAST(i // 500 AS BIGINT) AS chunk, MIN(i) AS lo, MAX(i) + 1 AS hi FROM r GROUP BY 1 HAVING bool_or(o_orderkey % 4999 = 17)) SELECT printf('chunk_%05d_rows_%07d_%07d', chunk, lo, hi - 1) AS failure_node_id, chunk AS failure_parent_chunk, lo AS failure_row_start, hi AS failure_row_end, 'failed' AS failure_status, 'bad row' AS failure_error, 'rows ' || (hi - lo) AS failure_kind, i AS failure_input_row, o_orderkey, o_custkey FROM r JOIN c ON i // 500 = chunk""",
+    "q47_digest_leaves": r"""WITH r AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS i, c_custkey AS k, c_nationkey AS n FROM customer), h AS (SELECT i, sha256('{"input_row":' || i || ',"k":' || k || ',"n":' || n || '}') AS h FROM r) SELECT CAST(i // 100 AS BIGINT) AS node, sha256(string_agg(i || ':' || h, ',' ORDER BY i)) AS digest, COUNT(*) AS rows FROM h GROUP BY 1""",
 }

@@ -19,7 +19,7 @@ from skyledger.operators import ranges as R
 from skyledger.operators import relational as Q
 from skyledger.operators import reports
 
-from . import changes
+from . import changes, files
 
 WATERMARK = datetime(2024, 1, 21)
 BAD = "o_orderkey % 4999 = 17"
@@ -264,5 +264,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q16_debug_subchunks": q16, "q17_isolated_rows": q17, "q18_leaf_anti_join": q18, "q19_combine_union_by_name": q19, "q20_key_counts": q20,
     "q21_audit_missing_pairs": q21, "q22_audit_summary": q22, "q23_lookup_first": q23, "q24_timing_summary": q24, "q25_json_field": q25,
     "q26_baseline_last_wins": q26, "q27_semi_select": q27, "q28_missing_dates_drop": q28, "q29_group_failures": q29, "q30_salvage": q30,
-    "q31_time_order": q31, "q32_halves": q32, "q33_removed": q33, "q34_audit_surplus": q34, **changes.QUERIES,
+    "q31_time_order": q31, "q32_halves": q32, "q33_removed": q33, "q34_audit_surplus": q34, **changes.QUERIES, **files.QUERIES,
 }
