@@ -17,6 +17,7 @@ UNIX_EPOCH_MJD, MJD_ZERO_JD = 40587, 2400000.5
 
 #: White space, as the catalogs' texts are stripped of it.
 BLANKS = " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_PLAIN = r"^-?[0-9]+(\.[0-9]*)?([eE][+-]?[0-9]+)?$"
 _NUMBER = r"^[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
 
 
@@ -58,21 +59,18 @@ def missing(text: Column) -> Column:
 
 
 def lenient_double(text: Column) -> Column:
-    """The number that a text spells, or null; infinities count, nan doesn't."""
+    """The number that a text spells, or null; infinities count, nan doesn't. Plain numbers take the first way, which looks at the text once."""
     own = bare(text)
     small = F.lower(F.regexp_replace(own, "^[+]", ""))
     return (
-        F.when(own.rlike(_NUMBER), F.replace(own, F.lit("_"), F.lit("")).try_cast("double"))
+        F.when(text.isNull(), F.lit(None))
+        .when(text.rlike(_PLAIN), text.try_cast("double"))
+        .when(own.rlike(_NUMBER), F.replace(own, F.lit("_"), F.lit("")).try_cast("double"))
         .when(small.isin("inf", "infinity"), F.lit(float("inf")))
         .when(small.isin("-inf", "-infinity"), F.lit(float("-inf")))
     )
 
 
-def usable_double(value: Column) -> Column:
-    """A double with nan as null."""
-    return F.when(~F.isnan(value), value)
-
-
 def first_number(text: Column) -> Column:
     """The first unsigned number in a text."""
     return F.nullif(F.regexp_extract(text, r"[0-9]+(?:\.[0-9]+)?", 0), F.lit("")).try_cast("double")

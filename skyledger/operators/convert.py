@@ -24,7 +24,7 @@ EPOCH_FIELDS = ["Epoch_year", "Epoch_month", "Epoch_day", "Year_of_perihelion",
 
 def _numbers(names: Iterable[str], fields: str) -> dict[str, Column]:
     """The numbers that fields of a struct of texts spell."""
-    return {c: V.usable_double(V.lenient_double(F.col(f"{fields}.{c}"))) for c in names}
+    return {c: V.lenient_double(F.col(f"{fields}.{c}")) for c in names}
 
 
 def constants(format_name: str) -> dict[str, Column]:

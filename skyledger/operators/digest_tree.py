@@ -21,6 +21,8 @@ from skyledger.sources import storage
 from . import ranges as R
 
 LEAF_ROWS, FAN = 10_000, 100
+#: Consecutive nodes of a level that are written together.
+TOGETHER = 100_000
 #: Ranges that a scan is given as a predicate, which prunes files and row groups; beyond, they are joined.
 MOST_RANGES = 500
 
@@ -56,7 +58,8 @@ def build(df: DataFrame, at: str | None = None, row: str = "input_row", leaf: in
         own = F.array_sort(F.collect_list(F.struct(F.col("node").alias("n"), F.col("digest").alias("h"))))
         level = below.groupBy(F.expr(f"node div {leaf if top == 0 else fan}").alias("parent")).agg(combined(own).alias("digest"), F.sum("rows").alias("rows"))
         level = level.select(F.col("parent").alias("node"), "digest", "rows")
-        level.repartitionByRange(F.col("node")).sortWithinPartitions("node").write.parquet(f"{at}/level-{top:02d}")
+        # runs of nodes lie together in a file, so that a scan for few of them skips the others
+        level.repartition(F.expr(f"node div {TOGETHER}")).sortWithinPartitions("node").write.parquet(f"{at}/level-{top:02d}")
         tree = Tree(spark, at, leaf, fan, top)
         below = tree.level(top)
         if below.limit(2).count() < 2:

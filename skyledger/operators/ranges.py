@@ -16,6 +16,8 @@ RANGE = "chunk long, parent_chunk long, node_id string, parent_node_id string, d
 SORT_ROWS = 500_000
 #: Comparisons a row takes in each of two steps, and sampled keys for each part.
 SPLITS, SAMPLES = 200, 16
+#: Groups of a median that are broadcast.
+FEW_GROUPS = 100_000
 
 
 def _points(df: DataFrame, keys: tuple[str, ...], rows: int, parts: int) -> list[tuple]:
@@ -68,8 +70,8 @@ def median(df: DataFrame, value: str, *groups: str) -> DataFrame:
     counted, put in order together and found by their rank, so no task holds a whole group."""
     counted = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__times"))
     placed = storage.written(running(counted, F.col("__times"), *groups, value, out="__from").withColumn("__group", F.struct(F.lit(0), *groups)), "ranks")
-    whole = placed.groupBy("__group").agg(F.min("__from").alias("__first"), F.sum("__times").alias("__all"))
-    known = looked_up(placed, whole, "__group", placed.count())
+    whole = storage.written(placed.groupBy("__group").agg(F.min("__from").alias("__first"), F.sum("__times").alias("__all")), "ranks")
+    known = placed.join(F.broadcast(whole), "__group") if whole.count() <= FEW_GROUPS else looked_up(placed, whole, "__group", placed.count())
     holds = lambda rank: (F.col("__from") <= F.expr(rank)) & (F.expr(rank) < F.col("__from") + F.col("__times"))
     halves = holds("__first + (__all - 1) div 2").cast("int") + holds("__first + __all div 2").cast("int")
     return known.withColumn("__halves", halves).where("__halves > 0").groupBy(*groups).agg(F.sum(F.col(value) * F.col("__halves") * 0.5).alias(value))

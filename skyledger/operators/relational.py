@@ -13,14 +13,14 @@ STATUSES = ("new", "updated", "unchanged")
 def arc_long_enough(years: Column, length: Column, days: float = V.LONG_ARC_DAYS) -> Column:
     """Arc years (a text) are given, or the arc length (a variant) is a range of years or at least so many days."""
     text = V.text_of(length)
-    spelled = V.usable_double(F.when(V.is_text(length), V.first_number(text)).otherwise(V.lenient_double(text)))
+    spelled = F.when(V.is_text(length), V.first_number(text)).otherwise(V.lenient_double(text))
     span = ~V.missing(text) & V.bare(text).rlike(r"^[0-9]{4}\s*-\s*[0-9]{4}$")
     return ~V.missing(years) | F.coalesce(span, F.lit(False)) | F.coalesce(~V.missing(text) & (spelled >= days), F.lit(False))
 
 
 def worth_keeping(distance: Column, code: Column, long_arc: Column, distant: float = V.DISTANT_AU, certain: float = V.CERTAIN_CODE) -> Column:
-    """Distant, or well determined, or observed for long; what is missing doesn't speak for an object."""
-    return F.coalesce(V.usable_double(distance) > distant, F.lit(False)) | F.coalesce(V.usable_double(code) <= certain, F.lit(False)) | F.coalesce(long_arc, F.lit(False))
+    """Distant, or well determined, or observed for long; what is missing (null, not nan) doesn't speak for an object."""
+    return F.coalesce(distance > distant, F.lit(False)) | F.coalesce(code <= certain, F.lit(False)) | F.coalesce(long_arc, F.lit(False))
 
 
 def keep_objects(catalog: DataFrame, comets: bool = False, obj: str = "obj") -> DataFrame:

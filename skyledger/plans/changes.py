@@ -55,7 +55,7 @@ def digest_ranges(spark: SparkSession, sf: str) -> DataFrame:
     one = storage.written(rows, "rows")
     key, n = F.col("o_orderkey"), one.count()
     other = one.where(F.col("input_row") < n - 3).withColumn("o_custkey", F.when((key % 997 == 5) | (key % 1499 < 4), F.lit(-1)).otherwise(F.col("o_custkey")))
-    trees = [digest_tree.build(df, leaf=256, fan=16) for df in (one, other)]
+    trees = [digest_tree.build(df, leaf=512, fan=32) for df in (one, other)]
     return digest_tree.differing_rows(one, other, *trees)
 
 
@@ -72,7 +72,7 @@ def streamed_diff(spark: SparkSession, sf: str) -> DataFrame:
     at = storage.fresh(spark, "catalogs")
     for number, current in enumerate(_versions(spark, sf), 1):
         current.select(F.lit(number).cast("bigint").alias("version"), "catalog_row", "object_id", "element_hash").write.parquet(f"{at}/in/version-{number}")
-        catalogs.take_up_catalogs(spark, f"{at}/in", f"{at}/checkpoint", f"{at}/out")
+        catalogs.take_up_catalogs(spark, f"{at}/in", f"{at}/checkpoint", f"{at}/out", buckets=64)
     return catalogs.taken(spark, f"{at}/out").groupBy("version", "status").agg(F.count("*").alias("n"))
 
 

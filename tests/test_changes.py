@@ -291,7 +291,7 @@ def test_streamed_statuses_equal_the_batch_diff(spark, tmp_path):
         frame = spark.createDataFrame(rows, CATALOG)
         files = frame.select(F.lit(version).cast("long").alias("version"), "catalog_row", "object_id", "element_hash")
         files.repartition(3).write.mode("append").parquet(folder)
-        catalogs.take_up_catalogs(spark, folder, str(tmp_path / "ck"), str(tmp_path / "out"), files=1 if version % 2 else None)  # a version in one trigger or several
+        catalogs.take_up_catalogs(spark, folder, str(tmp_path / "ck"), str(tmp_path / "out"), files=1 if version % 2 else None, buckets=4)  # a version in one trigger or several
         got = catalogs.taken(spark, str(tmp_path / "out")).where(F.col("version") == version)
         assert sorted(map(tuple, got.select("object_id", "catalog_row", "status").collect()), key=repr) == plain(spark, frame, before)
         before = {**before, **now, "o1": "last"}
