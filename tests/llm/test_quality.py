@@ -14,6 +14,12 @@ from skyledger.llm import quality, shared, words
 SPACE = " \t\n\v\f\r"
 
 
+@pytest.fixture
+def quick(monkeypatch):
+    """Few steps, where it isn't about how well the model is fitted."""
+    monkeypatch.setattr(quality, "PHASES", {"logistic": (20, 0.05), "sigmoid": (20, 0.01)})
+
+
 def slow(text):
     """The features of one text, byte by byte and word by word."""
     data = text.encode()
@@ -89,7 +95,7 @@ def test_held_out_accuracy_of_the_query(spark):
     assert out.count() == 1000 and np.mean([r["predicted"] == r["quality"] for r in both]) >= 0.9
 
 
-def test_labels_of_held_out_rows_and_bad_labels_change_nothing(table):
+def test_labels_of_held_out_rows_and_bad_labels_change_nothing(table, quick):
     docs, labels = corpus(400)
     frame = table(docs, "doc_id long, text string")
     held = {r[0] for r in frame.where(shared.held_out("doc_id", quality.PARTS, quality.HELD)).select("doc_id").collect()}
@@ -97,7 +103,7 @@ def test_labels_of_held_out_rows_and_bad_labels_change_nothing(table):
     assert all(np.array_equal(models[0].weights, m.weights) for m in models)
 
 
-def test_edges(spark, table):
+def test_edges(spark, table, quick):
     docs, labels = corpus(300)
     rows = [(d, t, "s", 1.0) for d, t in docs] + [(None, "no id", None, None), (900, None, None, None), (901, "", None, None), (901, "", None, None), (902, "word " * 100_000, None, None)]
     frame = table(rows, "doc_id long, text string, place string, score double")
@@ -111,7 +117,7 @@ def test_edges(spark, table):
 
 
 @pytest.mark.parametrize("doc_id", [0, 1, 2, 5])
-def test_many_equal_rows_are_one(spark, doc_id):
+def test_many_equal_rows_are_one(spark, doc_id, quick):
     docs = spark.range(20_000).select(F.lit(doc_id).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
     p, fold, u = quality.sample(docs, spark.createDataFrame([(doc_id,)], "doc_id long"), 50, 50)
     assert len(p) <= 1 and len(u) <= 1 and len(fold) == len(p)
