@@ -417,3 +417,33 @@ def test_very_long_texts(table):
 def test_packed_keys():
     for keys in (np.zeros(0, np.uint64), np.array([0, 1, 2**63, 2**64 - 1], np.uint64), np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, np.uint64))):
         assert (scoring.unpacked(scoring.packed(keys)) == keys).all()
+
+
+def test_filters_are_asked_for_distinct_keys_in_ascending_order():
+    asked = []
+
+    class Held:
+        def level(self, keys):
+            asked.append(keys)
+            return np.ones(len(keys), np.uint8)
+
+    model = scoring.Model(Held(), Held(), np.zeros(0, np.uint64), np.zeros(0, np.int64), 1, 10, 5, 0)
+    data, offsets = words.flat(pa.array(["a b " * 5000, "", "b a " * 5000]))
+    got = scoring._score(model, data, offsets)
+    assert got["n_tokens"].tolist() == [10_001, 1, 10_001] and got["scores"].shape == (3, len(scoring.PRIORS))
+    assert [len(keys) for keys in asked] == [3, 7]  # a, b, end; start a, a b, b a, b end, start end, start b, a end
+    assert all((keys[1:] > keys[:-1]).all() for keys in asked)
+
+
+def test_a_sharded_filter_is_looked_up_block_by_block(monkeypatch):
+    keys = np.sort(words.mix(np.arange(1, 3001, dtype=np.uint64)))
+    counts, shard = np.random.default_rng(4).integers(1, 400, 3000), scoring._shard(keys, 5)
+    held = scoring._joined({s: scoring.build(keys[shard == s], counts[shard == s], 1, 1) for s in range(5) if s != 2}, 5, 1)
+    ask = scoring.ascending(np.r_[keys, words.mix(np.arange(9000, 12_000, dtype=np.uint64)), keys])
+    want = held.level(ask)
+    monkeypatch.setattr(scoring, "BLOCK", 7)
+    assert (held.level(ask) == want).all() and len(ask) == 6000
+    found = held.level(keys)
+    assert (found[shard != 2] >= scoring.levels(counts, 1)[shard != 2]).all() and not found[shard == 2].any()
+    with pytest.raises(ValueError, match="answers"):
+        scoring.Answers(found).level(keys[:-1])
