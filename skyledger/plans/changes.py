@@ -69,10 +69,10 @@ def tree_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 def streamed_diff(spark: SparkSession, sf: str) -> DataFrame:
     """The same versions as files of a stream, each taken up by a query that is started again from its checkpoint."""
-    at = storage.fresh(spark, "catalogs")
+    at, buckets = storage.fresh(spark, "catalogs"), catalogs.buckets_for(_t(spark, sf, "orders").count())
     for number, current in enumerate(_versions(spark, sf), 1):
         current.select(F.lit(number).cast("bigint").alias("version"), "catalog_row", "object_id", "element_hash").write.parquet(f"{at}/in/version-{number}")
-        catalogs.take_up_catalogs(spark, f"{at}/in", f"{at}/checkpoint", f"{at}/out", buckets=64)
+        catalogs.take_up_catalogs(spark, f"{at}/in", f"{at}/checkpoint", f"{at}/out", buckets=buckets)
     return catalogs.taken(spark, f"{at}/out").groupBy("version", "status").agg(F.count("*").alias("n"))
 
 

@@ -12,6 +12,7 @@ from skyledger.operators import digest_tree as D
 from skyledger.operators import lineage as L
 from skyledger.operators import ranges as R
 from skyledger.operators import relational as Q
+from skyledger.plans import changes
 from skyledger.plans import cycle as cycles
 from skyledger.plans.state import State
 from skyledger.sources import baseline as B
@@ -297,6 +298,17 @@ def test_streamed_statuses_equal_the_batch_diff(spark, tmp_path):
         before = {**before, **now, "o1": "last"}
 
 
+def test_buckets_of_a_stream_grow_with_its_objects(spark, tmp_path, monkeypatch):
+    assert [catalogs.buckets_for(n) for n in (0, 64 * catalogs.OBJECTS, 64 * catalogs.OBJECTS + 1, 54_000_000)] == [64, 64, 65, 3296]
+    spark.range(200).select(F.col("id").alias("o_orderkey"), F.lit(1).alias("o_custkey"), F.lit("O").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(catalogs, "OBJECTS", 3)
+    seen, take_up = [], catalogs.take_up_catalogs
+    monkeypatch.setattr(catalogs, "take_up_catalogs", lambda *args, buckets: (seen.append(buckets), take_up(*args, buckets=buckets)))
+    got = changes.streamed_diff(spark, str(tmp_path)).collect()
+    assert seen == [67] * 3  # the same for the life of the checkpoint
+    assert sorted(map(tuple, got)) == [(1, "new", 180), (2, "new", 20), (2, "unchanged", 154), (2, "updated", 26), (3, "unchanged", 196), (3, "updated", 2)]
+
+
 def test_sessions_with_repeats_and_late_rows(spark, tmp_path):
     schema = "event_id long, user_id long, at timestamp"
 
